@@ -210,8 +210,12 @@ class Tables:
         if not gone:
             raise ValueError(f"no range {wanted.lower} .. {wanted.upper}")
         number = gone[0].range_id
-        if self.spark.sql(f"SHOW PARTITIONS {self._sql(name)} PARTITION (range_id={number})").head(1):
-            self.spark.sql(f"ALTER TABLE {self._sql(name)} DROP PARTITION (range_id={number})")
+        shown = f"SHOW PARTITIONS {self._sql(name)} PARTITION (range_id={number})"
+        # One entry per bucket of the range.
+        entries = [row["partition"] for row in self.spark.sql(shown).collect()]
+        if entries:
+            listed = ", ".join(f"PARTITION ({e.replace('/', ', ')})" for e in entries)
+            self.spark.sql(f"ALTER TABLE {self._sql(name)} DROP {listed}")
         # The table is external, so dropping a partition leaves its files.
         files.delete(self.spark, f"{self._location(name)}/range_id={number}")
         self._store_spec(

@@ -23,7 +23,7 @@ def read_csv(
     header: bool = True,
     fail_fast: bool = False,
 ) -> DataFrame:
-    """Typed scan. Lines that do not fit are tagged ``bad_field`` and keep their text."""
+    """Typed scan. Lines that do not fit are tagged ``bad_field``, with their text in ``raw``."""
     if fail_fast:
         reader = spark.read.schema(schema).option("mode", "FAILFAST")
         return reader.option("header", header).csv(path)
@@ -36,4 +36,4 @@ def read_csv(
         .csv(path)
     )
     rows = rejects.tag(rows, [(rejects.BAD_FIELD, F.col(_CORRUPT).isNotNull())])
-    return rows.withColumnRenamed(_CORRUPT, "value")
+    return rows.withColumnRenamed(_CORRUPT, "raw")

@@ -47,9 +47,12 @@ def read_bucketed(
 ) -> DataFrame:
     """Read :func:`write_bucketed` back with the bucket as text.
 
-    The schema is explicit, else a folder of all-digit labels would read as numbers.
+    The schema is explicit, else a folder of all-digit labels would read as numbers,
+    and nullable, since files may hold NULL in a field the record schema requires.
     """
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(bucket, T.StringType())])).parquet(path)
+    fields = [T.StructField(f.name, f.dataType) for f in schema]
+    fields.append(T.StructField(bucket, T.StringType()))
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def write_table(
@@ -57,6 +60,4 @@ def write_table(
 ) -> StreamingQuery:
     """Continuously insert a stream into a catalog table."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-    if interval is None:
-        return writer.trigger(availableNow=True).toTable(table)
-    return writer.trigger(processingTime=interval).toTable(table)
+    return with_trigger(writer, interval).toTable(table)
