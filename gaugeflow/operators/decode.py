@@ -26,12 +26,12 @@ def decode_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
         f"{schema}, {_CORRUPT} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    rows = df.withColumn("_message", parsed)
-    rows = rejects.tag(
-        rows,
-        [(rejects.CORRUPT, F.col("_message").isNull() | F.col(f"_message.{_CORRUPT}").isNotNull())],
-    )
-    return rows.select("*", "_message.*").drop("_message", _CORRUPT)
+    # A generator, since filters on the fields (such as on the reason) do not move
+    # below it. They would move below a projection and parse the text once more each.
+    rows = df.select("*", F.inline_outer(F.array(parsed)))
+    blank = F.col(value).isNull() | (F.trim(F.col(value)) == "")
+    corrupt = F.col(_CORRUPT).isNotNull() | blank
+    return rejects.tag(rows, [(rejects.CORRUPT, corrupt)]).drop(_CORRUPT)
 
 
 def decode_sensor(df: DataFrame, value: str = "value") -> DataFrame:
@@ -61,8 +61,11 @@ def decode_transit(df: DataFrame, value: str = "value", honour_offset: bool = Fa
     Each field is extracted on its own, so a missing or unreadable field is NULL
     without touching the others. Only a missing key part rejects the row.
     """
-    names = [c for c in df.columns]
+    names = df.columns
     rows = decode_json(df, schemas.TRANSIT_MESSAGE, value)
+    # Checked on the parts: cheaper than on the key, which a filter would compute again.
+    no_key = F.col("trip_id").isNull() | F.col("observationDateTime").isNull()
+    rows = rejects.tag(rows, [(rejects.NULL_KEY, no_key)])
     coordinates = F.col("location.coordinates")
     columns = {
         "primary_key": name_uuid(F.col("trip_id"), F.col("observationDateTime")),
@@ -82,10 +85,9 @@ def decode_transit(df: DataFrame, value: str = "value", honour_offset: bool = Fa
         "coordinate0": F.get(coordinates, 0).try_cast("double"),
         "coordinate1": F.get(coordinates, 1).try_cast("double"),
     }
-    rows = rows.select(
+    return rows.select(
         *names, rejects.REASON, *[column.alias(name) for name, column in columns.items()]
     )
-    return rejects.tag(rows, [(rejects.NULL_KEY, F.col("primary_key").isNull())])
 
 
 def split_line(
@@ -101,9 +103,10 @@ def split_line(
     with ``fail_fast`` such a field fails the job instead.
     """
     escaped = "".join("\\" + c if not c.isalnum() else c for c in delimiter)
-    parts = F.split(F.col(value), escaped, -1)
-    rows = df.withColumn("_parts", parts)
-    bad = F.size("_parts") < len(fields)
+    # A generator for the same reason as in decode_json: the text is split once.
+    parts = F.array(F.split(F.col(value), escaped, -1))
+    rows = df.select("*", F.explode_outer(parts).alias("_parts"))
+    bad = F.col("_parts").isNull() | (F.size("_parts") < len(fields))
     for position, (name, kind) in enumerate(fields):
         raw = F.get(F.col("_parts"), position)
         rows = rows.withColumn(name, raw.cast(kind) if fail_fast else raw.try_cast(kind))
@@ -118,14 +121,13 @@ def unnest_array(df: DataFrame, element_schema: str, value: str = "value") -> Da
     ``value`` then holds the element's own text. Text that is no array, and elements
     that do not fit the schema, are kept as rows tagged ``corrupt``.
     """
-    elements = F.from_json(F.col(value), "array<string>")
     keep = [c for c in df.columns if c != value]
+    is_array = F.ltrim(F.col(value)).startswith("[")
+    elements = F.when(is_array, F.from_json(F.col(value), "array<string>"))
     # Unreadable text becomes an array of itself, so that it stays as one row.
     whole = F.array(F.coalesce(F.col(value), F.lit("")))
-    readable = F.ltrim(F.col(value)).startswith("[") & elements.isNotNull()
     rows = df.select(
-        *keep,
-        F.posexplode(F.when(readable, elements).otherwise(whole)).alias("position", value),
+        *keep, F.posexplode(F.coalesce(elements, whole)).alias("position", value)
     )
     return decode_json(rows, element_schema, value)
 
