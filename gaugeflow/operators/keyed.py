@@ -65,7 +65,7 @@ def previous(
     key: Sequence[str],
     order_by: Sequence[str],
     fields: Sequence[str],
-    max_key_rows: int = MAX_KEY_ROWS,
+    max_key_rows: int | None = MAX_KEY_ROWS,
     out: str = "previous",
 ) -> DataFrame:
     """Add the struct ``out`` with ``fields`` of the key's previous row in ``order_by``.
@@ -74,10 +74,11 @@ def previous(
     Keys of more than ``max_key_rows`` rows are therefore cut into slices of time
     (the first order column) that are sorted apart; the first row of each slice
     takes its value from the last row of the slice before. To find such keys, their
-    rows are counted first, in a job of its own over the key and order columns.
+    rows are counted first, in a job of its own over the key and order columns; None
+    leaves that out where no key can have so many rows.
     """
     lead = F.col(order_by[0])
-    hot = _hot_keys(df, key, order_by[0], max_key_rows)
+    hot = None if max_key_rows is None else _hot_keys(df, key, order_by[0], max_key_rows)
     value = F.struct(*[F.col(c) for c in fields])
     order = [F.col(c) for c in order_by]
     if hot is None:

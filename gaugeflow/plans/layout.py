@@ -50,3 +50,14 @@ def with_partitions(df: DataFrame, spec: TableSpec) -> DataFrame:
         keys = [F.col(c) for c in spec.hash_keys]
         df = df.withColumn("bucket", hash_bucket(keys, spec.buckets))
     return df
+
+
+def for_write(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows reduced per key, arranged for a write with few files per partition.
+
+    Buckets over the whole key follow from the exchange of the reduction. Others need
+    a rebalance, which splits partitions that are too large and joins small ones.
+    """
+    if spec.hash_keys and set(spec.hash_keys) == set(spec.keys):
+        return df
+    return df.hint("rebalance", *spec.partition_columns)

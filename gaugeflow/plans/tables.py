@@ -17,7 +17,7 @@ from gaugeflow import files
 from gaugeflow.operators import keyed, rejects
 from gaugeflow.plans import spec as specs
 from gaugeflow.plans.catalog import quoted, quoted_column, text_literal
-from gaugeflow.plans.layout import key_filter, key_rules, with_partitions
+from gaugeflow.plans.layout import for_write, key_filter, key_rules, with_partitions
 from gaugeflow.plans.ranges import RangePartition, check_ranges
 from gaugeflow.plans.spec import AddColumn, AlterSpec, ColumnSpec, TableSpec
 
@@ -90,8 +90,8 @@ class Tables:
         if not self._is_empty(name, spec):
             stored = self.spark.table(self._name(name)).select(*spec.keys)
             rows = rows.join(stored, spec.keys, "left_anti")
-        ordered = with_partitions(rows, spec).select(*columns, *spec.partition_columns)
-        ordered.write.insertInto(self._name(name))
+        arranged = for_write(with_partitions(rows, spec), spec)
+        arranged.select(*columns, *spec.partition_columns).write.insertInto(self._name(name))
         return Loaded(rejects.rejected(tagged), keyed.superseded(good, spec.keys))
 
     def _is_empty(self, name: str, spec: TableSpec) -> bool:

@@ -23,13 +23,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeflow import files
 from gaugeflow.operators import keyed, rejects
-from gaugeflow.plans.layout import key_filter, key_rules, with_partitions
+from gaugeflow.plans.layout import for_write, key_filter, key_rules, with_partitions
 from gaugeflow.plans.spec import TableSpec
 from gaugeflow.streaming.ingest import with_trigger
 
 UPSERT = "upsert"
 INSERT = "insert"
 
+# Rows after a snapshot up to which their keys are broadcast to it.
+MAX_BROADCAST_KEYS = 1_000_000
+
 
 class KeyedLog:
     """A keyed table of ``spec`` below ``root``, ordered by ``order_by``.
@@ -94,17 +97,18 @@ class KeyedLog:
         return pick(df, self.spec.keys, self.order_by)
 
     def _write(self, df: DataFrame, path: str) -> None:
-        df = with_partitions(df, self.spec)
-        df.write.mode("overwrite").partitionBy(*self.spec.partition_columns).parquet(path)
+        rows = for_write(with_partitions(df, self.spec), self.spec)
+        rows.write.mode("overwrite").partitionBy(*self.spec.partition_columns).parquet(path)
 
     # -- reading ---------------------------------------------------------------
 
     def current(self, through: int | None = None, where: Column | None = None) -> DataFrame:
         """One row per key, of all batches or of those up to ``through``.
 
-        A merged table with no batch after it is a plain scan. Otherwise the rows are
-        reduced per key, with a partial step before the shuffle. ``where`` may use key
-        and partition columns; it reaches the scan.
+        A merged table with no batch after it is a plain scan. With few rows after it,
+        only the keys among them are reduced again. Otherwise all rows are reduced per
+        key, with a partial step before the shuffle. ``where`` may use key and partition
+        columns; it reaches the scan.
         """
         return self._current(through, where).select(*self.spec.schema.names)
 
@@ -160,19 +164,26 @@ class KeyedLog:
         ]
         base = max(snapshots, default=-1)
         newer = [n for n in self.batches() if n > base and (through is None or n <= through)]
-        parts = []
-        if snapshots:
-            parts.append(self._read("snapshot", "through", [base], where))
-        if newer:
-            parts.append(self._read("log", "batch_id", newer, where))
-        if not parts:
+        if not snapshots and not newer:
             empty = T.StructType([*self.row_schema.fields, T.StructField("batch_id", T.LongType())])
             return self.spark.createDataFrame([], empty)
-        rows = parts[0]
-        if len(parts) == 1 and (snapshots or len(newer) == 1):
-            return rows
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
+        if not newer:
+            return self._read("snapshot", "through", [base], where)
+        added = self._read("log", "batch_id", newer, where)
+        if not snapshots:
+            return added if len(newer) == 1 else self._last(added)
+        merged = self._read("snapshot", "through", [base], where)
+        # Counting rows reads only the files' footers.
+        if self._read("log", "batch_id", newer, None).count() > MAX_BROADCAST_KEYS:
+            return self._last(merged.unionByName(added))
+        # A large snapshot with few later rows: only keys that changed are shuffled.
+        keys = self.spec.keys
+        changed = F.broadcast(added.select(*keys).distinct())
+        untouched = merged.join(changed, keys, "left_anti")
+        touched = merged.join(changed, keys, "left_semi")
+        return untouched.unionByName(self._last(touched.unionByName(added)))
+
+    def _last(self, rows: DataFrame) -> DataFrame:
         pick = keyed.latest if self.mode == UPSERT else keyed.first
         return pick(rows, self.spec.keys, [*self.order_by, "batch_id"])
 

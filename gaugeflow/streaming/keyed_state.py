@@ -2,7 +2,8 @@
 
 Two forms with the same result. :func:`track_previous` keeps the last row per key in
 Spark's state store: cheap per batch however many keys there are. It orders the rows
-a key has in one batch in the task's memory, so the source must limit its batches.
+a key has in one batch in the task's memory, so it stops with an error at a key with
+too many: let the source limit its batches, or use the other form.
 :class:`PreviousFeed` does the work with joins and windows over Parquet: each batch
 reads the stored keys again, but a key with most of the rows is split over tasks.
 
@@ -13,6 +14,7 @@ does not replace the stored one.
 
 from __future__ import annotations
 
+import itertools
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -29,6 +31,9 @@ from gaugeflow.session import ROCKSDB_PROVIDER, settings
 from gaugeflow.streaming.ingest import with_trigger
 from gaugeflow.streaming.keyed_log import KeyedLog
 
+# Rows of one key in one batch that track_previous orders in memory.
+MAX_BATCH_ROWS = 1_000_000
+
 # The processor travels to the workers by value: they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -46,12 +51,13 @@ def output_schema(
 class _Previous(StatefulProcessor):
     """Keeps the order columns and the fields of a key's last row."""
 
-    def __init__(self, columns, order_by, fields, state_schema):
+    def __init__(self, columns, order_by, fields, state_schema, max_rows):
         self._columns = list(columns)
         self._order_by = list(order_by)
         self._fields = list(fields)
         self._carried = list(dict.fromkeys([*order_by, *fields]))
         self._state_schema = state_schema
+        self._max_rows = max_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", self._state_schema)
@@ -61,7 +67,13 @@ class _Previous(StatefulProcessor):
         if self._last.exists():
             last = dict(zip(self._carried, self._last.get()))
         changed = False
-        for row in sorted(rows, key=self._order):
+        batch = list(itertools.islice(rows, self._max_rows + 1))
+        if len(batch) > self._max_rows:
+            raise RuntimeError(
+                f"key {key} has more than {self._max_rows} rows in one batch: "
+                "limit the source's batches or use PreviousFeed"
+            )
+        for row in sorted(batch, key=self._order):
             late = last is not None and self._order(row) < self._order(last)
             shown = None if late or last is None else {c: last[c] for c in self._fields}
             yield Row(**{c: row[c] for c in self._columns}, previous=shown, late=late)
@@ -78,7 +90,11 @@ class _Previous(StatefulProcessor):
 
 
 def track_previous(
-    stream: DataFrame, key: Sequence[str], order_by: Sequence[str], fields: Sequence[str]
+    stream: DataFrame,
+    key: Sequence[str],
+    order_by: Sequence[str],
+    fields: Sequence[str],
+    max_rows: int = MAX_BATCH_ROWS,
 ) -> DataFrame:
     """Streaming rows with ``previous`` and ``late``; start it with :func:`start_stateful`.
 
@@ -88,7 +104,7 @@ def track_previous(
     carried = list(dict.fromkeys([*order_by, *fields]))
     state_schema = T.StructType([T.StructField(c, schema[c].dataType) for c in carried])
     return stream.groupBy(*key).transformWithState(
-        statefulProcessor=_Previous(schema.names, order_by, fields, state_schema),
+        statefulProcessor=_Previous(schema.names, order_by, fields, state_schema, max_rows),
         outputStructType=output_schema(schema, fields),
         outputMode="Append",
         timeMode="None",
@@ -137,13 +153,17 @@ class PreviousFeed:
         """Write the batch's rows, then its last rows; both replace an earlier try."""
         df = df.persist()
         try:
-            rows = self._with_previous(df, batch_id)
+            # A batch below the limit for one key has no key above it.
+            large = df.count() > self.max_key_rows
+            rows = self._with_previous(df, batch_id, self.max_key_rows if large else None)
             rows.write.mode("overwrite").parquet(f"{self.root}/rows/batch_id={batch_id}")
             self.last_rows.write_batch(df, batch_id)
         finally:
             df.unpersist()
 
-    def _with_previous(self, df: DataFrame, batch_id: int) -> DataFrame:
+    def _with_previous(
+        self, df: DataFrame, batch_id: int, max_key_rows: int | None
+    ) -> DataFrame:
         # A replayed batch must not see its own rows.
         stored = self.last_rows.current(through=batch_id - 1)
         prior = stored.select(
@@ -158,14 +178,16 @@ class PreviousFeed:
         joined = df.filter(usable).join(prior, self.key, "left").withColumn(
             "late", F.coalesce(order < F.col("_order"), F.lit(False))
         )
-        rows = previous(
-            joined, [*self.key, "late"], self.order_by, self.fields, self.max_key_rows
-        )
+        rows = previous(joined, [*self.key, "late"], self.order_by, self.fields, max_key_rows)
         shown = F.coalesce("previous", "_prior")
         return rows.select(
             *self.schema.names, F.when(~F.col("late"), shown).alias("previous"), "late"
         )
 
+    def rejected(self) -> DataFrame | None:
+        """Rows without a key or an order, which have no previous row."""
+        return self.last_rows.rejected()
+
     def start(
         self, stream: DataFrame, checkpoint: str, interval: str | None = None
     ) -> StreamingQuery:
