@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import os
 import tempfile
 import uuid
@@ -43,6 +44,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="gaugeflow-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for tables, streams and checkpoints that a job owns.
 
@@ -54,9 +60,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="gaugeflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
