@@ -17,12 +17,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def child_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the directories directly below ``path``; empty if it is absent."""
-    fs, hadoop_path = _open(spark, path)
-    if not fs.exists(hadoop_path):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, in one call however many there are."""
+    fs, hadoop_path = _open(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(hadoop_path) or [])
+
+
+def complete_folders(spark: SparkSession, base: str, label: str) -> list[int]:
+    """Numbers n of the folders ``<base>/<label>=<n>`` that a finished job wrote."""
+    markers = matching(spark, f"{base}/{label}=*/_SUCCESS")
+    return sorted(int(m.split("/")[-2].partition("=")[2]) for m in markers)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -56,6 +56,14 @@ class Tables:
         self._define(spec, f"{self.root}/{spec.name}", 1, {})
         return True
 
+    def create_from(self, path: str) -> bool:
+        """Create the table of a spec file on any Hadoop file system."""
+        return self.create(specs.table_spec(files.read_text(self.spark, path)))
+
+    def alter_from(self, path: str) -> str:
+        """Apply a change file; returns the table's name afterwards."""
+        return self.alter(specs.alter_spec(files.read_text(self.spark, path)))
+
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self._name(name))
 

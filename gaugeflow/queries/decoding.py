@@ -32,7 +32,7 @@ def uuid_sql(text: str) -> str:
 
 @query("SELECT event_id, cast(json_extract_string(props, '$.k') AS INT) AS k FROM events")
 def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decode.decode_json(r.events(spark, sf_dir), "k int", "props")
+    rows = decode.decode_json(r.spread_events(spark, sf_dir), "k int", "props")
     return rejects.accepted(rows).select("event_id", "k")
 
 
@@ -40,7 +40,7 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, user_id::INT AS key, ts::VARCHAR AS date, value AS signal FROM events
 """)
 def sensor_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = r.events(spark, sf_dir).select("event_id", r.sensor_message().alias("value"))
+    rows = r.spread_events(spark, sf_dir).select("event_id", r.sensor_message().alias("value"))
     return rejects.accepted(decode.decode_sensor(rows)).select("event_id", "key", "date", "signal")
 
 
@@ -54,7 +54,7 @@ SELECT event_id,
 FROM events
 """)
 def nested_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = r.events(spark, sf_dir).select("event_id", r.transit_message().alias("value"))
+    rows = r.spread_events(spark, sf_dir).select("event_id", r.transit_message().alias("value"))
     return rejects.accepted(decode.decode_transit(rows)).select(
         "event_id", "location_type", "coordinate0", "coordinate1", "trip_delay",
         "last_stop_arrival_time",
@@ -96,7 +96,7 @@ def transit_report(df: DataFrame) -> DataFrame:
 
 @query(TRANSIT_SQL)
 def transit_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = r.events(spark, sf_dir).select(r.transit_message().alias("value"))
+    rows = r.spread_events(spark, sf_dir).select(r.transit_message().alias("value"))
     return transit_report(rejects.accepted(decode.decode_transit(rows)).drop("value"))
 
 
@@ -127,7 +127,7 @@ SELECT 'Hello' || event_id AS message,
 FROM events
 """)
 def rename_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = r.events(spark, sf_dir).select(r.greeting_message().alias("value"))
+    rows = r.spread_events(spark, sf_dir).select(r.greeting_message().alias("value"))
     rows = decode.decode_json(rows, "date string, name string")
     return decode.rename_project(rejects.accepted(rows), {"name": "message", "date": "date"})
 
@@ -138,7 +138,7 @@ SELECT CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d') END AS a,
 FROM events
 """)
 def select_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = r.events(spark, sf_dir).select(r.greeting_message().alias("value"))
+    rows = r.spread_events(spark, sf_dir).select(r.greeting_message().alias("value"))
     rows = rejects.accepted(decode.decode_greeting(rows))
     catalog.temp_view(decode.rename_project(rows, {"date": "a", "message": "b"}), "greetings")
     return spark.sql("SELECT * FROM greetings")
@@ -168,7 +168,7 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     cut = F.substr(whole, F.lit(1), F.length(whole) - 1)
     text = F.when(F.col("event_type") == "error", cut).otherwise(whole)
-    rows = r.events(spark, sf_dir).select("event_id", text.alias("value"))
+    rows = r.spread_events(spark, sf_dir).select("event_id", text.alias("value"))
     return decode.decode_sensor(rows).select(
         "event_id", F.coalesce(rejects.REASON, F.lit("accepted")).alias("outcome"), "key", "signal"
     )
@@ -224,7 +224,8 @@ def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     document = F.to_json(F.array(element(0), element(1)))
-    return r.table(spark, sf_dir, "lineitem").select(document.alias("value"))
+    lines = messages.spread(r.table(spark, sf_dir, "lineitem"))
+    return lines.select(document.alias("value"))
 
 
 SCHEDULE_SQL = f"""
@@ -319,7 +320,7 @@ def geo_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", area).otherwise(point),
         F.lit("}]}"),
     )
-    features = geo.collections_to_features(r.events(spark, sf_dir).select(text.alias("value")))
+    features = geo.collections_to_features(r.spread_events(spark, sf_dir).select(text.alias("value")))
     return features.drop("geometry")
 
 

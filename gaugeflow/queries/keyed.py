@@ -67,7 +67,7 @@ def keyed_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sensor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded sensor messages with a broker sequence number."""
-    rows = r.events(spark, sf_dir).select(
+    rows = r.spread_events(spark, sf_dir).select(
         F.col("event_id").alias("sequence"), r.sensor_message().alias("value")
     )
     return decode.decode_sensor(rows)
@@ -103,7 +103,7 @@ def sensor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream in four batches by event type, the older ones merged in between."""
     log = sensor_log(spark, UPSERT)
-    rows = r.events(spark, sf_dir).select(
+    rows = r.spread_events(spark, sf_dir).select(
         F.col("event_id").alias("sequence"), "event_type", r.sensor_message().alias("value")
     )
     rows = decode.decode_sensor(rows)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.sources.messages import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -37,6 +39,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events for decoding, which costs far more than reading them."""
+    return spread(events(spark, sf_dir))
+
+
 def iso_text(ts: str = "ts") -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` of a zoneless timestamp, independent of the session zone."""
     text = F.col(ts).cast("string")

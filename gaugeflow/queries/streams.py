@@ -42,7 +42,7 @@ SELECT cast(user_id AS INT) AS key, cast(ts AS VARCHAR) AS date, value AS signal
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text messages as a stream, decoded and appended to Parquet."""
     inbox, out = scratch_dir(spark, "inbox"), scratch_dir(spark, "sensor-files")
-    sent = r.events(spark, sf_dir).select(r.sensor_message().alias("value"))
+    sent = r.spread_events(spark, sf_dir).select(r.sensor_message().alias("value"))
     messages.write_messages(sent, inbox)
     rows = decode.decode_sensor(messages.file_messages(spark, inbox))
     rows = rejects.accepted(rows).select("key", "date", "signal")

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeflow.functions.keys import hash_bucket
 from gaugeflow.operators import decode, rejects
+from gaugeflow.operators.decode import unnest_array
 from gaugeflow.plans import catalog, schemas
-from gaugeflow.plans.spec import AddColumn, alter_spec, table_spec
+from gaugeflow.plans.spec import AddColumn, alter_spec, lenient_json, table_spec
 from gaugeflow.plans.tables import Tables
 from gaugeflow.queries import registry as r
 from gaugeflow.queries.decoding import SCHEDULE_SQL, schedule_documents
 from gaugeflow.queries.registry import query
 from gaugeflow.session import scratch_dir
-from gaugeflow.operators.decode import unnest_array
 
 # The sample create spec, with its trailing comma.
 READINGS_SPEC = """
@@ -90,6 +91,34 @@ def add_column_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return db.read("readings").drop("column4")
 
 
+@query(f"""
+SELECT cast(user_id AS INT) AS column1, cast(event_id AS VARCHAR) AS column2, 60 AS flag FROM events
+UNION ALL
+SELECT cast(o_custkey AS INT), cast(o_orderkey AS VARCHAR), CAST(NULL AS INT) FROM orders
+""")
+def column_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts that leave a column out get its default of that moment."""
+    db = tables(spark)
+    document = lenient_json(READINGS_SPEC)
+    del document["spec"]["tuningConfig"]["partitionSpec"]["rangePartition"]
+    db.create(table_spec(document))
+    db.add_column("readings", AddColumn("flag", T.IntegerType(), default=54))
+    db.set_default("readings", "flag", 60)
+    insert = f"INSERT INTO {db.database}.readings (column1, column2, bucket) SELECT * FROM "
+    bucket = hash_bucket([F.col("column1"), F.col("column2")], 8)
+    keys = reading_rows(spark, sf_dir).select("column1", "column2")
+    catalog.temp_view(keys.withColumn("bucket", bucket), "event_keys")
+    spark.sql(insert + "event_keys")
+    db.remove_default("readings", "flag")
+    orders = r.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("int").alias("column1"),
+        F.col("o_orderkey").cast("string").alias("column2"),
+    )
+    catalog.temp_view(orders.withColumn("bucket", bucket), "order_keys")
+    spark.sql(insert + "order_keys")
+    return db.read("readings").select("column1", "column2", "flag")
+
+
 @query(f"SELECT {_READINGS}, CAST(NULL AS VARCHAR) AS note FROM events WHERE {_RANGED}")
 def add_column_nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = loaded_readings(spark, sf_dir)

@@ -54,3 +54,12 @@ def table_stream(
 def write_messages(df: DataFrame, path: str, value: str = "value") -> None:
     """Write one message per line."""
     df.select(F.col(value).alias("value")).write.text(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly decoding of an input with fewer splits than cores.
+
+    A large input has enough splits and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

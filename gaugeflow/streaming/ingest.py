@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from gaugeflow import files
+from gaugeflow.plans.spec import record_schema
+
 
 def with_trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """Commit every ``interval`` (``"10 seconds"``); without one, drain the input and stop.
@@ -42,6 +45,11 @@ def write_bucketed(
     return with_trigger(writer.outputMode("append"), interval).start()
 
 
+def read_record_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a record schema file on any Hadoop file system."""
+    return record_schema(files.read_text(spark, path))
+
+
 def read_bucketed(
     spark: SparkSession, path: str, schema: T.StructType, bucket: str = "bucket"
 ) -> DataFrame:

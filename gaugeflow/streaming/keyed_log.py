@@ -81,10 +81,23 @@ class KeyedLog:
             rejects.rejected(tagged).write.mode("overwrite").parquet(path)
 
     def start(
-        self, stream: DataFrame, checkpoint: str, interval: str | None = None
+        self,
+        stream: DataFrame,
+        checkpoint: str,
+        interval: str | None = None,
+        compact_every: int | None = None,
     ) -> StreamingQuery:
-        """Feed a stream into the table, one batch per trigger."""
-        writer = stream.writeStream.foreachBatch(self.write_batch)
+        """Feed a stream into the table, one batch per trigger.
+
+        With ``compact_every`` the batches are merged after each such number of them.
+        """
+
+        def write(df: DataFrame, batch_id: int) -> None:
+            self.write_batch(df, batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                self.compact()
+
+        writer = stream.writeStream.foreachBatch(write)
         writer = writer.option("checkpointLocation", checkpoint)
         return with_trigger(writer, interval).start()
 
@@ -135,15 +148,7 @@ class KeyedLog:
         return self._complete("log", "batch_id")
 
     def _complete(self, folder: str, label: str) -> list[int]:
-        base = f"{self.root}/{folder}"
-        numbers = [
-            int(name.partition("=")[2])
-            for name in files.child_dirs(self.spark, base)
-            if name.startswith(label + "=")
-        ]
-        return sorted(
-            n for n in numbers if files.exists(self.spark, f"{base}/{label}={n}/_SUCCESS")
-        )
+        return files.complete_folders(self.spark, f"{self.root}/{folder}", label)
 
     def _read(self, folder: str, label: str, numbers: list[int], where: Column | None) -> DataFrame:
         parts = [T.StructField(c, T.IntegerType()) for c in self.spec.partition_columns]

@@ -136,6 +136,7 @@ class PreviousFeed:
         fields: Sequence[str],
         buckets: int = 8,
         max_key_rows: int = MAX_KEY_ROWS,
+        compact_every: int = 20,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -144,6 +145,7 @@ class PreviousFeed:
         self.order_by = list(order_by)
         self.fields = list(fields)
         self.max_key_rows = max_key_rows
+        self.compact_every = compact_every
         kept = dict.fromkeys([*key, *order_by, *fields])
         columns = tuple(ColumnSpec(c, schema[c].dataType, c in key) for c in kept)
         spec = TableSpec("last_rows", columns, hash_keys=tuple(key), buckets=buckets)
@@ -158,6 +160,10 @@ class PreviousFeed:
             rows = self._with_previous(df, batch_id, self.max_key_rows if large else None)
             rows.write.mode("overwrite").parquet(f"{self.root}/rows/batch_id={batch_id}")
             self.last_rows.write_batch(df, batch_id)
+            if (batch_id + 1) % self.compact_every == 0:
+                # Only this feed reads the last rows, so merged batches can go at once.
+                self.last_rows.compact()
+                self.last_rows.vacuum()
         finally:
             df.unpersist()
 
@@ -198,11 +204,8 @@ class PreviousFeed:
     def rows(self) -> DataFrame:
         """All rows written so far; batches that are not complete are left out."""
         base = f"{self.root}/rows"
-        paths = [
-            f"{base}/{name}"
-            for name in files.child_dirs(self.spark, base)
-            if files.exists(self.spark, f"{base}/{name}/_SUCCESS")
-        ]
+        done = files.complete_folders(self.spark, base, "batch_id")
+        paths = [f"{base}/batch_id={n}" for n in done]
         schema = output_schema(self.schema, self.fields)
         if not paths:
             return self.spark.createDataFrame([], schema)

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from gaugeflow import session
 from gaugeflow.operators import decode, keyed, rejects
 from gaugeflow.plans import catalog, schemas
-from gaugeflow.plans.spec import record_schema
 from gaugeflow.queries.streams import GREETING_RECORD
 from gaugeflow.sources import messages
 from gaugeflow.streaming import ingest
@@ -79,6 +78,18 @@ def test_log_stream_restart_and_replay(spark, folder):
     assert (3, "2022", None) in rows_of(log.current())
 
 
+def test_log_stream_compacts_on_the_way(spark, folder):
+    land(folder + "/in", chunks(SENSOR, 5))
+    log = KeyedLog(spark, folder + "/log", schemas.SENSOR_TABLE, ["date"])
+    stream = sensor_stream(spark, folder + "/in")
+    log.start(stream, folder + "/cp", compact_every=2).awaitTermination()
+    assert os.listdir(folder + "/log/snapshot")
+    log.vacuum()
+    assert log.batches() == [3, 4]
+    df = spark.createDataFrame([tuple(r.values()) for r in SENSOR], "key int, date string, signal double")
+    assert rows_of(log.current()) == rows_of(keyed.latest(df, ["key"], ["date"]))
+
+
 def test_interval_trigger(spark, folder):
     land(folder + "/in", chunks(SENSOR, 2))
     log = KeyedLog(spark, folder + "/log", schemas.SENSOR_TABLE, ["date"])
@@ -94,8 +105,12 @@ def bucketed(spark, folder, lines):
     land(folder + "/in", lines)
     stream = messages.file_messages(spark, folder + "/in", files_per_trigger=1)
     rows = rejects.accepted(decode.decode_greeting(stream)).drop("value")
-    ingest.write_bucketed(rows, folder + "/out", folder + "/cp").awaitTermination()
-    return ingest.read_bucketed(spark, folder + "/out", record_schema(GREETING_RECORD))
+    # A file system URI works like a plain path.
+    ingest.write_bucketed(rows, f"file:{folder}/out", folder + "/cp").awaitTermination()
+    with open(folder + "/record.avsc", "w") as out:
+        out.write(GREETING_RECORD)
+    schema = ingest.read_record_schema(spark, folder + "/record.avsc")
+    return ingest.read_bucketed(spark, folder + "/out", schema)
 
 
 def test_date_buckets(spark, folder):
@@ -197,7 +212,8 @@ def test_previous_by_feed(spark, folder, max_key_rows):
     stream = reading_stream(spark, folder)
     feed = PreviousFeed(
         spark, folder + "/feed", stream.schema,
-        ["k"], ["t"], ["v"], max_key_rows=max_key_rows,
+        ["k"], ["t"], ["v"],
+        max_key_rows=max_key_rows, compact_every=2,
     )
     feed.start(stream, folder + "/cp").awaitTermination()
     check_previous(feed.rows())

@@ -51,6 +51,14 @@ def test_create_from_code(db):
         assert db.read(spec.name).schema.names == spec.schema.names
 
 
+def test_spec_files(db, tmp_path):
+    (tmp_path / "create.json").write_text(READINGS_SPEC)
+    (tmp_path / "alter.json").write_text(READINGS_CHANGE)
+    assert db.create_from(f"file:{tmp_path}/create.json")
+    assert db.alter_from(str(tmp_path / "alter.json")) == "xyz"
+    assert db.read("xyz").columns == ["column1", "column2", "signal", "added"]
+
+
 def test_load_refuses_and_keeps_first(spark, loaded):
     assert first_column(loaded.read("readings")) == KEPT
     result = loaded.load(
