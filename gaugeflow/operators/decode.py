@@ -13,6 +13,7 @@ from gaugeflow.operators import rejects
 from gaugeflow.plans import schemas
 
 _CORRUPT = "_corrupt_record"
+_BLANKS = " \t\r\n"
 
 
 def decode_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
@@ -29,7 +30,7 @@ def decode_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     # A generator, since filters on the fields (such as on the reason) do not move
     # below it. They would move below a projection and parse the text once more each.
     rows = df.select("*", F.inline_outer(F.array(parsed)))
-    blank = F.col(value).isNull() | (F.trim(F.col(value)) == "")
+    blank = F.col(value).isNull() | (F.trim(F.col(value), F.lit(_BLANKS)) == "")
     corrupt = F.col(_CORRUPT).isNotNull() | blank
     return rejects.tag(rows, [(rejects.CORRUPT, corrupt)]).drop(_CORRUPT)
 
@@ -122,7 +123,7 @@ def unnest_array(df: DataFrame, element_schema: str, value: str = "value") -> Da
     that do not fit the schema, are kept as rows tagged ``corrupt``.
     """
     keep = [c for c in df.columns if c != value]
-    is_array = F.ltrim(F.col(value)).startswith("[")
+    is_array = F.ltrim(F.col(value), F.lit(_BLANKS)).startswith("[")
     elements = F.when(is_array, F.from_json(F.col(value), "array<string>"))
     # Unreadable text becomes an array of itself, so that it stays as one row.
     whole = F.array(F.coalesce(F.col(value), F.lit("")))

@@ -86,11 +86,12 @@ def previous(
         return df.withColumn(out, F.lag(value).over(window))
 
     position = _as_number(lead, df.schema[order_by[0]].dataType)
-    slice_no = F.floor((position - F.col("_low")) / F.col("_width"))
+    is_hot = F.col("_low").isNotNull()
+    slice_no = F.when(is_hot, F.floor((position - F.col("_low")) / F.col("_width")))
     sliced = (
         df.join(F.broadcast(hot), list(key), "left")
         .withColumn("_slice", F.coalesce(slice_no, F.lit(0)))
-        .withColumn("_hot", F.col("_low").isNotNull())
+        .withColumn("_hot", is_hot)
         .drop("_low", "_width")
     )
     # Last row of each slice of a hot key, handed to the slice after it.
@@ -126,21 +127,31 @@ def _hot_keys(
 ) -> DataFrame | None:
     """Keys above ``max_key_rows`` with the low end and the width of their slices.
 
-    At most total / max_key_rows keys qualify, which bounds what is broadcast.
+    At most total / max_key_rows keys qualify, which bounds what is collected and
+    broadcast. The count reads the key columns alone; only where it finds a hot key
+    does a second job measure the span of those.
     """
-    position = _as_number(F.col(lead), df.schema[lead].dataType)
-    counts = df.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(position).alias("low"), F.max(position).alias("high")
-    )
-    rows = counts.filter((F.col("n") > max_key_rows) & (F.col("high") > F.col("low"))).collect()
-    if not rows:
+    spark = df.sparkSession
+    names = list(key)
+    counts = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.filter(F.col("_n") > max_key_rows).collect()
+    if not found:
         return None
-    schema = T.StructType(
-        [T.StructField(c, df.schema[c].dataType) for c in key]
-        + [T.StructField("_low", T.DoubleType()), T.StructField("_width", T.DoubleType())]
+    fields = [T.StructField(c, df.schema[c].dataType) for c in names]
+    number = T.StructType([*fields, T.StructField("_n", T.LongType())])
+    candidates = spark.createDataFrame([tuple(row) for row in found], number)
+    position = _as_number(F.col(lead), df.schema[lead].dataType)
+    spans = (
+        df.join(F.broadcast(candidates), names)
+        .groupBy(*names, "_n")
+        .agg(F.min(position).alias("_low"), F.max(position).alias("_high"))
+        .filter("_high > _low")
     )
     cut = []
-    for row in rows:
-        slices = _OVERSPLIT * -(-row["n"] // max_key_rows)
-        cut.append((*[row[c] for c in key], row["low"], (row["high"] - row["low"]) / slices))
-    return df.sparkSession.createDataFrame(cut, schema)
+    for row in spans.collect():
+        slices = _OVERSPLIT * -(-row["_n"] // max_key_rows)
+        cut.append((*[row[c] for c in names], row["_low"], (row["_high"] - row["_low"]) / slices))
+    if not cut:
+        return None
+    bounds = [T.StructField("_low", T.DoubleType()), T.StructField("_width", T.DoubleType())]
+    return spark.createDataFrame(cut, T.StructType([*fields, *bounds]))

@@ -39,3 +39,13 @@ def accepted(df: DataFrame) -> DataFrame:
 
 def rejected(df: DataFrame) -> DataFrame:
     return df.filter(F.col(REASON).isNotNull())
+
+
+def scan_tagged(scan: DataFrame, corrupt: str, reason: str, text: str) -> DataFrame:
+    """Turn the corrupt-record column of a file scan into a reason and the column ``text``.
+
+    The generator keeps every column in the scan. With column pruning Spark would check
+    only the columns that a query happens to use, and the reason would depend on that.
+    """
+    rows = scan.select(F.inline_outer(F.array(F.struct(*scan.columns))))
+    return tag(rows, [(reason, F.col(corrupt).isNotNull())]).withColumnRenamed(corrupt, text)

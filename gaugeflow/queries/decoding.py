@@ -321,6 +321,6 @@ def geo_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("}]}"),
     )
     features = geo.collections_to_features(r.spread_events(spark, sf_dir).select(text.alias("value")))
-    return features.drop("geometry")
+    return rejects.accepted(features).drop("geometry")
 
 

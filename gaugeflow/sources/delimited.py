@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow.operators import rejects
@@ -35,5 +34,4 @@ def read_csv(
         .option("header", header)
         .csv(path)
     )
-    rows = rejects.tag(rows, [(rejects.BAD_FIELD, F.col(_CORRUPT).isNotNull())])
-    return rows.withColumnRenamed(_CORRUPT, "raw")
+    return rejects.scan_tagged(rows, _CORRUPT, rejects.BAD_FIELD, "raw")

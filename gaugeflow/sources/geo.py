@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.operators import rejects
+
 # Geometry stays JSON text: its nesting differs between geometry types.
 _FEATURE = "type string, properties string, geometry string"
 _COLLECTION = f"type string, features array<struct<{_FEATURE}>>"
@@ -12,19 +14,25 @@ _POINT = "type string, coordinates array<string>"
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Features of files that each hold one FeatureCollection."""
-    documents = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
-    return _features(documents)
-
+    """Features of files that each hold one FeatureCollection.
 
-def collections_to_features(df: DataFrame, value: str = "value") -> DataFrame:
-    """Features of text rows that each hold one FeatureCollection."""
-    parsed = df.select(F.from_json(F.col(value), _COLLECTION).alias("c")).select("c.*")
-    return _features(parsed)
+    One task reads such a file; put large sets into text files with one collection (or
+    one feature each) per line and use :func:`collections_to_features`.
+    """
+    return collections_to_features(spark.read.text(path, wholetext=True))
 
 
-def _features(documents: DataFrame) -> DataFrame:
-    features = documents.select(F.explode("features").alias("f")).select("f.*")
+def collections_to_features(df: DataFrame, value: str = "value") -> DataFrame:
+    """Features of text rows that each hold one FeatureCollection.
+
+    Text that is none stays as one row tagged ``corrupt``.
+    """
+    documents = df.select(F.from_json(F.col(value), _COLLECTION).alias("c")).select("c.*")
+    # An unreadable document counts as one missing feature.
+    missing = F.array(F.lit(None).cast(f"struct<{_FEATURE}>"))
+    features = documents.select(F.explode(F.coalesce("features", missing)).alias("f"))
+    features = rejects.tag(features, [(rejects.CORRUPT, F.col("f").isNull())])
+    features = features.select("f.*", rejects.REASON)
     point = F.from_json("geometry", _POINT)
     is_point = F.col("_point.type") == "Point"
     located = features.withColumn("_point", point)
@@ -38,4 +46,5 @@ def _features(documents: DataFrame) -> DataFrame:
         "geometry",
         ordinate(0).alias("lon"),
         ordinate(1).alias("lat"),
+        rejects.REASON,
     )

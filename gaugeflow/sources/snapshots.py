@@ -13,10 +13,10 @@ def read_snapshot_files(
 ) -> DataFrame:
     """Elements of files that each hold one JSON array, which may span lines.
 
-    Such a file cannot be split, so one task reads it; land one file per snapshot
+    Such a file cannot be split, so one task reads it whole; land one file per snapshot
     and read the folder. Large snapshots belong in :func:`read_snapshot_lines`.
     """
-    return spark.read.schema(element_schema).option("multiLine", True).json(path)
+    return unnest_array(spark.read.text(path, wholetext=True), element_schema)
 
 
 def read_snapshot_lines(

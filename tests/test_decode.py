@@ -26,7 +26,7 @@ def one(df):
         ("not json", "corrupt"),
         ('{"key": 5', "corrupt"),
         ("[1, 2]", "corrupt"),
-        ("  ", "corrupt"),
+        (" \t\n", "corrupt"),
         (None, "corrupt"),
     ],
 )
@@ -133,11 +133,20 @@ FLAT = [
 
 
 def test_snapshot_files(spark, tmp_path):
-    (tmp_path / "one.json").write_text(SNAPSHOT)
-    rows = snapshots.read_snapshot_files(spark, str(tmp_path))
+    (tmp_path / "one.json").write_text("\n\t" + SNAPSHOT)
+    rows = rejects.accepted(snapshots.read_snapshot_files(spark, str(tmp_path)))
+    rows = rows.drop("value", "position")
     assert sorted(map(tuple, decode.flatten_schedule(rows, "2021-03-24").collect())) == FLAT
 
 
+def test_snapshot_files_with_bad_parts(spark, tmp_path):
+    (tmp_path / "a.json").write_text(SNAPSHOT.replace('"trip_id":7', '"trip_id":"q"'))
+    (tmp_path / "b.json").write_text("[{")
+    rows = snapshots.read_snapshot_files(spark, str(tmp_path))
+    assert rejects.rejected(rows).count() == 2
+    assert [r["trip_id"] for r in rejects.accepted(rows).select("trip_id").collect()] == [8]
+
+
 def test_snapshot_lines(spark, tmp_path):
     (tmp_path / "lines.txt").write_text(SNAPSHOT.replace("\n", " ") + "\n[]\n")
     rows = snapshots.read_snapshot_lines(spark, str(tmp_path))
@@ -186,6 +195,14 @@ def test_csv_bad_lines(spark, tmp_path):
         delimited.read_csv(spark, str(tmp_path), CSV, fail_fast=True).collect()
 
 
+def test_csv_reason_does_not_depend_on_the_columns_used(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("arrival_time,trip_id,stop_id\na,1,2\na,q,2\na,1\n")
+    rows = delimited.read_csv(spark, str(tmp_path), CSV)
+    assert rejects.accepted(rows).select("arrival_time").count() == 1
+    assert rejects.rejected(rows).count() == 2
+    assert [r[0] for r in rows.select(rejects.REASON).collect()] == [None, "bad_field", "bad_field"]
+
+
 GEO = """{"type": "FeatureCollection", "features": [
  {"type": "Feature", "properties": {"name": "A"}, "geometry": {"type": "MultiPolygon",
   "coordinates": [[[[0, 0], [1, 0], [1, 1], [0, 0]]]]}},
@@ -204,6 +221,12 @@ def test_geojson(spark, tmp_path):
     assert json.loads(rows[1]["properties"]) == {"id": 1}
 
 
+def test_geojson_bad_and_empty(messages):
+    texts = ('{"type":"FeatureCollection","features":[]}', "junk", '{"type":"Feature"}')
+    rows = geo.collections_to_features(messages(*texts)).collect()
+    assert [r[rejects.REASON] for r in rows] == ["corrupt", "corrupt"]
+
+
 def test_text_is_parsed_once(spark, messages):
     """A filter on the reject reason must not bring a second parse into the plan."""
     rows = rejects.accepted(decode.decode_sensor(messages(TRANSIT)))
