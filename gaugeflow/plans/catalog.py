@@ -17,6 +17,15 @@ def text_literal(text: str) -> str:
     return f"'{escaped}'"
 
 
+def register_catalog(
+    spark: SparkSession, name: str, implementation: str, options: dict[str, str] | None = None
+) -> None:
+    """Make a catalog plugin of the deployment known under ``name``; it loads on first use."""
+    spark.conf.set(f"spark.sql.catalog.{name}", implementation)
+    for option, value in (options or {}).items():
+        spark.conf.set(f"spark.sql.catalog.{name}.{option}", value)
+
+
 def use_catalog(spark: SparkSession, name: str = "spark_catalog") -> None:
     spark.catalog.setCurrentCatalog(name)
 

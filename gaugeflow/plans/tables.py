@@ -7,6 +7,7 @@ sub-folder per layout version, partitioned by ``range_id`` and ``bucket``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -53,7 +54,8 @@ class Tables:
         spec.validate()
         if self.exists(spec.name):
             return False
-        self._define(spec, f"{self.root}/{spec.name}", 1, {})
+        # A folder of its own: a renamed or dropped table may still hold the plain name's.
+        self._define(spec, f"{self.root}/{spec.name}-{uuid.uuid4().hex}", 1, {})
         return True
 
     def create_from(self, path: str) -> bool:
@@ -323,10 +325,13 @@ class Tables:
         if files.exists(self.spark, f"{root}/v{version}"):
             self.spark.sql(f"ALTER TABLE {self._sql(spec.name)} RECOVER PARTITIONS")
 
-    def _rewrite(self, name: str, spec: TableSpec, change, renamed: dict[str, str] = {}) -> None:
+    def _rewrite(
+        self, name: str, spec: TableSpec, change, renamed: dict[str, str] | None = None
+    ) -> None:
         """Write the changed rows to the next version folder and point the table there."""
         properties = self._properties(name)
         version = int(properties[_VERSION]) + 1
+        renamed = renamed or {}
         defaults = {renamed.get(c, c): v for c, v in self._defaults(name).items()}
         defaults = {c: v for c, v in defaults.items() if c in spec.schema.names}
         parts = spec.partition_columns

@@ -53,14 +53,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, value FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third message is delivered twice; the stream keeps one of each."""
+    """Clicks are delivered twice, purchases three times; the stream keeps one of each."""
     out = scratch_dir(spark, "once")
-    copies = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    kind = F.col("event_type")
+    copies = F.when(kind == "click", 2).when(kind == "purchase", 3).otherwise(1)
     delivered = event_stream(spark, sf_dir).select(
         "event_id", "user_id", "value",
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_id").cast("string").alias("correlation_id"),
-        F.explode(copies).alias("delivery"),
+        F.explode(F.sequence(F.lit(1), copies)).alias("delivery"),
     )
     once = ingest.drop_redelivered(delivered, "correlation_id", "ts", "60 days")
     rows = once.select("event_id", "user_id", "value")

@@ -259,7 +259,10 @@ def ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-GIVEN_TABLES = ("events", "lineitem", "orders", "customer", "supplier", "part", "nation", "region")
+GIVEN_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in GIVEN_TABLES))

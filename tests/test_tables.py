@@ -1,4 +1,4 @@
-import os
+import glob
 import uuid
 
 import pytest
@@ -98,6 +98,17 @@ def test_rename_table(loaded):
     assert first_column(loaded.read("other")) == KEPT
 
 
+def test_names_can_be_used_again(spark, loaded):
+    loaded.rename("readings", "other")
+    loaded.create(table_spec(READINGS_SPEC))
+    loaded.load("readings", readings(spark, (31, "fresh", 0.0)), ["column4"])
+    assert first_column(loaded.read("other")) == KEPT
+    assert first_column(loaded.read("readings")) == [31]
+    loaded.drop("readings")
+    loaded.create(table_spec(READINGS_SPEC))
+    assert loaded.read("readings").count() == 0
+
+
 def test_add_column_cases(spark, loaded):
     loaded.add_column("readings", AddColumn("a", INT))
     loaded.add_column("readings", AddColumn("b", INT, default=54))
@@ -166,9 +177,10 @@ def test_rename_column(loaded):
 
 def test_ranges(spark, loaded, folder):
     entry = {"lower": [40], "upper": [49], "lower_bound": "exclusive", "upper_bound": "exclusive"}
+    assert glob.glob(f"{folder}/readings-*/v1/range_id=1")
     loaded.drop_range("readings", entry)
     assert first_column(loaded.read("readings")) == [*range(31, 39), *range(51, 59)]
-    assert not os.path.exists(f"{folder}/readings/v1/range_id=1")
+    assert not glob.glob(f"{folder}/readings-*/v1/range_id=1")
     with pytest.raises(ValueError, match="no range"):
         loaded.drop_range("readings", entry)
     with pytest.raises(ValueError, match="overlaps"):
@@ -212,12 +224,16 @@ def test_drop_tables(loaded, folder):
     loaded.create(schemas.SENSOR_TABLE)
     loaded.drop("readings", "sensor", "absent", purge=True)
     assert not loaded.exists("readings") and not loaded.exists("sensor")
-    assert not os.path.exists(f"{folder}/readings")
+    assert not glob.glob(f"{folder}/readings-*")
 
 
 def test_catalog(spark, folder):
     name = f"c_{uuid.uuid4().hex}"
     catalog.use_catalog(spark)
+    catalog.register_catalog(spark, "other", "example.Catalog", {"url": "x"})
+    assert spark.conf.get("spark.sql.catalog.other.url") == "x"
+    spark.conf.unset("spark.sql.catalog.other")
+    spark.conf.unset("spark.sql.catalog.other.url")
     catalog.use_database(spark, name, folder + "/db")
     try:
         assert spark.catalog.currentDatabase() == name
