@@ -8,13 +8,17 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class RangePartition:
-    """One range over the partition columns; each end is inclusive or exclusive."""
+    """One range over the partition columns; each end is inclusive or exclusive.
+
+    The label is a note of the spec and has no effect.
+    """
 
     range_id: int
     lower: tuple
     upper: tuple
     lower_inclusive: bool = True
     upper_inclusive: bool = False
+    label: str | None = None
 
     def sort_key(self):
         return (self.lower, not self.lower_inclusive)

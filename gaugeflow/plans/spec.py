@@ -150,6 +150,7 @@ def _range_document(p: RangePartition) -> dict:
         "upper": [plain(v) for v in p.upper],
         "lower_bound": "inclusive" if p.lower_inclusive else "exclusive",
         "upper_bound": "inclusive" if p.upper_inclusive else "exclusive",
+        **({} if p.label is None else {"label": p.label}),
     }
 
 
@@ -206,6 +207,7 @@ def range_partitions(
             upper=upper,
             lower_inclusive=entry.get("lower_bound", "inclusive") != "exclusive",
             upper_inclusive=entry.get("upper_bound", upper_default) != "exclusive",
+            label=entry.get("label"),
         ))
     return tuple(result)
 

@@ -115,15 +115,21 @@ class KeyedLog:
 
     # -- reading ---------------------------------------------------------------
 
-    def current(self, through: int | None = None, where: Column | None = None) -> DataFrame:
+    def current(
+        self,
+        through: int | None = None,
+        where: Column | None = None,
+        among: DataFrame | None = None,
+    ) -> DataFrame:
         """One row per key, of all batches or of those up to ``through``.
 
         A merged table with no batch after it is a plain scan. With few rows after it,
         only the keys among them are reduced again. Otherwise all rows are reduced per
         key, with a partial step before the shuffle. ``where`` may use key and partition
-        columns; it reaches the scan.
+        columns; it reaches the scan. ``among`` holds distinct keys to keep, few enough
+        to be broadcast: rows of others are dropped before any shuffle.
         """
-        return self._current(through, where).select(*self.spec.schema.names)
+        return self._current(through, where, among).select(*self.spec.schema.names)
 
     def lookup(self, **key_values) -> DataFrame:
         """Rows of one key, reading only the folders that can hold it."""
@@ -163,7 +169,12 @@ class KeyedLog:
             df = df.filter(where)
         return df.select(*self.row_schema.names, "batch_id")
 
-    def _current(self, through: int | None, where: Column | None) -> DataFrame:
+    def _current(
+        self,
+        through: int | None,
+        where: Column | None = None,
+        among: DataFrame | None = None,
+    ) -> DataFrame:
         snapshots = [
             n for n in self._complete("snapshot", "through") if through is None or n <= through
         ]
@@ -172,12 +183,21 @@ class KeyedLog:
         if not snapshots and not newer:
             empty = T.StructType([*self.row_schema.fields, T.StructField("batch_id", T.LongType())])
             return self.spark.createDataFrame([], empty)
+
+        def read(folder: str, label: str, numbers: list[int]) -> DataFrame:
+            rows = self._read(folder, label, numbers, where)
+            if among is None:
+                return rows
+            return rows.join(F.broadcast(among), self.spec.keys, "left_semi")
+
         if not newer:
-            return self._read("snapshot", "through", [base], where)
-        added = self._read("log", "batch_id", newer, where)
+            return read("snapshot", "through", [base])
+        added = read("log", "batch_id", newer)
         if not snapshots:
             return added if len(newer) == 1 else self._last(added)
-        merged = self._read("snapshot", "through", [base], where)
+        merged = read("snapshot", "through", [base])
+        if among is not None:
+            return self._last(merged.unionByName(added))
         # Counting rows reads only the files' footers.
         if self._read("log", "batch_id", newer, None).count() > MAX_BROADCAST_KEYS:
             return self._last(merged.unionByName(added))
@@ -206,7 +226,7 @@ class KeyedLog:
             through = done[-2] if len(done) > 1 else None
         if through is None or through in self._complete("snapshot", "through"):
             return None
-        self._write(self._current(through, None), f"{self.root}/snapshot/through={through}")
+        self._write(self._current(through), f"{self.root}/snapshot/through={through}")
         return through
 
     def vacuum(self) -> None:

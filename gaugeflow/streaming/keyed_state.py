@@ -29,7 +29,7 @@ from gaugeflow.operators.keyed import MAX_KEY_ROWS, previous
 from gaugeflow.plans.spec import ColumnSpec, TableSpec
 from gaugeflow.session import ROCKSDB_PROVIDER, settings
 from gaugeflow.streaming.ingest import with_trigger
-from gaugeflow.streaming.keyed_log import KeyedLog
+from gaugeflow.streaming.keyed_log import MAX_BROADCAST_KEYS, KeyedLog
 
 # Rows of one key in one batch that track_previous orders in memory.
 MAX_BATCH_ROWS = 1_000_000
@@ -155,9 +155,7 @@ class PreviousFeed:
         """Write the batch's rows, then its last rows; both replace an earlier try."""
         df = df.persist()
         try:
-            # A batch below the limit for one key has no key above it.
-            large = df.count() > self.max_key_rows
-            rows = self._with_previous(df, batch_id, self.max_key_rows if large else None)
+            rows = self._with_previous(df, batch_id, df.count())
             rows.write.mode("overwrite").parquet(f"{self.root}/rows/batch_id={batch_id}")
             self.last_rows.write_batch(df, batch_id)
             if (batch_id + 1) % self.compact_every == 0:
@@ -167,11 +165,14 @@ class PreviousFeed:
         finally:
             df.unpersist()
 
-    def _with_previous(
-        self, df: DataFrame, batch_id: int, max_key_rows: int | None
-    ) -> DataFrame:
+    def _with_previous(self, df: DataFrame, batch_id: int, rows_in_batch: int) -> DataFrame:
+        # A batch below the limit for one key has no key above it.
+        max_key_rows = self.max_key_rows if rows_in_batch > self.max_key_rows else None
+        # Only the batch's keys are of interest; many are left to the join below.
+        few = rows_in_batch <= MAX_BROADCAST_KEYS
+        among = df.select(*self.key).distinct() if few else None
         # A replayed batch must not see its own rows.
-        stored = self.last_rows.current(through=batch_id - 1)
+        stored = self.last_rows.current(through=batch_id - 1, among=among)
         prior = stored.select(
             *self.key,
             F.struct(*self.order_by).alias("_order"),

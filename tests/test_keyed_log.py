@@ -131,6 +131,20 @@ def test_small_delta_does_not_shuffle_the_snapshot(spark, folder):
     assert (3, "b", 1.0) in rows_of(log.current()) and log.current().count() == 50
 
 
+@pytest.mark.parametrize("compacted", [False, True])
+def test_among_keeps_the_given_keys(spark, folder, compacted):
+    log = sensor(spark, folder)
+    write(spark, log, [(k, "a", 1.0, k) for k in range(50)], 0)
+    write(spark, log, [(k, "b", 1.0, 100 + k) for k in range(0, 50, 2)], 1)
+    if compacted:
+        log.compact(through=0)
+    keys = spark.createDataFrame([(3,), (4,), (99,)], "key int")
+    found = log.current(among=keys)
+    assert rows_of(found) == [(3, "a", 1.0), (4, "b", 1.0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortAggregate") < plan.index("BroadcastHashJoin")
+
+
 def test_lookup_prunes_buckets(spark, folder):
     log = sensor(spark, folder)
     write(spark, log, [(k, "a", 1.0, k) for k in range(50)], 0)

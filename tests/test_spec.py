@@ -101,10 +101,13 @@ def test_range_default_ends():
     part = document["spec"]["tuningConfig"]["partitionSpec"]["rangePartition"]
     part["partitions"] = [
         {"lower": [1], "upper": [2]},
-        {"lower": [3], "upper": [4], "lower_bound": "inclusive", "upper_bound": "inclusive"},
+        {"lower": [3], "upper": [4], "lower_bound": "inclusive", "upper_bound": "inclusive",
+         "label": "north"},
     ]
-    ends = [(r.lower_inclusive, r.upper_inclusive) for r in table_spec(document).ranges]
-    assert ends == [(True, False), (True, True)]
+    spec = table_spec(document)
+    ends = [(r.lower_inclusive, r.upper_inclusive, r.label) for r in spec.ranges]
+    assert ends == [(True, False, None), (True, True, "north")]
+    assert table_spec(spec.to_json()) == spec
 
 
 def test_alter_spec():
