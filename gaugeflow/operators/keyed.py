@@ -9,10 +9,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows of one key that one task may sort; a key above it is cut into time slices.
+from gaugeflow.session import scratch_root
+
+# Rows of one key that one task may sort; a key above it is cut into slices.
 MAX_KEY_ROWS = 5_000_000
 # Slices per MAX_KEY_ROWS of a hot key, as slack for rows bunched in time.
-_OVERSPLIT = 16
+_OVERSPLIT = 8
+# Slices up to which their last rows are broadcast.
+_MAX_BROADCAST_SLICES = 1_000_000
 
 
 def latest(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -71,87 +75,139 @@ def previous(
     """Add the struct ``out`` with ``fields`` of the key's previous row in ``order_by``.
 
     Rows of a key must be in order, which a plain window does in one task per key.
-    Keys of more than ``max_key_rows`` rows are therefore cut into slices of time
-    (the first order column) that are sorted apart; the first row of each slice
-    takes its value from the last row of the slice before. To find such keys, their
-    rows are counted first, in a job of its own over the key and order columns; None
-    leaves that out where no key can have so many rows.
+    Keys of more than ``max_key_rows`` rows are therefore cut into slices that are
+    sorted apart; the first row of each slice takes its value from the last row of the
+    slice before. To find such keys, their rows are counted first, in a job of its own
+    over the key columns; None leaves that out where no key can have so many rows.
     """
-    lead = F.col(order_by[0])
-    hot = None if max_key_rows is None else _hot_keys(df, key, order_by[0], max_key_rows)
     value = F.struct(*[F.col(c) for c in fields])
     order = [F.col(c) for c in order_by]
-    if hot is None:
+    hot = [] if max_key_rows is None else _hot_keys(df, key, max_key_rows)
+    if not hot:
         window = W.partitionBy(*key).orderBy(*order)
         return df.withColumn(out, F.lag(value).over(window))
 
-    position = _as_number(lead, df.schema[order_by[0]].dataType)
-    is_hot = F.col("_low").isNotNull()
-    slice_no = F.when(is_hot, F.floor((position - F.col("_low")) / F.col("_width")))
-    sliced = (
-        df.join(F.broadcast(hot), list(key), "left")
-        .withColumn("_slice", F.coalesce(slice_no, F.lit(0)))
-        .withColumn("_hot", is_hot)
-        .drop("_low", "_width")
-    )
+    sliced = _slices_of_time(df, key, order_by[0], hot, max_key_rows)
+    if sliced is None:
+        sliced = _slices_by_range(df, key, order_by, hot, max_key_rows)
     # Last row of each slice of a hot key, handed to the slice after it.
     entry = F.struct(F.struct(*order).alias("order"), value.alias("value"))
-    tails = sliced.filter("_hot").groupBy(*key, "_slice").agg(F.max(entry).alias("_tail"))
-    by_slice = W.partitionBy(*key).orderBy("_slice")
-    handed = tails.select(
-        *key, "_slice", F.lag("_tail.value").over(by_slice).alias("_handed")
+    tails = (
+        sliced.filter("_slice IS NOT NULL").groupBy(*key, "_slice").agg(F.max(entry).alias("_tail"))
     )
+    by_slice = W.partitionBy(*key).orderBy("_slice")
+    handed = tails.select(*key, "_slice", F.lag("_tail.value").over(by_slice).alias("_handed"))
+    if _slice_count(hot, max_key_rows) <= _MAX_BROADCAST_SLICES:
+        handed = F.broadcast(handed)
     window = W.partitionBy(*key, "_slice").orderBy(*order)
     rows = sliced.withColumn(out, F.lag(value).over(window))
-    joined = rows.join(handed, [*key, "_slice"], "left")
+    joined = _join_keys(rows, handed, [*key, "_slice"])
     return joined.select(*df.columns, F.coalesce(F.col(out), F.col("_handed")).alias(out))
 
 
-def _as_number(column: Column, data_type: T.DataType) -> Column:
-    if isinstance(data_type, T.NumericType):
-        return column.cast("double")
-    if isinstance(data_type, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(data_type, T.TimestampNTZType):
-        # Read field by field: a detour over an instant would depend on the session zone.
-        days = F.unix_date(column.cast("date")).cast("double")
-        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.extract(F.lit("SECOND"), column)
-        return days * 86_400 + seconds.cast("double")
-    if isinstance(data_type, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    raise TypeError("the first order column must be a number, date or timestamp")
+def _join_keys(df: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Left join that also matches NULL keys; the key columns of ``other`` go."""
+    renamed = {c: f"_other_{c}" for c in key}
+    other = other.withColumnsRenamed(renamed)
+    condition = F.lit(True)
+    for name, new in renamed.items():
+        condition = condition & F.col(name).eqNullSafe(F.col(new))
+    return df.join(other, condition, "left").drop(*renamed.values())
+
+
+def _hot_keys(df: DataFrame, key: Sequence[str], max_key_rows: int) -> list:
+    """Keys above ``max_key_rows`` with their row counts: at most total / max_key_rows."""
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > max_key_rows).collect()
 
 
-def _hot_keys(
-    df: DataFrame, key: Sequence[str], lead: str, max_key_rows: int
+def _slice_count(hot: list, max_key_rows: int) -> int:
+    """Upper bound of the number of slices of all hot keys."""
+    return sum(1 + _OVERSPLIT * -(-row["_n"] // max_key_rows) for row in hot)
+
+
+def _small(df: DataFrame, key: Sequence[str], rows: list, extra: T.StructType) -> DataFrame:
+    """Rows about hot keys as a table to broadcast; their number is bounded as above."""
+    schema = T.StructType([*[T.StructField(c, df.schema[c].dataType) for c in key], *extra])
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+
+
+def _slices_of_time(
+    df: DataFrame, key: Sequence[str], lead: str, hot: list, max_key_rows: int
 ) -> DataFrame | None:
-    """Keys above ``max_key_rows`` with the low end and the width of their slices.
+    """Add ``_slice``, equal widths of the first order column; NULL for other keys.
 
-    At most total / max_key_rows keys qualify, which bounds what is collected and
-    broadcast. The count reads the key columns alone; only where it finds a hot key
-    does a second job measure the span of those.
+    None if the column cannot be measured or its values bunch up in some slice.
     """
-    spark = df.sparkSession
-    names = list(key)
-    counts = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.filter(F.col("_n") > max_key_rows).collect()
-    if not found:
-        return None
-    fields = [T.StructField(c, df.schema[c].dataType) for c in names]
-    number = T.StructType([*fields, T.StructField("_n", T.LongType())])
-    candidates = spark.createDataFrame([tuple(row) for row in found], number)
     position = _as_number(F.col(lead), df.schema[lead].dataType)
+    if position is None:
+        return None
+    counted = T.StructType([T.StructField("_n", T.LongType())])
+    candidates = _small(df, key, [tuple(row) for row in hot], counted)
     spans = (
-        df.join(F.broadcast(candidates), names)
-        .groupBy(*names, "_n")
+        _join_keys(df.select(*key, lead), candidates, key)
+        .filter("_n IS NOT NULL")
+        .groupBy(*key, "_n")
         .agg(F.min(position).alias("_low"), F.max(position).alias("_high"))
-        .filter("_high > _low")
     )
     cut = []
     for row in spans.collect():
         slices = _OVERSPLIT * -(-row["_n"] // max_key_rows)
-        cut.append((*[row[c] for c in names], row["_low"], (row["_high"] - row["_low"]) / slices))
-    if not cut:
+        if row["_low"] is None or row["_low"] == row["_high"]:
+            return None
+        width = (row["_high"] - row["_low"]) / slices
+        cut.append((*[row[c] for c in key], row["_low"], width))
+    bounds = T.StructType(
+        [T.StructField("_low", T.DoubleType()), T.StructField("_width", T.DoubleType())]
+    )
+    # NULL order values come first.
+    number = F.coalesce(F.floor((position - F.col("_low")) / F.col("_width")), F.lit(-1))
+    sliced = (
+        _join_keys(df, _small(df, key, cut, bounds), key)
+        .withColumn("_slice", F.when(F.col("_low").isNotNull(), number))
+        .drop("_low", "_width")
+    )
+    sizes = sliced.filter("_slice IS NOT NULL").groupBy(*key, "_slice").count()
+    if sizes.filter(F.col("count") > max_key_rows).head(1):
         return None
-    bounds = [T.StructField("_low", T.DoubleType()), T.StructField("_width", T.DoubleType())]
-    return spark.createDataFrame(cut, T.StructType([*fields, *bounds]))
+    return sliced
+
+
+def _slices_by_range(
+    df: DataFrame, key: Sequence[str], order_by: Sequence[str], hot: list, max_key_rows: int
+) -> DataFrame:
+    """Add ``_slice``, even parts of a hot key's rows in order; NULL for other keys.
+
+    Works for any order, at the price of one more shuffle of the hot keys' rows. They are
+    checkpointed, since the parts come from a sample and must not change when recomputed.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+    counted = T.StructType([T.StructField("_n", T.LongType())])
+    flagged = _join_keys(df, _small(df, key, [tuple(row) for row in hot], counted), key)
+    cold = flagged.filter("_n IS NULL").drop("_n").withColumn("_slice", F.lit(None).cast("long"))
+    parts = 2 * -(-sum(row["_n"] for row in hot) // max_key_rows)
+    ranged = (
+        flagged.filter("_n IS NOT NULL")
+        .drop("_n")
+        .repartitionByRange(parts, *key, *order_by)
+        .withColumn("_slice", F.spark_partition_id().cast("long"))
+        .checkpoint()
+    )
+    return cold.unionByName(ranged)
+
+
+def _as_number(column: Column, data_type: T.DataType) -> Column | None:
+    if isinstance(data_type, T.NumericType):
+        return column.cast("double")
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(data_type, T.TimestampNTZType):
+        # Read field by field: a detour over an instant would depend on the session zone.
+        days = F.unix_date(column.cast("date")).cast("double")
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.extract(F.lit("SECOND"), column)
+        return days * 86_400 + seconds.cast("double")
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    return None

@@ -90,10 +90,26 @@ def test_previous_cuts_a_hot_key(spark, kind):
     assert cut.exceptAll(plain).count() == 0 and cut.count() == 3000
 
 
-def test_previous_needs_a_measurable_order(spark):
-    df = spark.createDataFrame([(1, "a")], "k int, t string")
-    with pytest.raises(TypeError):
-        keyed.previous(df, ["k"], ["t"], ["t"])
+@pytest.mark.parametrize("case", ["text", "bunched", "one moment", "null key", "null order"])
+def test_previous_cuts_hot_keys_of_any_order(spark, case):
+    key = F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id") % 50)
+    lead = F.col("id") * 7919 % 2999
+    if case == "text":
+        lead = F.concat(F.lit("2024-"), lead.cast("string"))
+    if case == "bunched":
+        lead = F.when(F.col("id") == 1, 10**12).otherwise(lead)
+    if case == "one moment":
+        lead = F.lit(5)
+    if case == "null key":
+        key = F.when(F.col("id") % 3 == 0, F.col("id") % 50)
+    if case == "null order":
+        lead = F.when(F.col("id") % 7 > 0, lead)
+    df = spark.range(3000).select(key.alias("k"), lead.alias("t"), F.col("id").alias("i"))
+    plain = keyed.previous(df, ["k"], ["t", "i"], ["i"], max_key_rows=None)
+    cut = keyed.previous(df, ["k"], ["t", "i"], ["i"], max_key_rows=500)
+    assert "_slice" in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert cut.columns == plain.columns
+    assert cut.exceptAll(plain).count() == 0 and cut.count() == 3000
 
 
 def test_monte_carlo(spark):
