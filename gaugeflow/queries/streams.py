@@ -16,7 +16,7 @@ from gaugeflow.session import scratch_dir
 from gaugeflow.sources import messages
 from gaugeflow.streaming import ingest
 from gaugeflow.streaming.keyed_log import INSERT, UPSERT, KeyedLog
-from gaugeflow.streaming.keyed_state import PreviousFeed, start_stateful, track_previous
+from gaugeflow.streaming.keyed_state import PreviousFeed, track_previous
 
 # Fixed value: record schema of the date-bucketed files.
 GREETING_RECORD = """
@@ -36,6 +36,13 @@ def checkpoint(spark: SparkSession) -> str:
     return scratch_dir(spark, "checkpoint")
 
 
+def run_stateful(spark: SparkSession, stream: DataFrame, path: str) -> None:
+    """Run to the end of the input with as many state partitions as there are cores."""
+    cores = spark.sparkContext.defaultParallelism
+    running = ingest.start_stateful(stream, path, checkpoint(spark), state_partitions=cores)
+    running.awaitTermination()
+
+
 @query("""
 SELECT cast(user_id AS INT) AS key, cast(ts AS VARCHAR) AS date, value AS signal FROM events
 """)
@@ -65,9 +72,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     once = ingest.drop_redelivered(delivered, "correlation_id", "ts", "60 days")
     rows = once.select("event_id", "user_id", "value")
-    writer = rows.writeStream.format("parquet").option("path", out)
-    writer = writer.option("checkpointLocation", checkpoint(spark))
-    ingest.with_trigger(writer, None).start().awaitTermination()
+    run_stateful(spark, rows, out)
     return spark.read.schema(rows.schema).parquet(out)
 
 
@@ -128,7 +133,9 @@ def insert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT * FROM ({TRANSIT_SQL})
-QUALIFY row_number() OVER (PARTITION BY primary_key ORDER BY observation_micros, cast(trip_delay AS BIGINT)) = 1
+QUALIFY row_number() OVER (
+  PARTITION BY primary_key ORDER BY observation_micros, cast(trip_delay AS BIGINT)
+) = 1
 """)
 def transit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transit messages into their table; a repeated trip and time is ignored."""
@@ -157,7 +164,8 @@ def keyed_previous_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previous row per key by joins and windows, batch after batch."""
     rows = event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "value")
     feed = PreviousFeed(
-        spark, scratch_dir(spark, "previous"), rows.schema, ["user_id"], ["ts", "event_id"], ["value"]
+        spark, scratch_dir(spark, "previous"), rows.schema,
+        ["user_id"], ["ts", "event_id"], ["value"],
     )
     feed.start(rows, checkpoint(spark)).awaitTermination()
     return _previous_report(feed.rows())
@@ -169,5 +177,5 @@ def keyed_previous_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "value")
     out = scratch_dir(spark, "previous-state")
     tracked = track_previous(rows, ["user_id"], ["ts", "event_id"], ["value"])
-    start_stateful(tracked, out, checkpoint(spark)).awaitTermination()
+    run_stateful(spark, tracked, out)
     return _previous_report(spark.read.schema(tracked.schema).parquet(out))

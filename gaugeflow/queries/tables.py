@@ -41,7 +41,10 @@ READINGS_SPEC = """
 }
 """
 
-_RANGED = "((user_id > 30 AND user_id < 39) OR (user_id > 40 AND user_id < 49) OR (user_id > 50 AND user_id < 59))"
+_RANGED = (
+    "((user_id > 30 AND user_id < 39) OR (user_id > 40 AND user_id < 49) "
+    "OR (user_id > 50 AND user_id < 59))"
+)
 _READINGS = "cast(user_id AS INT) AS column1, cast(event_id AS VARCHAR) AS column2, value AS column3"
 
 

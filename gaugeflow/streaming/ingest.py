@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from gaugeflow import files
 from gaugeflow.plans.spec import record_schema
+from gaugeflow.session import ROCKSDB_PROVIDER, settings
 
 
 def with_trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
@@ -27,6 +28,28 @@ def drop_redelivered(
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([id_column])
 
 
+def start_stateful(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Append a stateful stream to Parquet, with its state in the disk-backed store.
+
+    ``state_partitions`` is the number of tasks that share the state. It stays with the
+    checkpoint, so choose it once for the cluster; by default the session's shuffle
+    partitions count.
+    """
+    writer = stream.writeStream.format("parquet").outputMode("append")
+    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+    conf = {"spark__sql__streaming__stateStore__providerClass": ROCKSDB_PROVIDER}
+    if state_partitions is not None:
+        conf["spark__sql__shuffle__partitions"] = str(state_partitions)
+    with settings(stream.sparkSession, **conf):
+        return with_trigger(writer, interval).start()
+
+
 def write_bucketed(
     stream: DataFrame,
     path: str,

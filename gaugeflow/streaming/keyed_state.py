@@ -27,7 +27,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from gaugeflow import files
 from gaugeflow.operators.keyed import MAX_KEY_ROWS, previous
 from gaugeflow.plans.spec import ColumnSpec, TableSpec
-from gaugeflow.session import ROCKSDB_PROVIDER, settings
 from gaugeflow.streaming.ingest import with_trigger
 from gaugeflow.streaming.keyed_log import MAX_BROADCAST_KEYS, KeyedLog
 
@@ -96,7 +95,7 @@ def track_previous(
     fields: Sequence[str],
     max_rows: int = MAX_BATCH_ROWS,
 ) -> DataFrame:
-    """Streaming rows with ``previous`` and ``late``; start it with :func:`start_stateful`.
+    """Streaming rows with ``previous`` and ``late``; start it with ``ingest.start_stateful``.
 
     Order columns must not be NULL: reject such rows before.
     """
@@ -111,18 +110,6 @@ def track_previous(
     )
 
 
-def start_stateful(
-    stream: DataFrame, path: str, checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Append a stateful stream to Parquet, with the disk-backed state store."""
-    writer = stream.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    with settings(
-        stream.sparkSession, spark__sql__streaming__stateStore__providerClass=ROCKSDB_PROVIDER
-    ):
-        return with_trigger(writer, interval).start()
-
-
 class PreviousFeed:
     """Previous rows by joins and windows; one folder of rows per batch below ``root``."""
 

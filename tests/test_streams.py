@@ -13,7 +13,8 @@ from gaugeflow.queries.streams import GREETING_RECORD
 from gaugeflow.sources import messages
 from gaugeflow.streaming import ingest
 from gaugeflow.streaming.keyed_log import INSERT, UPSERT, KeyedLog
-from gaugeflow.streaming.keyed_state import PreviousFeed, start_stateful, track_previous
+from gaugeflow.streaming.ingest import start_stateful
+from gaugeflow.streaming.keyed_state import PreviousFeed, track_previous
 
 SENSOR = [
     {"key": i % 7, "date": f"2021-06-01 10:{i // 60:02d}:{i % 60:02d}", "signal": float(i)}
@@ -141,9 +142,9 @@ def test_redelivery(spark, folder):
     stream = messages.file_messages(spark, folder + "/in", files_per_trigger=1)
     rows = decode.decode_json(stream, "id string, at timestamp").select("id", "at")
     once = ingest.drop_redelivered(rows, "id", "at", "10 minutes")
-    writer = once.writeStream.format("parquet").option("path", folder + "/out")
-    writer = writer.option("checkpointLocation", folder + "/cp")
-    ingest.with_trigger(writer, None).start().awaitTermination()
+    running = start_stateful(once, folder + "/out", folder + "/cp", state_partitions=3)
+    running.awaitTermination()
+    assert len([n for n in os.listdir(folder + "/cp/state/0") if n.isdigit()]) == 3
     got = sorted(r["id"] for r in spark.read.parquet(folder + "/out").collect())
     assert got == sorted(r["id"] for r in sent)
 
