@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from gaugeflow.llm import common
 
 #: Known words a worker keeps; when there are more, it forgets them and encodes anew.
-KNOWN_WORDS = 700_000
+KNOWN_WORDS = 500_000
 #: Pairs of tokens a worker remembers to merge or not.
 KNOWN_BORDERS = 1_000_000
 #: Characters whose words are encoded together.

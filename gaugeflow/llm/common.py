@@ -68,3 +68,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if last == first:
         return np.zeros(0, np.uint8), offsets - first
     return np.frombuffer(buffers[2], np.uint8)[first:last], offsets - first
+
+
+def span_summary(kinds: tuple[str, ...], spans: str = "spans") -> list[Column]:
+    """Counts of the base kinds, the digest of their spans, and all spans as text."""
+    def joined(column):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    def number(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number(kind).alias(f"n_{kind}") for kind in kinds]
+    return [
+        *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col(spans)).alias("spans"),
+    ]

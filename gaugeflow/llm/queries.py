@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import bpe, exact_dedup, language, packing, secret_scan, topk
-from gaugeflow.llm.common import doc_id, table
+from gaugeflow.llm import (
+    bpe, exact_dedup, language, line_dedup, packing, pii, secret_scan, topk,
+)
+from gaugeflow.llm.common import doc_id, span_summary, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,15 +63,50 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS position FROM d
+), k AS (
+  SELECT *, translate(
+    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), g AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), m AS (
+  SELECT k.*, g.key IS NOT NULL AND doc_id <> keeper AS dropped
+  FROM k LEFT JOIN g ON k.key = g.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (NOT dropped), ''))
+         AS kept_sha256
+FROM m GROUP BY r, doc_id
+""")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.drop_lines(docs, line_dedup.keep_bitmaps(docs)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+@query()
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *span_summary(pii.KINDS[:-1]))
+
+
 @query()
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", *secret_scan.summary())
+    return found.select("doc_id", *span_summary(secret_scan.KINDS[:-1]))
 
 
 @query()

@@ -19,7 +19,6 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gaugeflow.llm import common
 
@@ -168,19 +167,3 @@ def masked(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         return out
 
     return common.map_batches(docs, run, docs.schema)
-
-
-def summary(spans: str = "spans", kinds: tuple[str, ...] = KINDS[:-1]) -> list:
-    """Counts by kind, the base spans' digest and all spans as text."""
-    def joined(column):
-        return F.array_join(F.transform(column, lambda s: F.concat_ws(
-            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-    base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
-    def number(kind):
-        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
-
-    counts = [number(kind).alias(f"n_{kind}") for kind in kinds]
-    return [
-        *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col(spans)).alias("spans"),
-    ]
