@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
-    bpe, exact_dedup, language, line_dedup, packing, pii, secret_scan, topk,
+    bpe, exact_dedup, jaccard_join, language, line_dedup, packing, pii, secret_scan, topk,
 )
 from gaugeflow.llm.common import doc_id, span_summary, table
 
@@ -97,6 +97,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+@query()
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.near_duplicates(docs, words=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 @query()
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
