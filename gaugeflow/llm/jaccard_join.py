@@ -51,6 +51,7 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] += 32
+_WORDS_AT_ONCE = 100_000  # bounds the memory that a very long text takes
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,7 +66,12 @@ def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
         if not len(edges):
             sets.append(np.zeros(0, np.uint64))
             continue
-        hashes = RollingHash(folded[start:end]).of(edges[0::2], edges[1::2])
+        firsts, lasts, hashes = edges[0::2], edges[1::2], []
+        for at in range(0, len(firsts), _WORDS_AT_ONCE):
+            a, b = firsts[at:at + _WORDS_AT_ONCE], lasts[at:at + _WORDS_AT_ONCE]
+            part = folded[start + a[0]:start + b[-1]]
+            hashes.append(RollingHash(part).of(a - a[0], b - a[0]))
+        hashes = np.concatenate(hashes)
         n = min(words, len(hashes))
         shingles = np.full(len(hashes) - n + 1, np.uint64(n))
         for i in range(n):

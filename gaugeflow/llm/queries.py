@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
-    bpe, exact_dedup, jaccard_join, language, line_dedup, packing, pii, secret_scan, topk,
+    bpe, exact_dedup, jaccard_join, language, line_dedup, packing, pii, secret_scan, suffix_dedup, topk,
 )
 from gaugeflow.llm.common import doc_id, span_summary, table
 
@@ -31,6 +31,18 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    lost = F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"]
+    )
+    return cut.select(
+        "doc_id", "n_bytes", lost.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS xs
