@@ -99,15 +99,25 @@ class TrieEncoder:
         self.fixed = {t: [i] for t, i in special.items()}
         self.ids: dict[str, bytes] = {}
         self.text: dict[str, str] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.ids.clear()
-        self.text.clear()
         for word, ids in self.fixed.items():
-            self._know(word, ids)
+            self.know(word, ids)
 
-    def _know(self, word: str, ids: list[int]) -> None:
+    def make_room(self, words: set[str]) -> None:
+        """Forget words if there are too many, but for the specials and those of now."""
+        if len(self.ids) + len(words) > KNOWN_WORDS:
+            ids, text = self.ids, self.text
+            self.ids = {w: ids[w] for w in words if w in ids}
+            self.text = {w: text[w] for w in words if w in text}
+            for word, special in self.fixed.items():
+                self.know(word, special)
+
+    def mapped(self, word: str) -> str:
+        """The word in the vocabulary's symbols for bytes."""
+        if word.isascii() and word.isprintable():
+            return word
+        return word.encode().decode("latin-1").translate(self.symbols)
+
+    def know(self, word: str, ids: list[int]) -> None:
         self.ids[word] = struct.pack(f"<{len(ids)}I", *ids)
         if self.decodes:
             self.text[word] = " ".join([self.tokens[i] for i in ids])
@@ -165,13 +175,8 @@ class TrieEncoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not known yet."""
-        if len(self.ids) + len(words) > KNOWN_WORDS:
-            self._forget()
-        symbols = self.symbols
-        todo = sorted(
-            (w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(symbols), w)
-            for w in words - self.ids.keys()
-        )
+        self.make_room(words)
+        todo = sorted((self.mapped(w), w) for w in words - self.ids.keys())
         states: list[int] = [-1]
         before = ""
         for word, original in todo:
@@ -187,7 +192,7 @@ class TrieEncoder:
             while end:
                 ids.append(states[end])
                 end -= self.length[ids[-1]]
-            self._know(original, ids[::-1])
+            self.know(original, ids[::-1])
             before = word
 
     def words(self, text: str) -> list[str]:

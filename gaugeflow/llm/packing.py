@@ -18,6 +18,7 @@ packed each; an empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from gaugeflow.llm import bpe, common
 
@@ -179,11 +181,32 @@ def pack_lengths(
     return sequence, offsets
 
 
+class LibraryEncoder(bpe.TrieEncoder):
+    """Words as the vocabulary cuts them, encoded by the tokenizers library one by one.
+
+    The ids are the same; where they are all that is wanted, this is cheaper than the trie.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path, decodes=False)
+        self.model = Tokenizer.from_file(path).model
+
+    def learn(self, words: set[str]) -> None:
+        self.make_room(words)
+        for word in words - self.ids.keys():
+            self.know(word, [t.id for t in self.model.tokenize(self.mapped(word))])
+
+
+@functools.cache
+def _library(path: str) -> LibraryEncoder:
+    return LibraryEncoder(path)
+
+
 def cut(docs: DataFrame, vocabulary: str, size: int) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoded = bpe.encoder(vocabulary, False).encode(batch.column(1).to_pylist())
+        encoded = _library(vocabulary).encode(batch.column(1).to_pylist())
         row, piece, start, length, crc = [], [], [], [], []
         for n, (ids, _) in enumerate(encoded):
             ids += b"\0\0\0\0"  # the end token
