@@ -16,9 +16,11 @@ from gaugeflow.llm import common
 def _stars(edges: DataFrame) -> DataFrame:
     """One round; edges point from ``a`` to a smaller ``b``."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(
+    # Written, so that the join has a plain shuffle on either side and Spark can split the
+    # partition of a node with very many neighbours.
+    least = common.written(both.groupBy("a").agg(F.min("b").alias("m")).select(
         "a", F.least("a", "m").alias("m")
-    )
+    ), "least")
     # Large star: what is larger than a now points to the smallest node that a knows.
     large = both.filter("b > a").join(least, "a").select(
         F.col("b").alias("a"), F.col("m").alias("b")

@@ -7,14 +7,17 @@ shingles, and where the band's allocation says so also its one-deletion neighbou
 many segments a band has, and whether they use neighbourhoods, is chosen by cost from the
 sizes of all documents.
 
-Nodes that share a signature are candidates. Each task joins them as a star around the
-smallest of them (so a signature that a third of all documents share leaves a task as one
-entry), stars meet in buckets, and connected candidates make clusters. Clusters are verified
-exactly in blocks of bounded size: small ones together, large ones as pairs of blocks of
-similar set sizes. What links is joined to components.
-
-Signatures of segments without shingles say nothing and are left out. Bands have enough
-segments for that; a set with more empty segments than the band can spare keeps them.
+Bands have more segments than similar sets can differ in, so similar sets share several
+signatures. Some say nothing: those of empty segments, which are left out, and hot ones that
+more than ``HOT_SIGNATURE`` sets have, whose pairs are not looked at. Pairs of sets under the
+other signatures are counted, and what shares as many as the band has to spare, less what
+says nothing in either set, is a candidate. A set in which more says nothing than the band
+can spare keeps those signatures, and meets the others like it as a star. So nothing is lost,
+and no group of more than a few sets is ever paired.
+
+Connected candidates make clusters. They are verified exactly in blocks of bounded size:
+small ones together, large ones as pairs of blocks of similar set sizes. What links is joined
+to components.
 
 Shingles are 64-bit hashes, nodes 128-bit digests of sets.
 
@@ -41,7 +44,9 @@ from gaugeflow.llm.components import components
 from gaugeflow.llm.hashing import RollingHash, mixed
 
 #: Signatures of a bucket, and shingles of a block that one task verifies.
-BUCKET_SIGNATURES, BLOCK_SHINGLES = 1_000_000, 500_000
+BUCKET_SIGNATURES, BLOCK_SHINGLES = 2_000_000, 500_000
+#: A signature of more sets than this is hot: it says nothing, and its pairs are not counted.
+HOT_SIGNATURE = 32
 #: Size bands grow by this factor.
 BAND_GROWTH = 1.4
 #: What verifying a pair costs, in signatures.
@@ -53,6 +58,7 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] += 32
 _WORDS_AT_ONCE = 100_000  # bounds the memory that a very long text takes
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.uint64((1 << 48) - 1)  # what a bucket keeps of a signature
 
 
 def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
@@ -84,6 +90,11 @@ def node_of(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def short_of(node: bytes) -> int:
+    """What candidates are told apart by: if two nodes share it, both are verified."""
+    return int.from_bytes(node[:8], "little", signed=True)
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Jaccard similarity of at least ``percent`` over shingles of ``words`` words."""
@@ -161,8 +172,8 @@ def allocate(similarity: Similarity, low: int, high: int, sets: int) -> Allocati
     return best
 
 
-def signatures(shingles: np.ndarray, band: int, plan: Allocation) -> np.ndarray:
-    """The signatures of one set in one band."""
+def signatures(shingles: np.ndarray, band: int, plan: Allocation) -> tuple[np.ndarray, int]:
+    """The signatures of one set in one band, and how many of its segments say nothing."""
     spread = mixed(shingles ^ _STEP)
     segment = (spread >> np.uint64(32)) * np.uint64(plan.segments) >> np.uint64(32)
     order = np.argsort(segment, kind="stable")
@@ -182,57 +193,87 @@ def signatures(shingles: np.ndarray, band: int, plan: Allocation) -> np.ndarray:
         if plan.deletions:
             filled = filled[counts > 1]
         found.append(np.delete(tag, filled.astype(np.int64)))
-    return mixed(np.concatenate(found))
+        weak = 0
+    return mixed(np.concatenate(found)), weak
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_key, n_shingles and node (null where there are no words) of each row."""
+    """doc_id, text_key, n_shingles, node and short (null without words) of each row."""
     texts = common.texts(docs).withColumn("text_key", F.xxhash64("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column(1), words)
+        nodes = [node_of(s) if len(s) else None for s in sets]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0), batch.column(2), pa.array(map(len, sets), pa.int64()),
-                pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()),
+                pa.array(nodes, pa.binary()),
+                pa.array([None if n is None else short_of(n) for n in nodes], pa.int64()),
             ],
-            ["doc_id", "text_key", "n_shingles", "node"],
+            ["doc_id", "text_key", "n_shingles", "node", "short"],
         )
 
     return common.map_batches(
-        texts, run, "doc_id long, text_key long, n_shingles long, node binary"
+        texts, run, "doc_id long, text_key long, n_shingles long, node binary, short long"
     )
 
 
-def _stars(groups: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries sorted by (group, member): each group's least member, and stars around them.
-
-    Returns the places of the least entries, and the two ends of the star edges (distinct).
-    """
-    first = np.flatnonzero(np.diff(groups, prepend=groups[:1] + np.uint64(1)))
-    sizes = np.diff(first, append=len(groups))
-    centre = np.repeat(members[first], sizes)
-    edge = centre != members
-    pairs = np.unique(centre[edge].astype(np.int64) << 32 | members[edge])
-    return first, pairs >> 32, pairs & 0xFFFFFFFF
+def _sorted_slots(shorts: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each distinct (short, band), and for each given one its number among them."""
+    order = np.lexsort((bands, shorts))
+    new = np.ones(len(order), bool)
+    new[1:] = np.diff(shorts[order]) != 0
+    new[1:] |= np.diff(bands[order]) != 0
+    place = np.zeros(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place
 
 
-def _sorted(groups: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _grouped(groups: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (group, member), sorted, and how many members the group of each has."""
     order = np.lexsort((members, groups))
-    return groups[order], members[order]
-
-
-def candidate_edges(docs: DataFrame, similarity: Similarity, sizes: dict[int, int]) -> DataFrame:
-    """Edges (a, b) that connect all nodes with a common signature.
-
-    ``sizes`` counts the sets of each band.
-    """
+    groups, members = groups[order], members[order]
+    new = np.ones(len(groups), bool)
+    new[1:] = (np.diff(groups) != 0) | (np.diff(members) != 0)
+    groups, members = groups[new], members[new]
+    first = np.ones(len(groups), bool)
+    first[1:] = np.diff(groups) != 0
+    sizes = np.diff(np.flatnonzero(first), append=len(groups))
+    return groups, members, np.repeat(sizes, sizes)
+
+
+def _counted_pairs(
+    groups: np.ndarray, members: np.ndarray, sizes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of members of one group of up to ``HOT_SIGNATURE``, and in how many they meet."""
+    found = [np.zeros(0, np.int64)]
+    for size in range(2, HOT_SIGNATURE + 1):
+        rows = members[sizes == size].reshape(-1, size)
+        if len(rows):
+            i, j = np.triu_indices(size, 1)
+            found.append((rows[:, i] << 32 | rows[:, j]).ravel())
+    pairs, counts = np.unique(np.concatenate(found), return_counts=True)
+    return pairs >> 32, pairs & 0xFFFFFFFF, counts
+
+
+#: Entries of hot signatures, and pairs with the number of signatures they share.
+_HOT = np.dtype([("sig", "<i8"), ("node", "<i8"), ("band", "u1"), ("spare", "<u2")])
+_PAIR = np.dtype([
+    ("a", "<i8"), ("b", "<i8"), ("band", "u1"), ("need_a", "<u2"), ("need_b", "<u2"),
+    ("n", "<u4"),
+])
+
+
+def _met_signatures(
+    docs: DataFrame, similarity: Similarity, sizes: dict[int, int]
+) -> DataFrame:
+    """What meets under one signature: packed pairs by bucket, and entries of hot signatures."""
     bounds = similarity.bands(10 ** 12)
     plans = {
         band: allocate(similarity, bounds[band], bounds[band + 1], n) for band, n in sizes.items()
     }
     total = sum(2 * n * plans[b].segments for b, n in sizes.items())
-    buckets = np.uint64(max(1, total // BUCKET_SIGNATURES))
+    buckets = np.uint64(total // BUCKET_SIGNATURES + 1)
     percent, words, smallest = similarity.percent, similarity.words, similarity.smallest
     starts = np.array(bounds)
 
@@ -240,78 +281,155 @@ def candidate_edges(docs: DataFrame, similarity: Similarity, sizes: dict[int, in
         sets = {}
         for s in shingle_sets(batch.column(1), words):
             if len(s) >= smallest:
-                sets.setdefault(node_of(s), s)
-        nodes = sorted(sets)
-        found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for owner, node in enumerate(nodes):
-            n = len(sets[node])
-            low = max(smallest, -(-percent * n // 100))
-            first, last = np.searchsorted(starts, [low, n], side="right") - 1
+                sets.setdefault(short_of(node_of(s)), s)
+        found, shorts, bands, spares = [], [], [], []
+        for short, s in sets.items():
+            low = max(smallest, -(-percent * len(s) // 100))
+            first, last = np.searchsorted(starts, [low, len(s)], side="right") - 1
             for band in range(first, last + 1):
                 if band in plans:  # else there is no smaller set to link with
-                    found.append(signatures(sets[node], band, plans[band]))
-                    owners.append(np.full(len(found[-1]), owner))
-        groups, members = _sorted(np.concatenate(found), np.concatenate(owners))
-        least, a, b = _stars(groups, members)
-        packed = np.array(nodes, "V16")
-        groups, members = groups[least], members[least]
-        bucket = groups % buckets
-        order = np.argsort(bucket, kind="stable")
-        groups, members, bucket = groups[order], members[order], bucket[order]
-        cuts = np.flatnonzero(np.diff(bucket, prepend=buckets))
+                    signs, weak = signatures(s, band, plans[band])
+                    found.append(signs)
+                    shorts.append(short)
+                    bands.append(band)
+                    spares.append(min(max(plans[band].shared - weak, 0), 65535))
         rows = []
-        for start, end in zip(cuts, [*cuts[1:], len(bucket)]):
-            used, place = np.unique(members[start:end], return_inverse=True)
-            rows.append((
-                int(bucket[start]), groups[start:end].tobytes(),
-                place.astype("<u4").tobytes(), packed[used].tobytes(), b"",
-            ))
-        if len(a):
-            edges = np.stack([packed[a], packed[b]], axis=1).tobytes()
-            at = int.from_bytes(nodes[0][:4], "big") % int(buckets)
-            rows.append((at, b"", b"", b"", edges))
-        columns = list(zip(*rows)) or [[]] * 5
+        if found:
+            shorts, bands = np.array(shorts, np.int64), np.array(bands, np.uint8)
+            spares = np.array(spares, np.uint16)
+            signs = np.concatenate(found)
+            slots = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            signs, slots, sizes_ = _grouped(signs, slots)
+            # A signature that is hot within the batch sends on no more than shows it is.
+            rank = np.arange(len(signs)) - np.maximum.accumulate(
+                np.where(np.diff(signs, prepend=signs[0] + np.uint64(1)) != 0, np.arange(len(signs)), 0)
+            )
+            over = rank > HOT_SIGNATURE
+            if over.any():
+                hot = _records(_HOT, signs[over] & _LOW, shorts[slots[over]], bands[slots[over]],
+                               spares[slots[over]])
+                rows.append((int(shorts[0] % int(buckets)), b"", b"", b"", b"", b"", hot))
+                signs, slots = signs[~over], slots[~over]
+            bucket = (signs >> np.uint64(32)) % buckets
+            order = np.lexsort((slots, bucket))
+            signs, slots, bucket = signs[order], slots[order], bucket[order]
+            heads = np.flatnonzero(np.diff(bucket, prepend=buckets))
+            low_bytes = signs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            for head, until in zip(heads, np.append(heads[1:], len(bucket))):
+                used, counts = np.unique(slots[head:until], return_counts=True)
+                rows.append((
+                    int(bucket[head]), low_bytes[head:until].tobytes(),
+                    counts.astype("<u4").tobytes(), shorts[used].tobytes(),
+                    bands[used].tobytes(), spares[used].tobytes(), b"",
+                ))
+        columns = list(zip(*rows)) or [[]] * 7
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-            ["bucket", "groups", "owners", "nodes", "edges"],
+            ["bucket", *(f"c{i}" for i in range(6))],
         )
 
-    def meet(bucket: pa.Table) -> pa.Table:
-        groups, members, names, n = [], [], [], 0
-        ready = []
-        for row in bucket.select(["groups", "owners", "nodes", "edges"]).to_batches():
-            for g, o, names_, edges in zip(*(c.to_pylist() for c in row.columns)):
-                ready.append(edges)
-                groups.append(np.frombuffer(g, np.uint64))
-                members.append(np.frombuffer(o, "<u4").astype(np.int64) + n)
-                names.append(names_)
-                n += len(names_) // 16
-        distinct, place = _distinct_names(b"".join(names))
-        g, m = _sorted(np.concatenate(groups), place[np.concatenate(members)])
-        _, a, b = _stars(g, m) if len(g) else (None, np.zeros(0, int), np.zeros(0, int))
-        sides = np.frombuffer(b"".join(ready), "V16").reshape(-1, 2)
-        return pa.table({
-            "a": pa.array([x.tobytes() for x in [*distinct[a], *sides[:, 0]]], pa.binary()),
-            "b": pa.array([x.tobytes() for x in [*distinct[b], *sides[:, 1]]], pa.binary()),
-        })
+    def meet(table: pa.Table) -> pa.Table:
+        parts = [b"".join(table.column(f"c{i}").to_pylist()) for i in range(6)]
+        hot = [parts[5]]
+        rows = []
+        if parts[0]:
+            signs = np.zeros((len(parts[0]) // 6, 8), np.uint8)
+            signs[:, :6] = np.frombuffer(parts[0], np.uint8).reshape(-1, 6)
+            signs = signs.view("<u8").ravel()
+            shorts = np.frombuffer(parts[2], np.int64)
+            bands, spares = np.frombuffer(parts[3], np.uint8), np.frombuffer(parts[4], np.uint16)
+            first, place = _sorted_slots(shorts, bands)
+            slots = np.repeat(place, np.frombuffer(parts[1], "<u4"))
+            shorts, bands, spares = shorts[first], bands[first], spares[first]
+            signs, slots, sizes_ = _grouped(signs, slots)
+            over = sizes_ > HOT_SIGNATURE
+            own = slots[over]
+            hot.append(_records(_HOT, signs[over], shorts[own], bands[own], spares[own]))
+            a, b, n = _counted_pairs(signs[~over], slots[~over], sizes_[~over])
+            if len(a):
+                at = (shorts[a] ^ shorts[b]).view(np.uint64) % buckets
+                order = np.argsort(at, kind="stable")
+                a, b, n, at = a[order], b[order], n[order], at[order]
+                heads = np.flatnonzero(np.diff(at, prepend=buckets))
+                for head, until in zip(heads, np.append(heads[1:], len(at))):
+                    x, y = a[head:until], b[head:until]
+                    packed = _records(
+                        _PAIR, shorts[x], shorts[y], bands[x], spares[x], spares[y], n[head:until]
+                    )
+                    rows.append((int(at[head]), packed, None, None, None, None))
+        for record in np.frombuffer(b"".join(hot), _HOT).tolist():
+            rows.append((None, None, *record))
+        columns = list(zip(*rows)) or [[]] * 6
+        types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.table(
+            [pa.array(c, t) for c, t in zip(columns, types)],
+            ["pairs_bucket", "pairs", "sig", "node", "band", "spare"],
+        )
 
     packed_rows = common.map_batches(
-        common.texts(docs), emit,
-        "bucket long, groups binary, owners binary, nodes binary, edges binary",
+        common.texts(docs), emit, "bucket long, " + ", ".join(f"c{i} binary" for i in range(6))
+    )
+    met = packed_rows.groupBy("bucket").applyInArrow(
+        meet, "pairs_bucket long, pairs binary, sig long, node long, band int, spare int"
     )
-    return packed_rows.groupBy("bucket").applyInArrow(meet, "a binary, b binary")
+    return common.written(met, "met-signatures")
 
 
-def _distinct_names(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct 16-byte names, sorted as bytes, and the place of each given one among them."""
-    halves = np.frombuffer(packed, ">u8").reshape(-1, 2)
-    order = np.lexsort((halves[:, 1], halves[:, 0]))
-    ordered = halves[order]
-    new = np.ones(len(ordered), bool)
-    new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
-    place = np.zeros(len(ordered), np.int64)
-    place[order] = np.cumsum(new) - 1
-    return np.frombuffer(packed, "V16")[order][new], place
+def _records(kind: np.dtype, *columns: np.ndarray) -> bytes:
+    records = np.zeros(len(columns[0]), kind)
+    for name, column in zip(kind.names, columns):
+        records[name] = column
+    return records.tobytes()
+
+
+def candidate_edges(docs: DataFrame, similarity: Similarity, sizes: dict[int, int]) -> DataFrame:
+    """Edges (a, b) of shorts that connect all nodes which may be similar.
+
+    ``sizes`` counts the sets of each band. A pair that shares enough signatures is an edge:
+    as many as the band's allocation says, less the segments that say nothing in both. Those
+    are the empty ones and the hot ones, whose groups are not looked into; the few sets with
+    no other segments to spare meet as stars.
+    """
+    met = _met_signatures(docs, similarity, sizes)
+    hot = met.filter(F.col("sig").isNotNull()).select("sig", "node", "band", "spare").distinct()
+    hot = common.written(hot, "hot-signatures")
+    n_hot = hot.groupBy("node", "band").agg(F.count(F.lit(1)).cast("int").alias("hot"))
+
+    def add(bucket: pa.Table) -> pa.Table:
+        records = np.frombuffer(b"".join(bucket.column("pairs").to_pylist()), _PAIR)
+        records = records[np.lexsort((records["band"], records["b"], records["a"]))]
+        new = np.ones(len(records), bool)
+        for name in ("a", "b", "band"):
+            new[1:] &= records[name][1:] == records[name][:-1]
+        new[1:] = ~new[1:]
+        heads = np.flatnonzero(new)
+        sums = np.add.reduceat(records["n"].astype(np.int64), heads)
+        first = records[heads]
+        return pa.table({
+            name: pa.array((sums if name == "n" else first[name]).astype(np.int64))
+            for name in _PAIR.names
+        })
+
+    pairs = met.filter(F.col("pairs").isNotNull()).select("pairs_bucket", "pairs").groupBy(
+        "pairs_bucket"
+    ).applyInArrow(add, "a long, b long, band long, need_a long, need_b long, n long")
+
+    def less_hot(df: DataFrame, side: str) -> DataFrame:
+        of = n_hot.select(
+            F.col("node").alias(side), F.col("band").cast("long").alias("band"),
+            F.col("hot").alias(f"hot_{side}"),
+        )
+        return df.join(of, [side, "band"], "left").withColumn(
+            f"need_{side}", F.col(f"need_{side}") - F.coalesce(f"hot_{side}", F.lit(0))
+        )
+
+    enough = less_hot(less_hot(pairs, "a"), "b").filter(
+        F.col("n") >= F.greatest("need_a", "need_b")
+    ).select("a", "b")
+    left = hot.join(n_hot, ["node", "band"]).filter(F.col("hot") >= F.col("spare"))
+    centre = left.groupBy("sig").agg(F.min("node").alias("b"))
+    stars = left.select("sig", F.col("node").alias("a")).join(centre, "sig").select("a", "b")
+    return enough.unionByName(stars).filter("a <> b").distinct()
 
 
 def links_within(sets: list[np.ndarray], similarity: Similarity) -> list[tuple[int, int]]:
@@ -387,7 +505,7 @@ def _units(members: DataFrame, similarity: Similarity, block: int) -> DataFrame:
         shifted(-1, "above"), key, "left"
     )
     own = F.pmod(F.xxhash64("node"), F.col("parts"))
-    named = F.lower(F.hex("component"))
+    named = F.col("component").cast("string")
 
     def pairs(count, make):
         upto = F.when(count > 0, F.sequence(F.lit(0).cast("long"), count - 1))
@@ -408,20 +526,33 @@ def _units(members: DataFrame, similarity: Similarity, block: int) -> DataFrame:
 
 
 def _one_of_each(texts: DataFrame) -> DataFrame:
-    """Drop repeated (doc_id, text_key) within a task, so a hot one leaves it a few times."""
+    """doc_id, text_key and the compressed text, each pair once in a batch.
+
+    So a row that a third of all rows repeat is shuffled a few times only.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys = dict.fromkeys(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
-        if len(keys) == batch.num_rows:
-            return batch
-        seen, places = set(), []
-        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
-            if key not in seen:
-                seen.add(key)
-                places.append(i)
-        return batch.take(pa.array(places))
+        keys = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+        first: dict[tuple, int] = {}
+        for i, key in enumerate(keys):
+            first.setdefault(key, i)
+        batch = batch.take(pa.array(first.values(), pa.int64()))
+        codec = pa.Codec("zstd", 1)
+        packed = [
+            codec.compress(t, asbytes=True) for t in batch.column(1).cast(pa.binary()).to_pylist()
+        ]
+        sizes = [len(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0), batch.column(2), pa.array(packed, pa.binary()),
+                pa.array(sizes, pa.int64()),
+            ],
+            ["doc_id", "text_key", "packed", "size"],
+        )
 
-    return common.map_batches(texts, run, texts.schema)
+    return common.map_batches(
+        texts, run, "doc_id long, text_key long, packed binary, size long"
+    )
 
 
 def links(
@@ -433,7 +564,7 @@ def links(
     """
     bounds = similarity.bands(about.agg(F.max("n_shingles")).first()[0] or 0)
     nodes = about.filter(F.col("n_shingles") >= similarity.smallest).groupBy("node").agg(
-        F.first("n_shingles").alias("n_shingles"),
+        F.first("n_shingles").alias("n_shingles"), F.first("short").alias("short"),
         F.min(F.struct("text_key", "doc_id")).alias("sample"),
     )
     nodes = common.written(nodes, "nodes")
@@ -441,7 +572,7 @@ def links(
     band = F.size(F.filter(edges_of_bands, lambda b: b <= F.col("n_shingles"))) - 1
     sizes = {r["band"]: r["count"] for r in nodes.groupBy(band.alias("band")).count().collect()}
     clusters = components(candidate_edges(docs, similarity, sizes))
-    members = nodes.join(clusters, "node")
+    members = nodes.join(clusters.withColumnRenamed("node", "short"), "short")
     units = _units(
         common.written(members, "candidates"), similarity, block
     ).select("node", "units", "sample.*")
@@ -451,11 +582,16 @@ def links(
     )
     chosen = texts.join(
         wanted, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))
-    ).select("node", "units", "text")
+    ).select("node", "units", "packed", "size")
     words = similarity.words
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.tobytes() for s in shingle_sets(batch.column(2), words)]
+        codec = pa.Codec("zstd")
+        plain = [
+            codec.decompress(t, n, asbytes=True) if n else b""
+            for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+        ]
+        sets = [s.tobytes() for s in shingle_sets(pa.array(plain, pa.binary()), words)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(sets, pa.binary())],
             ["node", "units", "shingles"],
