@@ -58,6 +58,8 @@ def range_id(
     def compare(values, or_equal: bool, greater: bool) -> Column:
         # Lexicographic comparison of the columns with the bound, last column first.
         result = None
+        if not values:
+            return F.lit(True)
         for column, bound in reversed(list(zip(columns, literals(values)))):
             strict = column > bound if greater else column < bound
             if result is None:

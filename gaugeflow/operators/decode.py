@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.keys import name_uuid
@@ -19,8 +19,9 @@ _BLANKS = " \t\r\n"
 def decode_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """Parse ``value`` once; add the schema's fields and a reject reason.
 
-    Text that is no JSON object, or that does not fit the schema, is tagged
-    ``corrupt`` and keeps its text in ``value``.
+    Text that is no JSON object, that does not fit the schema, or that goes on after
+    its object (as two messages on a line do) is tagged ``corrupt`` and keeps its text
+    in ``value``.
     """
     parsed = F.from_json(
         F.col(value),
@@ -31,10 +32,23 @@ def decode_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     # below it. They would move below a projection and parse the text once more each.
     rows = df.select("*", F.inline_outer(F.array(parsed)))
     blank = F.col(value).isNull() | (F.trim(F.col(value), F.lit(_BLANKS)) == "")
-    corrupt = F.col(_CORRUPT).isNotNull() | blank
+    corrupt = F.col(_CORRUPT).isNotNull() | blank | _goes_on(F.col(value))
     return rejects.tag(rows, [(rejects.CORRUPT, corrupt)]).drop(_CORRUPT)
 
 
+def _goes_on(text: Column) -> Column:
+    """Whether anything follows the first object; the parser stops there in silence.
+
+    As the only element of an array, text must be one object to its end. Few texts need
+    that second look: flat objects have one closing brace, and it is their last sign.
+    """
+    bare = F.btrim(text, F.lit(_BLANKS))
+    open_, close = (F.length(F.regexp_replace(bare, rf"[^{b}]", "")) for b in (r"\{", r"\}"))
+    suspicious = ~bare.endswith("}") | bare.rlike(r"\}\s*[^\s\]}]") | (open_ != close)
+    elements = F.json_array_length(F.concat(F.lit("["), bare, F.lit("]")))
+    return suspicious & (F.coalesce(elements, F.lit(0)) != 1)
+
+
 def decode_sensor(df: DataFrame, value: str = "value") -> DataFrame:
     """``key, date, signal`` of a sensor message."""
     rows = decode_json(df, schemas.SENSOR_MESSAGE, value)
@@ -67,7 +81,9 @@ def decode_transit(df: DataFrame, value: str = "value", honour_offset: bool = Fa
     # Checked on the parts: cheaper than on the key, which a filter would compute again.
     no_key = F.col("trip_id").isNull() | F.col("observationDateTime").isNull()
     rows = rejects.tag(rows, [(rejects.NULL_KEY, no_key)])
-    coordinates = F.col("location.coordinates")
+    # A location of another shape must not make the rest unreadable.
+    location = F.from_json("location", schemas.TRANSIT_LOCATION)
+    coordinates = F.from_json(location["coordinates"], "array<string>")
     columns = {
         "primary_key": name_uuid(F.col("trip_id"), F.col("observationDateTime")),
         "trip_id": F.col("trip_id"),
@@ -82,7 +98,7 @@ def decode_transit(df: DataFrame, value: str = "value", honour_offset: bool = Fa
         "speed": F.col("speed").try_cast("double"),
         "observationDateTime": iso_timestamp(F.col("observationDateTime"), honour_offset),
         "trip_delay": F.col("trip_delay"),
-        "location_type": F.col("location.type"),
+        "location_type": location["type"],
         "coordinate0": F.get(coordinates, 0).try_cast("double"),
         "coordinate1": F.get(coordinates, 1).try_cast("double"),
     }

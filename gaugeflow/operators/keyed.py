@@ -100,11 +100,38 @@ def previous(
     if _slice_count(hot, max_key_rows) <= _MAX_BROADCAST_SLICES:
         handed = F.broadcast(handed)
     window = W.partitionBy(*key, "_slice").orderBy(*order)
+    # Said outright: where rows already lie together by key, Spark would see no need for an
+    # exchange and leave all slices of a hot key in one task.
+    sliced = sliced.repartition(*key, "_slice")
     rows = sliced.withColumn(out, F.lag(value).over(window))
     joined = _join_keys(rows, handed, [*key, "_slice"])
     return joined.select(*df.columns, F.coalesce(F.col(out), F.col("_handed")).alias(out))
 
 
+def join_one_of_each(
+    df: DataFrame, prior: DataFrame, key: Sequence[str], max_key_rows: int
+) -> DataFrame:
+    """Left join with ``prior``, which has a row for each key, without gathering a hot key.
+
+    Rows of keys above ``max_key_rows`` are dealt into parts, and the prior row of such a
+    key is repeated for each part.
+    """
+    hot = _hot_keys(df, key, max_key_rows)
+    if not hot:
+        return df.join(prior, list(key), "left")
+    parts = T.StructType([T.StructField("_parts", T.LongType())])
+    sizes = [(*[row[c] for c in key], -(-row["_n"] // max_key_rows)) for row in hot]
+    known = _small(df, key, sizes, parts)
+    dealt = _join_keys(df, known, key).withColumn(
+        "_part", F.coalesce(F.pmod(F.xxhash64(*df.columns), "_parts"), F.lit(0))
+    ).drop("_parts")
+    last = F.coalesce(F.col("_parts") - 1, F.lit(0))
+    repeated = _join_keys(prior, known, key).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), last))
+    ).drop("_parts")
+    return dealt.join(repeated, [*key, "_part"], "left").drop("_part")
+
+
 def _join_keys(df: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
     """Left join that also matches NULL keys; the key columns of ``other`` go."""
     renamed = {c: f"_other_{c}" for c in key}

@@ -55,9 +55,11 @@ def with_partitions(df: DataFrame, spec: TableSpec) -> DataFrame:
 def for_write(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows reduced per key, arranged for a write with few files per partition.
 
-    Buckets over the whole key follow from the exchange of the reduction. Others need
-    a rebalance, which splits partitions that are too large and joins small ones.
+    Buckets over the whole key, in its order, follow from the exchange of the reduction
+    where the shuffle's partitions are a multiple of them. Others need a rebalance, which
+    splits partitions that are too large and joins small ones.
     """
-    if spec.hash_keys and set(spec.hash_keys) == set(spec.keys):
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if spec.hash_keys and tuple(spec.hash_keys) == tuple(spec.keys) and shuffled % spec.buckets == 0:
         return df
     return df.hint("rebalance", *spec.partition_columns)

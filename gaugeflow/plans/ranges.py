@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,6 +11,9 @@ from dataclasses import dataclass
 class RangePartition:
     """One range over the partition columns; each end is inclusive or exclusive.
 
+    A bound may name the first columns only, and an empty one is open: rows are then
+    compared by the columns that it names.
+
     The label is a note of the spec and has no effect.
     """
 
@@ -21,7 +25,17 @@ class RangePartition:
     label: str | None = None
 
     def sort_key(self):
-        return (self.lower, not self.lower_inclusive)
+        return self.span()[0]
+
+    def span(self) -> tuple[tuple, tuple]:
+        """Ends that compare like the bounds do, whatever columns these name.
+
+        Behind the values stands where the end lies among rows that share them: before
+        all (-1) or after all (1). An open end is before or after everything.
+        """
+        before = not self.lower or self.lower_inclusive
+        after = not self.upper or self.upper_inclusive
+        return (*self.lower, _End(-1 if before else 1)), (*self.upper, _End(1 if after else -1))
 
     def same_bounds(self, other: RangePartition) -> bool:
         return (
@@ -32,17 +46,29 @@ class RangePartition:
         )
 
 
+@functools.total_ordering
+@dataclass(frozen=True)
+class _End:
+    """Before (-1) or after (1) every value."""
+
+    side: int
+
+    def __lt__(self, other) -> bool:
+        return self.side < (other.side if isinstance(other, _End) else 0)
+
+    def __gt__(self, other) -> bool:
+        return self.side > (other.side if isinstance(other, _End) else 0)
+
+
 def check_ranges(partitions: Sequence[RangePartition]) -> None:
     """Refuse empty and overlapping ranges."""
     for p in partitions:
-        closed = p.lower_inclusive and p.upper_inclusive
-        if p.lower > p.upper or (p.lower == p.upper and not closed):
+        low, high = p.span()
+        if low >= high:
             raise ValueError(f"empty range {p.lower} .. {p.upper}")
     ordered = sorted(partitions, key=RangePartition.sort_key)
     for left, right in zip(ordered, ordered[1:]):
-        touching = left.upper == right.lower
-        shared = touching and left.upper_inclusive and right.lower_inclusive
-        if left.upper > right.lower or shared:
+        if left.span()[1] > right.span()[0]:
             raise ValueError(
                 f"range {left.lower} .. {left.upper} overlaps {right.lower} .. {right.upper}"
             )

@@ -12,8 +12,9 @@ TRANSIT_MESSAGE = (
     "trip_id string, id string, route_id string, trip_direction string, "
     "actual_trip_start_time string, last_stop_arrival_time string, vehicle_label string, "
     "license_plate string, last_stop_id string, speed string, observationDateTime string, "
-    "trip_delay string, location struct<type: string, coordinates: array<string>>"
+    "trip_delay string, location string"
 )
+TRANSIT_LOCATION = "type string, coordinates string"
 SCHEDULE_ELEMENT = (
     "trip_id int, trip_details struct<arrival_time: string, stop_sequence: int, "
     "stop_id: int, departure_time: string>"

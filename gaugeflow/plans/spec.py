@@ -199,8 +199,11 @@ def range_partitions(
     for position, entry in enumerate(entries):
         has_bounds = "lower_bound" in entry or "upper_bound" in entry
         upper_default = "inclusive" if has_bounds else "exclusive"
-        lower = tuple(typed_literal(v, t) for v, t in zip(entry["lower"], types, strict=True))
-        upper = tuple(typed_literal(v, t) for v, t in zip(entry["upper"], types, strict=True))
+        if max(len(entry["lower"]), len(entry["upper"])) > len(types):
+            raise ValueError(f"a bound has more values than the {len(types)} range columns")
+        # A bound may name the first columns only, or none.
+        lower = tuple(typed_literal(v, t) for v, t in zip(entry["lower"], types))
+        upper = tuple(typed_literal(v, t) for v, t in zip(entry["upper"], types))
         result.append(RangePartition(
             range_id=int(entry.get("id", first_id + position)),
             lower=lower,
@@ -239,8 +242,10 @@ def table_spec(document: str | dict) -> TableSpec:
     if ranged and "columns" in ranged and "partitions" in ranged:
         names = tuple(ranged["columns"])
         types = [base.type_of(name) for name in names]
+        ranges = range_partitions(ranged["partitions"], types)
+        # No ranges at all are one without bounds.
         base = replace(
-            base, range_columns=names, ranges=range_partitions(ranged["partitions"], types)
+            base, range_columns=names, ranges=ranges or (RangePartition(0, (), ()),)
         )
     return base
 

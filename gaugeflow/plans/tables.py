@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow import files
@@ -21,6 +22,7 @@ from gaugeflow.plans.catalog import quoted, quoted_column, text_literal
 from gaugeflow.plans.layout import for_write, key_filter, key_rules, with_partitions
 from gaugeflow.plans.ranges import RangePartition, check_ranges
 from gaugeflow.plans.spec import AddColumn, AlterSpec, ColumnSpec, TableSpec
+from gaugeflow.session import scratch_dir
 
 _SPEC = "gaugeflow.spec"
 _ROOT = "gaugeflow.root"
@@ -88,21 +90,42 @@ class Tables:
     def load(self, name: str, df: DataFrame, order_by: Sequence[str]) -> Loaded:
         """Insert rows; the first row of a key stays, whether loaded now or before.
 
-        Rows without a key, a required value or a range are returned, not loaded.
-        For upserts and continuous loads use ``streaming.keyed_log``.
+        Rows without a key, a required value or a range are returned, not loaded; so are
+        the keys of which rows lost, to the load's own or to stored ones, with how many.
+        Columns that ``df`` leaves out get their default, or NULL. For upserts and
+        continuous loads use ``streaming.keyed_log``.
         """
         spec = self.spec(name)
         columns = spec.schema.names
+        defaults = self._defaults(name)
+        for c in columns:
+            if c not in df.columns:
+                value = F.expr(defaults.get(c, "NULL")).cast(spec.type_of(c))
+                df = df.withColumn(c, value)
         tagged = rejects.tag(df, key_rules(spec))
         good = rejects.accepted(tagged)
         beside = [c for c in order_by if c not in columns]
         rows = keyed.first(good.select(*columns, *beside), spec.keys, order_by).select(*columns)
+        counts = good.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_n"))
+        lost = F.col("_n") - 1
         if not self._is_empty(name, spec):
             stored = self.spark.table(self._name(name)).select(*spec.keys)
             rows = rows.join(stored, spec.keys, "left_anti")
+            known = stored.select(*spec.keys, F.lit(1).alias("_stored"))
+            counts = counts.join(known, spec.keys, "left")
+            lost = lost + F.coalesce("_stored", F.lit(0))
+        # Written before the insert, which would make all of them stored.
+        path = scratch_dir(self.spark, "superseded")
+        superseded = counts.select(*spec.keys, lost.alias("superseded")).filter("superseded > 0")
+        superseded.write.parquet(path)
         arranged = for_write(with_partitions(rows, spec), spec)
         arranged.select(*columns, *spec.partition_columns).write.insertInto(self._name(name))
-        return Loaded(rejects.rejected(tagged), keyed.superseded(good, spec.keys))
+        superseded = self.spark.read.schema(superseded.schema).parquet(path)
+        return Loaded(rejects.rejected(tagged), superseded)
+
+    def insert(self, name: str, query: str, order_by: Sequence[str]) -> Loaded:
+        """Load the rows of a SQL query, with the checks and layout of :meth:`load`."""
+        return self.load(name, self.spark.sql(query), order_by)
 
     def _is_empty(self, name: str, spec: TableSpec) -> bool:
         return not self.spark.sql(f"SHOW PARTITIONS {self._sql(name)}").head(1)
@@ -159,9 +182,10 @@ class Tables:
             return
         properties = self._properties(name)
         retired = {*self._retired(name), column}
+        comments = self._comments(name)
         self.spark.sql(f"DROP TABLE {self._sql(name)}")
         self._define(
-            smaller, properties[_ROOT], int(properties[_VERSION]), {}, retired=retired
+            smaller, properties[_ROOT], int(properties[_VERSION]), {}, retired, comments
         )
 
     def rename_column(self, name: str, old: str, new: str) -> None:
@@ -240,8 +264,12 @@ class Tables:
         return specs.range_partitions([plain], types, number)[0]
 
     def alter(self, change: AlterSpec) -> str:
-        """Apply a change document; returns the table's name afterwards."""
+        """Apply a change document; returns the table's name afterwards.
+
+        What can be told from the spec is checked before anything is changed.
+        """
         name = change.table
+        self._check(change)
         for column in change.add_columns:
             self.add_column(name, column)
         for column in change.drop_columns:
@@ -257,6 +285,39 @@ class Tables:
             name = change.rename_table
         return name
 
+    def _check(self, change: AlterSpec) -> None:
+        """Refuse a change document of which some part would fail."""
+        spec = self.spec(change.table)
+        names = list(spec.schema.names)
+        for column in change.add_columns:
+            if column.name in names or column.name in spec.partition_columns:
+                raise ValueError(f"column {column.name} exists")
+            if not column.nullable and column.default is None:
+                if not self._is_empty(change.table, spec):
+                    raise ValueError(f"column {column.name} must not be NULL but has no default")
+            names.append(column.name)
+        for column in change.drop_columns:
+            if column in spec.keys:
+                raise ValueError(f"key column {column} cannot be dropped")
+            if column not in names:
+                raise ValueError(f"no column {column}")
+            names.remove(column)
+        for old, new in change.rename_columns:
+            if old not in names:
+                raise ValueError(f"no column {old}")
+            if new in names or new in spec.partition_columns:
+                raise ValueError(f"column {new} exists")
+            names[names.index(old)] = new
+        left = list(spec.ranges)
+        for entry in change.drop_ranges:
+            wanted = self._range(spec, entry, -1)
+            if not any(r.same_bounds(wanted) for r in left):
+                raise ValueError(f"no range {wanted.lower} .. {wanted.upper}")
+            left = [r for r in left if not r.same_bounds(wanted)]
+        check_ranges([*left, *(self._range(spec, e, -1) for e in change.add_ranges)])
+        if change.rename_table and self.exists(change.rename_table):
+            raise ValueError(f"table {change.rename_table} exists")
+
     def drop(self, *names: str, purge: bool = False) -> None:
         """Drop tables that exist; ``purge`` deletes their files too."""
         for name in names:
@@ -292,6 +353,14 @@ class Tables:
             f.name: f.metadata["CURRENT_DEFAULT"] for f in fields if "CURRENT_DEFAULT" in f.metadata
         }
 
+    def _comments(self, name: str) -> dict[str | None, str]:
+        """Comments by column; that of the table under None."""
+        fields = self.spark.table(self._name(name)).schema.fields
+        comments = {f.name: f.metadata["comment"] for f in fields if "comment" in f.metadata}
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._sql(name)}").collect()
+        own = [row["data_type"] for row in described if row["col_name"] == "Comment"]
+        return comments | ({None: own[0]} if own else {})
+
     def _store_spec(self, name: str, spec: TableSpec) -> None:
         self.spark.sql(
             f"ALTER TABLE {self._sql(name)} SET TBLPROPERTIES "
@@ -305,11 +374,14 @@ class Tables:
         version: int,
         defaults: dict[str, str],
         retired: set[str] = frozenset(),
+        comments: dict[str | None, str] | None = None,
     ) -> None:
         def column(name: str, data_type: T.DataType) -> str:
             default = f" DEFAULT {defaults[name]}" if name in defaults else ""
-            return f"{quoted_column(name)} {data_type.simpleString()}{default}"
+            noted = f" COMMENT {text_literal(comments[name])}" if name in comments else ""
+            return f"{quoted_column(name)} {data_type.simpleString()}{default}{noted}"
 
+        comments = comments or {}
         columns = [column(f.name, f.dataType) for f in spec.schema]
         columns += [column(c, T.IntegerType()) for c in spec.partition_columns]
         properties = {
@@ -322,6 +394,8 @@ class Tables:
             f"PARTITIONED BY ({', '.join(spec.partition_columns)}) "
             f"LOCATION {text_literal(f'{root}/v{version}')} TBLPROPERTIES ({listed})"
         )
+        if None in comments:
+            self.comment_table(spec.name, comments[None])
         if files.exists(self.spark, f"{root}/v{version}"):
             self.spark.sql(f"ALTER TABLE {self._sql(spec.name)} RECOVER PARTITIONS")
 
@@ -334,12 +408,16 @@ class Tables:
         renamed = renamed or {}
         defaults = {renamed.get(c, c): v for c, v in self._defaults(name).items()}
         defaults = {c: v for c, v in defaults.items() if c in spec.schema.names}
+        comments = {renamed.get(c, c): v for c, v in self._comments(name).items()}
         parts = spec.partition_columns
         rows = change(self.spark.table(self._name(name))).select(*spec.schema.names, *parts)
         folder = properties[_ROOT]
         rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{folder}/v{version}")
         self.spark.sql(f"DROP TABLE {self._sql(name)}")
-        self._define(spec, folder, version, defaults)
+        self._define(spec, folder, version, defaults, comments=comments)
+        # Older versions would keep rows of ranges that were dropped since.
+        for old in range(1, version):
+            files.delete(self.spark, f"{folder}/v{old}")
 
 
 def sql_literal(value) -> str:

@@ -224,7 +224,7 @@ def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     document = F.to_json(F.array(element(0), element(1)))
-    lines = messages.spread(r.table(spark, sf_dir, "lineitem"))
+    lines = messages.spread(r.table(spark, sf_dir, "lineitem"), r.decode_tasks(spark))
     return lines.select(document.alias("value"))
 
 
@@ -321,6 +321,81 @@ def geo_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("}]}"),
     )
     features = geo.collections_to_features(r.spread_events(spark, sf_dir).select(text.alias("value")))
-    return rejects.accepted(features).drop("geometry")
+    return rejects.accepted(features).drop("geometry", "id", "raw")
 
 
+
+@query("""
+SELECT event_id,
+       CASE WHEN event_type = 'click' THEN NULL ELSE cast(user_id AS INT) END AS key,
+       CASE WHEN event_type = 'click' THEN 'corrupt' END AS reject_reason
+FROM events
+""")
+def concatenated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks come as two messages on one line, which is no message."""
+    one = r.sensor_message()
+    text = F.when(F.col("event_type") == "click", F.concat(one, one)).otherwise(one)
+    rows = decode.decode_sensor(
+        r.spread_events(spark, sf_dir).select("event_id", text.alias("value"))
+    )
+    key = F.when(F.col(rejects.REASON).isNull(), F.col("key")).alias("key")
+    return rows.select("event_id", key, rejects.REASON)
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'click' THEN NULL ELSE 'Point' END AS location_type,
+       CASE WHEN event_type <> 'click' THEN value END AS coordinate1, value AS speed,
+       CAST(NULL AS VARCHAR) AS reject_reason
+FROM events
+""")
+def transit_bad_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A location that is text leaves the rest of its message as it is."""
+    good = r.transit_message()
+    bad = F.regexp_replace(good, r'"location":\{[^}]*\}', '"location":"depot"')
+    text = F.when(F.col("event_type") == "click", bad).otherwise(good)
+    rows = decode.decode_transit(
+        r.spread_events(spark, sf_dir).select("event_id", text.alias("value"))
+    )
+    return rows.select("event_id", "location_type", "coordinate1", "speed", rejects.REASON)
+
+
+@query("""
+SELECT event_id,
+       CASE event_type WHEN 'click' THEN ' lead ' WHEN 'view' THEN '' WHEN 'purchase' THEN 'a"b,c'
+         WHEN 'error' THEN 'two' || chr(10) || 'lines' END AS note,
+       CAST(NULL AS VARCHAR) AS reject_reason
+FROM events
+""")
+def csv_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spaces, an empty value, quotes and a line end come back as they were, NULL as NULL."""
+    path = scratch_dir(spark, "csv-odd")
+    kind = F.col("event_type")
+    note = (
+        F.when(kind == "click", " lead ").when(kind == "view", "")
+        .when(kind == "purchase", 'a"b,c').when(kind == "error", "two\nlines")
+    )
+    rows = r.events(spark, sf_dir).select("event_id", note.alias("note"))
+    delimited.write_csv(rows, path)
+    found = delimited.read_csv(spark, path, rows.schema, multi_line=True)
+    return found.select("event_id", "note", rejects.REASON)
+
+
+@query("""
+SELECT cast(event_id AS VARCHAR) AS id, cast(user_id AS DOUBLE) AS lon, value AS lat,
+       CAST(NULL AS VARCHAR) AS reject_reason
+FROM events
+""")
+def geo_single_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feature a line."""
+    point = F.struct(
+        F.lit("Point").alias("type"),
+        F.array(F.col("user_id").cast("double"), F.col("value")).alias("coordinates"),
+    )
+    feature = F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.col("event_id").cast("string").alias("id"),
+        point.alias("geometry"),
+    ))
+    features = geo.collections_to_features(
+        r.spread_events(spark, sf_dir).select(feature.alias("value"))
+    )
+    return features.select("id", "lon", "lat", rejects.REASON)

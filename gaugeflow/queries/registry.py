@@ -40,8 +40,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events for decoding, which costs far more than reading them."""
-    return spread(events(spark, sf_dir))
+    """Events for decoding, which costs far more than reading their one file."""
+    return spread(events(spark, sf_dir), decode_tasks(spark))
+
+
+def decode_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def iso_text(ts: str = "ts") -> Column:

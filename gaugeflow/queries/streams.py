@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.operators import decode, rejects
 from gaugeflow.plans import catalog, schemas
-from gaugeflow.plans.spec import record_schema
+from gaugeflow.plans.spec import ColumnSpec, TableSpec, record_schema
 from gaugeflow.queries import registry as r
 from gaugeflow.queries.decoding import TRANSIT_SQL, transit_report
 from gaugeflow.queries.keyed import FIRST_SQL, LATEST_SQL, sensor_log
@@ -32,6 +32,21 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.table_stream(spark, path, spark.read.parquet(path).schema)
 
 
+#: Landings of the events: row n of the broker's order comes with landing n modulo this.
+LANDINGS = 4
+_LANDING_FILES = 4
+
+
+def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of four batches, none of them in the order of time."""
+    events = r.events(spark, sf_dir)
+    inbox = scratch_dir(spark, "landed")
+    for landing in range(LANDINGS):
+        rows = events.filter(F.col("event_id") % LANDINGS == landing)
+        rows.repartition(_LANDING_FILES).write.mode("append").parquet(inbox)
+    return messages.table_stream(spark, inbox, events.schema, _LANDING_FILES)
+
+
 def checkpoint(spark: SparkSession) -> str:
     return scratch_dir(spark, "checkpoint")
 
@@ -111,7 +126,7 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = event_stream(spark, sf_dir).select(
+    rows = landed_events(spark, sf_dir).select(
         F.col("event_id").alias("sequence"), r.sensor_message().alias("value")
     )
     return decode.decode_sensor(rows)
@@ -139,7 +154,7 @@ QUALIFY row_number() OVER (
 """)
 def transit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transit messages into their table; a repeated trip and time is ignored."""
-    rows = event_stream(spark, sf_dir).select("event_id", r.transit_message().alias("value"))
+    rows = landed_events(spark, sf_dir).select("event_id", r.transit_message().alias("value"))
     rows = decode.decode_transit(rows).withColumnRenamed("event_id", "sequence")
     log = KeyedLog(
         spark, scratch_dir(spark, "transit"), schemas.TRANSIT_TABLE,
@@ -149,9 +164,21 @@ def transit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transit_report(log.current())
 
 
-PREVIOUS_SQL = """
-SELECT event_id, lag(value) OVER w AS previous_value, false AS late
-FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+PREVIOUS_SQL = f"""
+WITH placed AS (
+  SELECT *, event_id % {LANDINGS} AS landing,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place
+  FROM events
+), seen AS (
+  SELECT *, coalesce(place < max(place) OVER (
+    PARTITION BY user_id ORDER BY landing RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+  ), false) AS late
+  FROM placed
+), told AS (
+  SELECT event_id, lag(value) OVER (PARTITION BY user_id ORDER BY place) AS previous_value
+  FROM seen WHERE NOT late
+)
+SELECT event_id, previous_value, late FROM seen LEFT JOIN told USING (event_id)
 """
 
 
@@ -162,7 +189,7 @@ def _previous_report(df: DataFrame) -> DataFrame:
 @query(PREVIOUS_SQL)
 def keyed_previous_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previous row per key by joins and windows, batch after batch."""
-    rows = event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "value")
+    rows = landed_events(spark, sf_dir).select("event_id", "ts", "user_id", "value")
     feed = PreviousFeed(
         spark, scratch_dir(spark, "previous"), rows.schema,
         ["user_id"], ["ts", "event_id"], ["value"],
@@ -174,8 +201,81 @@ def keyed_previous_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(PREVIOUS_SQL)
 def keyed_previous_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previous row per key from the state store."""
-    rows = event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "value")
+    rows = landed_events(spark, sf_dir).select("event_id", "ts", "user_id", "value")
     out = scratch_dir(spark, "previous-state")
     tracked = track_previous(rows, ["user_id"], ["ts", "event_id"], ["value"])
     run_stateful(spark, tracked, out)
     return _previous_report(spark.read.schema(tracked.schema).parquet(out))
+
+
+@query("SELECT event_id, user_id, value FROM events")
+def stream_dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event twice, the landings out of time order: ids are looked up in the table.
+
+    A watermark would drop first deliveries that come late; here none is lost.
+    """
+    rows = landed_events(spark, sf_dir).select(
+        "event_id", "user_id", "value", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery")
+    )
+    columns = tuple(
+        ColumnSpec(c, rows.schema[c].dataType, c == "event_id")
+        for c in ("event_id", "user_id", "value")
+    )
+    spec = TableSpec("once", columns, hash_keys=("event_id",), buckets=8)
+    log = KeyedLog(
+        spark, scratch_dir(spark, "once"), spec, ["delivery"], INSERT,
+        rows.select("delivery").schema,
+    )
+    log.start(rows, checkpoint(spark)).awaitTermination()
+    return log.current()
+
+
+@query("""
+SELECT count(*) FILTER (event_type = 'error') AS n_rejected_before, count(*) AS n_rows,
+       CAST(0 AS BIGINT) AS n_rejected
+FROM events
+""")
+def replaced_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with rejects, written again without them: neither rows nor rejects stay."""
+    rows = r.events(spark, sf_dir).select(
+        F.col("event_id").cast("int").alias("key"), F.col("ts").cast("string").alias("date"),
+        F.col("value").alias("signal"), F.col("event_id").alias("sequence"), "event_type",
+    )
+    log = sensor_log(spark, UPSERT)
+    broken = F.when(F.col("event_type") != "error", F.col("key"))
+    log.write_batch(rows.withColumn("key", broken), 0)
+    before = log.rejected().agg(F.count(F.lit(1)).alias("n_rejected_before"))
+    before = spark.createDataFrame(before.collect(), before.schema)
+    log.write_batch(rows, 0)
+    left = log.rejected()
+    n_left = F.lit(0 if left is None else left.count()).cast("long").alias("n_rejected")
+    now = log.current().agg(F.count(F.lit(1)).alias("n_rows"))
+    return before.join(now).select("n_rejected_before", "n_rows", n_left)
+
+
+@query(LATEST_SQL)
+def commit_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits on a timer: each makes its batch visible, and the query goes on."""
+    log = sensor_log(spark, UPSERT)
+    running = log.start(sensor_stream(spark, sf_dir), checkpoint(spark), interval="100 milliseconds")
+    running.processAllAvailable()
+    running.stop()
+    return log.current()
+
+
+@query(f"""
+SELECT event_id % {LANDINGS} AS landing, strftime(ts, '%Y-%m') AS bucket, count(*) AS n
+FROM events GROUP BY 1, 2
+""")
+def rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each commit rolls new files in every bucket it meets, below a path with a scheme."""
+    out = scratch_dir(spark, "rolled")
+    if "://" not in out and not out.startswith("file:"):
+        out = f"file:{out}"
+    rows = landed_events(spark, sf_dir).select(
+        (F.col("event_id") % LANDINGS).alias("landing"),
+        F.substr(F.col("ts").cast("string"), F.lit(1), F.lit(7)).alias("bucket"),
+    )
+    ingest.write_bucketed(rows, out, checkpoint(spark)).awaitTermination()
+    found = ingest.read_bucketed(spark, out, rows.select("landing").schema)
+    return found.groupBy("landing", "bucket").agg(F.count(F.lit(1)).alias("n"))

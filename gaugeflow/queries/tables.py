@@ -276,3 +276,139 @@ def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in GIVEN_TABLES:
         catalog.external_table(spark, f"{database}.{name}", f"{sf_dir}/{name}.parquet")
     return catalog.count_tables(spark, database)
+
+
+def _unranged() -> dict:
+    document = lenient_json(READINGS_SPEC)
+    del document["spec"]["tuningConfig"]["partitionSpec"]["rangePartition"]
+    return document
+
+
+@query("""
+SELECT CASE WHEN event_type = 'click' THEN 'stored' ELSE 'new' END AS kind,
+       count(*) AS n_rows, count(*) FILTER (event_type = 'click') AS n_superseded
+FROM events GROUP BY 1
+""")
+def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks are loaded, then all events: rows that lose to stored ones are accounted for."""
+    db = tables(spark)
+    db.create(table_spec(_unranged()))
+    rows = reading_rows(spark, sf_dir)
+    clicks = r.events(spark, sf_dir).filter("event_type = 'click'").select(
+        F.col("event_id").cast("string").alias("column2")
+    )
+    db.load("readings", rows.join(clicks, "column2", "left_semi"), ["column4"])
+    lost = db.load("readings", rows, ["column4"]).superseded.select("column2", "superseded")
+    kinds = db.read("readings").select("column2").join(lost, "column2", "left")
+    kind = F.when(F.col("superseded").isNull(), "new").otherwise("stored").alias("kind")
+    return kinds.groupBy(kind).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum("superseded"), F.lit(0)).alias("n_superseded"),
+    )
+
+
+@query("SELECT cast(event_id AS VARCHAR) AS column2, 54 AS flag FROM events")
+def default_on_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of rows that leave out a column gives them its default."""
+    db = tables(spark)
+    db.create(table_spec(_unranged()))
+    db.add_column("readings", AddColumn("flag", T.IntegerType(), default=54))
+    db.load("readings", reading_rows(spark, sf_dir), ["column4"])
+    return db.read("readings").select("column2", "flag")
+
+
+@query(f"""
+SELECT cast(event_id AS VARCHAR) AS column2, value AS column3 FROM events WHERE {_RANGED}
+""")
+def sql_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a SQL query, checked and laid out like any others."""
+    db = tables(spark)
+    db.create(table_spec(READINGS_SPEC))
+    db.insert("readings", f"""
+        SELECT cast(user_id AS INT) AS column1, cast(event_id AS STRING) AS column2,
+               value AS column3 FROM {event_table(spark, sf_dir)}
+    """, ["column3"])
+    return db.read("readings").select("column2", "column3")
+
+
+@query("""
+SELECT cast(event_id AS VARCHAR) AS column2,
+       CASE WHEN user_id < 30 THEN 0 WHEN user_id >= 60 THEN 1 ELSE 2 END AS range_id
+FROM events WHERE user_id < 30 OR user_id >= 40
+""")
+def open_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges open at an end, and bounds that name the first of two columns only."""
+    document = lenient_json(READINGS_SPEC)
+    document["spec"]["tuningConfig"]["partitionSpec"]["rangePartition"] = {
+        "columns": ["column1", "column2"],
+        "partitions": [
+            {"lower": [], "upper": [30]}, {"lower": [60], "upper": []},
+            {"lower": [40], "upper": [60]},
+        ],
+    }
+    db = tables(spark)
+    db.create(table_spec(document))
+    db.load("readings", reading_rows(spark, sf_dir), ["column4"])
+    return spark.table(f"{db.database}.readings").select("column2", "range_id")
+
+
+@query("""
+SELECT 'signal' AS name, 'volts' AS note, count(*) AS n_rows FROM events
+UNION ALL SELECT 'readings', 'per sensor', count(*) FROM events
+""")
+def comments_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments on a column and its table outlive renaming one and dropping another."""
+    db = tables(spark)
+    db.create(table_spec(_unranged()))
+    db.load("readings", reading_rows(spark, sf_dir), ["column4"])
+    db.comment_table("readings", "per sensor")
+    db.comment_column("readings", "column3", "volts")
+    db.rename_column("readings", "column3", "signal")
+    db.drop_column("readings", "column4")
+    fields = spark.table(f"{db.database}.readings").schema
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {db.database}.readings")
+    own = described.filter("col_name = 'Comment'").first()["data_type"]
+    notes = spark.createDataFrame(
+        [("signal", fields["signal"].metadata["comment"]), ("readings", own)],
+        "name string, note string",
+    )
+    return notes.join(db.read("readings").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("SELECT true AS created, false AS again, true AS refused, count(*) AS n_rows FROM events")
+def create_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second create leaves the loaded table alone; a spec without partitions is refused."""
+    db = tables(spark)
+    created = db.create(table_spec(_unranged()))
+    db.load("readings", reading_rows(spark, sf_dir), ["column4"])
+    again = db.create(table_spec(_unranged()))
+    bare = _unranged()
+    del bare["spec"]["tuningConfig"]
+    bare["spec"]["tableSchema"]["tableName"] = "bare"
+    try:
+        refused = not db.create(table_spec(bare))
+    except ValueError:
+        refused = not db.exists("bare")
+    return db.read("readings").agg(
+        F.lit(created).alias("created"), F.lit(again).alias("again"),
+        F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
+@query("SELECT event_type AS table_name, count(*) AS n_rows FROM events WHERE event_type <> 'error' GROUP BY 1")
+def drop_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table for each kind of event; that of the errors is dropped with its files."""
+    events = r.events(spark, sf_dir)
+    db = tables(spark)
+    kinds = [row[0] for row in events.select("event_type").distinct().collect()]
+    for kind in kinds:
+        document = _unranged()
+        document["spec"]["tableSchema"]["tableName"] = kind
+        db.create(table_spec(document))
+        own = events.filter(F.col("event_type") == kind).select("event_id")
+        rows = reading_rows(spark, sf_dir).join(
+            own.select(F.col("event_id").cast("string").alias("column2")), "column2", "left_semi"
+        )
+        db.load(kind, rows, ["column4"])
+    db.drop("error", "never_there", purge=True)
+    return catalog.count_tables(spark, db.database)

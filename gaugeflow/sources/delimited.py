@@ -9,10 +9,21 @@ from gaugeflow.operators import rejects
 
 _CORRUPT = "_corrupt_record"
 
+# Written and read alike, so that values come back as they were.
+_FIDELITY = {
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N", "escape": '"',
+}
+
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """Export; the call returns when every file is committed."""
-    df.write.option("header", header).csv(path)
+    """Export; the call returns when every file is committed.
+
+    Spaces at the ends of a value, quotes and line ends stay, and NULL is written apart
+    from an empty value; a value that is the text of NULL itself reads back as NULL.
+    """
+    writer = df.write.options(**_FIDELITY).option("emptyValue", '""')
+    writer.option("header", header).csv(path)
 
 
 def read_csv(
@@ -21,14 +32,20 @@ def read_csv(
     schema: T.StructType,
     header: bool = True,
     fail_fast: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Typed scan. Lines that do not fit are tagged ``bad_field``, with their text in ``raw``."""
+    """Typed scan. Lines that do not fit are tagged ``bad_field``, with their text in ``raw``.
+
+    ``multi_line`` is for values with line ends in them; each file is then read by one task.
+    """
+    reader = spark.read.options(**_FIDELITY).option("emptyValue", "")
+    reader = reader.option("multiLine", multi_line)
     if fail_fast:
-        reader = spark.read.schema(schema).option("mode", "FAILFAST")
+        reader = reader.schema(schema).option("mode", "FAILFAST")
         return reader.option("header", header).csv(path)
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = (
-        spark.read.schema(wide)
+        reader.schema(wide)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("header", header)

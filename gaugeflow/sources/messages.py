@@ -56,10 +56,9 @@ def write_messages(df: DataFrame, path: str, value: str = "value") -> None:
     df.select(F.col(value).alias("value")).write.text(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly decoding of an input with fewer splits than cores.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal an input out for costly decoding, where its files make too few splits.
 
-    A large input has enough splits and is returned as it is, without a shuffle.
+    The caller knows the input and chooses; None leaves it as it is, without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if partitions is None else df.repartition(partitions)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -56,13 +57,19 @@ def write_bucketed(
     checkpoint: str,
     bucket: str = "bucket",
     interval: str | None = None,
+    files_per_bucket: int | None = None,
 ) -> StreamingQuery:
     """Append to Parquet files below ``bucket=<label>/``, exactly once.
 
-    Tasks write the buckets they meet without a shuffle: a live stream touches a few
-    dates per commit, and a date that holds most rows stays spread over all tasks.
-    ``path`` may be on any Hadoop file system.
+    By default tasks write the buckets they meet without a shuffle: a live stream touches
+    a few dates per commit, and a date that holds most rows stays spread over all tasks.
+    A backfill meets many dates in each task; ``files_per_bucket`` then deals each bucket's
+    rows out to so many files at most. ``path`` may be on any Hadoop file system.
     """
+    if files_per_bucket is not None:
+        names = stream.columns
+        part = F.pmod(F.xxhash64(*names), F.lit(files_per_bucket))
+        stream = stream.withColumn("_part", part).repartition(bucket, "_part").select(*names)
     writer = stream.writeStream.format("parquet").partitionBy(bucket)
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return with_trigger(writer.outputMode("append"), interval).start()

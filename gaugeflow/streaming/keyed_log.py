@@ -67,7 +67,12 @@ class KeyedLog:
     # -- writing ---------------------------------------------------------------
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Write one batch. Writing the same ``batch_id`` again replaces it."""
+        """Write one batch. Writing the same ``batch_id`` again replaces it and its rejects.
+
+        A batch that a snapshot covers is merged already and can no longer be replaced.
+        """
+        if any(n >= batch_id for n in self._complete("snapshot", "through")):
+            raise ValueError(f"batch {batch_id} is merged into a snapshot")
         tagged = self._tagged(df)
         seen = Observation()
         observed = tagged.observe(
@@ -76,9 +81,11 @@ class KeyedLog:
         reduced = self._reduce(rejects.accepted(observed).select(*self.row_schema.names))
         self._write(reduced, f"{self.root}/log/batch_id={batch_id}")
         # Rejected rows are rare: they cost a second pass only where there are some.
+        path = f"{self.root}/rejects/batch_id={batch_id}"
         if seen.get["rejected"]:
-            path = f"{self.root}/rejects/batch_id={batch_id}"
             rejects.rejected(tagged).write.mode("overwrite").parquet(path)
+        else:
+            files.delete(self.spark, path)
 
     def start(
         self,
@@ -93,6 +100,9 @@ class KeyedLog:
         """
 
         def write(df: DataFrame, batch_id: int) -> None:
+            # After a failure between merge and commit the batch comes again, and is there.
+            if any(n >= batch_id for n in self._complete("snapshot", "through")):
+                return
             self.write_batch(df, batch_id)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 self.compact()

@@ -2,8 +2,8 @@
 
 Two forms with the same result. :func:`track_previous` keeps the last row per key in
 Spark's state store: cheap per batch however many keys there are. It orders the rows
-a key has in one batch in the task's memory, so it stops with an error at a key with
-too many: let the source limit its batches, or use the other form.
+a key has in one batch in its task, by sorted runs that are merged from the task's own
+temporary files, so a key of any size passes through one task in bounded memory.
 :class:`PreviousFeed` does the work with joins and windows over Parquet: each batch
 reads the stored keys again, but a key with most of the rows is split over tasks.
 
@@ -14,8 +14,11 @@ does not replace the stored one.
 
 from __future__ import annotations
 
+import heapq
 import itertools
+import pickle
 import sys
+import tempfile
 from collections.abc import Iterator, Sequence
 
 from pyspark import cloudpickle
@@ -25,13 +28,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from gaugeflow import files
-from gaugeflow.operators.keyed import MAX_KEY_ROWS, previous
+from gaugeflow.operators.keyed import MAX_KEY_ROWS, join_one_of_each, previous
 from gaugeflow.plans.spec import ColumnSpec, TableSpec
 from gaugeflow.streaming.ingest import with_trigger
 from gaugeflow.streaming.keyed_log import MAX_BROADCAST_KEYS, KeyedLog
 
-# Rows of one key in one batch that track_previous orders in memory.
-MAX_BATCH_ROWS = 1_000_000
+# Rows of one key that track_previous orders in memory; longer runs go to the task's disk.
+RUN_ROWS = 200_000
 
 # The processor travels to the workers by value: they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -50,13 +53,13 @@ def output_schema(
 class _Previous(StatefulProcessor):
     """Keeps the order columns and the fields of a key's last row."""
 
-    def __init__(self, columns, order_by, fields, state_schema, max_rows):
+    def __init__(self, columns, order_by, fields, state_schema, run_rows):
         self._columns = list(columns)
         self._order_by = list(order_by)
         self._fields = list(fields)
         self._carried = list(dict.fromkeys([*order_by, *fields]))
         self._state_schema = state_schema
-        self._max_rows = max_rows
+        self._run_rows = run_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", self._state_schema)
@@ -66,13 +69,7 @@ class _Previous(StatefulProcessor):
         if self._last.exists():
             last = dict(zip(self._carried, self._last.get()))
         changed = False
-        batch = list(itertools.islice(rows, self._max_rows + 1))
-        if len(batch) > self._max_rows:
-            raise RuntimeError(
-                f"key {key} has more than {self._max_rows} rows in one batch: "
-                "limit the source's batches or use PreviousFeed"
-            )
-        for row in sorted(batch, key=self._order):
+        for row in self._sorted(rows):
             late = last is not None and self._order(row) < self._order(last)
             shown = None if late or last is None else {c: last[c] for c in self._fields}
             yield Row(**{c: row[c] for c in self._columns}, previous=shown, late=late)
@@ -81,6 +78,24 @@ class _Previous(StatefulProcessor):
         if changed:
             self._last.update(tuple(last[c] for c in self._carried))
 
+    def _sorted(self, rows) -> Iterator[Row]:
+        """Rows in order: one run in memory, the others merged from files."""
+        run = sorted(itertools.islice(rows, self._run_rows), key=self._order)
+        runs = []
+        while len(run) == self._run_rows:
+            spilled = tempfile.TemporaryFile()
+            for row in run:
+                pickle.dump(row.asDict(), spilled)
+            spilled.seek(0)
+            runs.append(self._read(spilled, len(run)))
+            run = sorted(itertools.islice(rows, self._run_rows), key=self._order)
+        return heapq.merge(*runs, run, key=self._order)
+
+    @staticmethod
+    def _read(spilled, n: int) -> Iterator[dict]:
+        for _ in range(n):
+            yield pickle.load(spilled)
+
     def _order(self, row):
         return tuple(row[c] for c in self._order_by)
 
@@ -93,7 +108,7 @@ def track_previous(
     key: Sequence[str],
     order_by: Sequence[str],
     fields: Sequence[str],
-    max_rows: int = MAX_BATCH_ROWS,
+    run_rows: int = RUN_ROWS,
 ) -> DataFrame:
     """Streaming rows with ``previous`` and ``late``; start it with ``ingest.start_stateful``.
 
@@ -103,7 +118,7 @@ def track_previous(
     carried = list(dict.fromkeys([*order_by, *fields]))
     state_schema = T.StructType([T.StructField(c, schema[c].dataType) for c in carried])
     return stream.groupBy(*key).transformWithState(
-        statefulProcessor=_Previous(schema.names, order_by, fields, state_schema, max_rows),
+        statefulProcessor=_Previous(schema.names, order_by, fields, state_schema, run_rows),
         outputStructType=output_schema(schema, fields),
         outputMode="Append",
         timeMode="None",
@@ -169,7 +184,12 @@ class PreviousFeed:
         usable = F.lit(True)
         for name in (*self.key, *self.order_by):
             usable = usable & F.col(name).isNotNull()
-        joined = df.filter(usable).join(prior, self.key, "left").withColumn(
+        rows = df.filter(usable)
+        if max_key_rows is None:
+            joined = rows.join(prior, self.key, "left")
+        else:
+            joined = join_one_of_each(rows, prior, self.key, max_key_rows)
+        joined = joined.withColumn(
             "late", F.coalesce(order < F.col("_order"), F.lit(False))
         )
         rows = previous(joined, [*self.key, "late"], self.order_by, self.fields, max_key_rows)

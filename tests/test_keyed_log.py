@@ -214,3 +214,14 @@ def test_every_row_is_accounted_for(spark, tmp_path_factory, rows, cut):
     assert [r for r in rows_of(split.current()) if r[0] in unique] == [
         r for r in table if r[0] in unique
     ]
+
+
+def test_replaced_batch_takes_its_rejects_along(spark, folder):
+    log = sensor(spark, folder)
+    write(spark, log, [(1, "a", 1.0, 1), (None, "x", 1.0, 2)], 0)
+    write(spark, log, [(1, "a", 1.0, 1)], 0)
+    assert log.rejected() is None
+    write(spark, log, [(2, "a", 1.0, 2)], 1)
+    log.compact()
+    with pytest.raises(ValueError, match="merged"):
+        write(spark, log, [(1, "b", 1.0, 1)], 0)

@@ -3,6 +3,8 @@ import os
 import pytest
 from oracle_check import compare, connect, contract
 
+from gaugeflow.queries import ORACLES, QUERIES
+
 SF_DIR = os.environ.get("GAUGEFLOW_TEST_SF", "/root/testdata/sf0.01")
 
 
@@ -11,7 +13,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, SF_DIR, name) == ""
 
@@ -21,4 +23,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)

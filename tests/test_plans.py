@@ -92,9 +92,9 @@ def test_hot_slices_are_spread(spark):
 
 def test_spread_only_small_inputs(spark):
     cores = spark.sparkContext.defaultParallelism
-    assert messages.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
+    assert messages.spread(spark.range(10, numPartitions=1), cores).rdd.getNumPartitions() == cores
     enough = spark.range(10, numPartitions=cores)
-    assert messages.spread(enough) is enough
+    assert messages.spread(enough, None) is enough
 
 
 def test_no_python_and_no_cross_joins(spark):

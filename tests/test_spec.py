@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from gaugeflow.plans.spec import (
     alter_spec, column_type, lenient_json, record_schema, table_spec, typed_literal,
 )
+from gaugeflow.plans.ranges import RangePartition, check_ranges
 from gaugeflow.queries.streams import GREETING_RECORD
 from gaugeflow.queries.tables import READINGS_CHANGE, READINGS_SPEC
 
@@ -137,3 +138,29 @@ def test_record_schema():
     assert schema["a"].nullable and not schema["b"].nullable
     with pytest.raises(ValueError):
         record_schema('{"type": "string"}')
+
+
+def _partition(lower, upper, **kinds):
+    return RangePartition(0, tuple(lower), tuple(upper), **kinds)
+
+
+def test_open_and_prefix_bounds():
+    check_ranges([_partition([], [30]), _partition([30], [30, 5]), _partition([30, 5], [])])
+    check_ranges([_partition([30, 1], [30], upper_inclusive=True), _partition([31], [])])
+    for left, right in (
+        (_partition([], [30, 1]), _partition([30], [40])),
+        (_partition([], []), _partition([1], [2])),
+        (_partition([1], [30], upper_inclusive=True), _partition([30, 9], [])),
+    ):
+        with pytest.raises(ValueError, match="overlaps"):
+            check_ranges([left, right])
+    with pytest.raises(ValueError, match="empty"):
+        check_ranges([_partition([30], [30])])
+
+
+def test_no_ranges_are_one_without_bounds():
+    document = lenient_json(READINGS_SPEC)
+    document["spec"]["tuningConfig"]["partitionSpec"]["rangePartition"]["partitions"] = []
+    spec = table_spec(document)
+    assert [(p.range_id, p.lower, p.upper) for p in spec.ranges] == [(0, (), ())]
+    assert table_spec(spec.to_json()).ranges == spec.ranges

@@ -201,11 +201,42 @@ def test_previous_by_state_after_restart(spark, folder):
     check_previous(spark.read.schema(stream.schema).parquet(folder + "/out"))
 
 
-def test_previous_by_state_refuses_too_many_rows(spark, folder):
-    stream = track_previous(reading_stream(spark, folder), ["k"], ["t"], ["v"], max_rows=2)
-    running = start_stateful(stream, folder + "/out", folder + "/cp")
-    with pytest.raises(Exception, match="more than 2 rows"):
-        running.awaitTermination()
+def test_previous_by_state_merges_long_runs(spark, folder):
+    stream = track_previous(reading_stream(spark, folder), ["k"], ["t"], ["v"], run_rows=2)
+    start_stateful(stream, folder + "/out", folder + "/cp").awaitTermination()
+    check_previous(spark.read.schema(stream.schema).parquet(folder + "/out"))
+
+
+def test_previous_feed_splits_a_hot_key(spark, folder):
+    """Half of the rows share a key; no task gets more than twice the limit, unlike by key."""
+    limit = 1_000
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.timestamp_seconds("id").alias("t"), F.col("id").alias("v"),
+    )
+    feed = PreviousFeed(
+        spark, folder + "/feed", rows.schema, ["k"], ["t"], ["v"], max_key_rows=limit
+    )
+    feed.write_batch(rows.filter("id < 4000"), 0)
+    with session.settings(
+        spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="64",
+        spark__sql__adaptive__enabled="false",
+    ):
+        batch = rows.filter("id >= 4000")
+        told = feed._with_previous(batch, 1, 36_000)
+        sizes = told.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        wrong = told.filter("k = 0 AND previous.v <> v - 2 OR late").count()
+    assert sum(row["count"] for row in sizes) == 36_000 and wrong == 0
+    assert max(row["count"] for row in sizes) <= 2 * limit
+
+
+def test_landings_are_batches(spark):
+    from gaugeflow.queries import streams
+
+    log = streams.sensor_log(spark, "upsert")
+    rows = streams.sensor_stream(spark, "/root/testdata/sf0.001")
+    log.start(rows, streams.checkpoint(spark)).awaitTermination()
+    assert len(log.batches()) == streams.LANDINGS
 
 
 @pytest.mark.parametrize("max_key_rows", [1, 1000])
@@ -261,3 +292,17 @@ def test_table_stream_reads_a_folder_and_a_file(spark, folder):
         ingest.with_trigger(writer, None).start().awaitTermination()
     assert spark.read.parquet(folder + "/o0").count() == 10
     assert 0 < spark.read.parquet(folder + "/o1").count() < 10
+
+
+def test_files_per_bucket(spark, folder):
+    inbox = folder + "/in"
+    spark.range(2_000, numPartitions=8).selectExpr(
+        "id", "cast(id % 20 as string) AS day"
+    ).write.parquet(inbox)
+    stream = messages.table_stream(spark, inbox, spark.read.parquet(inbox).schema)
+    ingest.write_bucketed(
+        stream, folder + "/out", folder + "/cp", "day", files_per_bucket=2
+    ).awaitTermination()
+    found = ingest.read_bucketed(spark, folder + "/out", spark.range(1).schema, "day")
+    assert found.count() == 2_000
+    assert len(found.inputFiles()) <= 40
