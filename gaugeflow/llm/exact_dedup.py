@@ -107,20 +107,16 @@ def new_index(spark: SparkSession, buckets: int = 32) -> DigestIndex:
 
 def keep_first_seen(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = index.mark(docs).filter("kept").select(
-        F.col("digest").alias("kept_digest"), F.col("doc_id").alias("kept_id")
-    )
+    kept = index.mark(docs).filter("kept").select(F.col("digest").alias("kept_digest"))
     rows = docs.select(
         F.struct("*").alias("row"), digest().alias("digest"), common.doc_id().alias("id")
     )
-    once = Window.partitionBy("digest", "id").orderBy(F.lit(0))
+    # The largest id of each digest, one row of it; Spark keeps one in each task before the
+    # shuffle, and the join finds the rows where the window has put them.
+    largest = Window.partitionBy("digest").orderBy(F.desc_nulls_last("id"))
     return (
-        rows.withColumn("copy", F.row_number().over(once)).filter("copy = 1")
-        .join(
-            kept,
-            (F.col("digest") == F.col("kept_digest")) & F.col("id").eqNullSafe(F.col("kept_id")),
-            "left_semi",
-        )
+        rows.withColumn("place", F.row_number().over(largest)).filter("place = 1")
+        .join(kept, F.col("digest") == F.col("kept_digest"), "left_semi")
         .select("row.*")
     )
 
