@@ -55,6 +55,38 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def packed_once(df: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, and ``text`` compressed as (packed, size), once for each ``by`` in a batch.
+
+    For shuffles that need each text once: a row that a third of all rows repeat is then
+    shuffled a few times only.
+    """
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        first: dict[tuple, int] = {}
+        for i, key in enumerate(zip(*(batch.column(name).to_pylist() for name in by))):
+            first.setdefault(key, i)
+        batch = batch.take(pa.array(first.values(), pa.int64()))
+        codec = pa.Codec("zstd", 1)
+        plain = batch.column("text").cast(pa.binary()).to_pylist()
+        packed = pa.array([codec.compress(t, asbytes=True) for t in plain], pa.binary())
+        sizes = pa.array(map(len, plain), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(name) for name in by), packed, sizes], [*by, "packed", "size"]
+        )
+
+    fields = df.select(*by, F.lit(b"").alias("packed"), F.lit(0).cast("long").alias("size")).schema
+    return map_batches(df.select(*by, "text"), run, fields)
+
+
+def unpacked(packed: pa.Array, sizes: pa.Array) -> pa.Array:
+    codec = pa.Codec("zstd")
+    return pa.array([
+        codec.decompress(t, n, asbytes=True) if n else b""
+        for t, n in zip(packed.to_pylist(), sizes.to_pylist())
+    ], pa.binary())
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All UTF-8 bytes of a text column without nulls, and the offset of each row's first."""
     if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):

@@ -525,36 +525,6 @@ def _units(members: DataFrame, similarity: Similarity, block: int) -> DataFrame:
     )
 
 
-def _one_of_each(texts: DataFrame) -> DataFrame:
-    """doc_id, text_key and the compressed text, each pair once in a batch.
-
-    So a row that a third of all rows repeat is shuffled a few times only.
-    """
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
-        first: dict[tuple, int] = {}
-        for i, key in enumerate(keys):
-            first.setdefault(key, i)
-        batch = batch.take(pa.array(first.values(), pa.int64()))
-        codec = pa.Codec("zstd", 1)
-        packed = [
-            codec.compress(t, asbytes=True) for t in batch.column(1).cast(pa.binary()).to_pylist()
-        ]
-        sizes = [len(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), batch.column(2), pa.array(packed, pa.binary()),
-                pa.array(sizes, pa.int64()),
-            ],
-            ["doc_id", "text_key", "packed", "size"],
-        )
-
-    return common.map_batches(
-        texts, run, "doc_id long, text_key long, packed binary, size long"
-    )
-
-
 def links(
     docs: DataFrame, about: DataFrame, similarity: Similarity, block: int = BLOCK_SHINGLES
 ) -> DataFrame:
@@ -576,7 +546,9 @@ def links(
     units = _units(
         common.written(members, "candidates"), similarity, block
     ).select("node", "units", "sample.*")
-    texts = _one_of_each(common.texts(docs).withColumn("text_key", F.xxhash64("text")))
+    texts = common.packed_once(
+        common.texts(docs).withColumn("text_key", F.xxhash64("text")), ["doc_id", "text_key"]
+    )
     wanted = units.select(
         "node", "units", F.col("text_key").alias("key"), F.col("doc_id").alias("id")
     )
@@ -586,12 +558,8 @@ def links(
     words = similarity.words
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codec = pa.Codec("zstd")
-        plain = [
-            codec.decompress(t, n, asbytes=True) if n else b""
-            for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-        ]
-        sets = [s.tobytes() for s in shingle_sets(pa.array(plain, pa.binary()), words)]
+        plain = common.unpacked(batch.column(2), batch.column(3))
+        sets = [s.tobytes() for s in shingle_sets(plain, words)]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(sets, pa.binary())],
             ["node", "units", "shingles"],

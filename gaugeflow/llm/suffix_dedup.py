@@ -35,6 +35,9 @@ BUCKET_SEGMENTS, UNIT_BYTES, ANCHOR_SEGMENTS = 1_000_000, 1_500_000, 20_000
 #: Starts of a text that are hashed at once.
 STARTS_AT_ONCE = 1 << 19
 
+#: A text is hot from this share of all rows on.
+HOT_SHARE = 1000
+
 _END = 0xFF  # a byte that UTF-8 text never has
 _SPANS = "text binary, start long, end long"
 
@@ -256,13 +259,15 @@ def _sorted_spans(texts: DataFrame, mixed: DataFrame, size: int) -> DataFrame:
     wanted = mixed.groupBy(F.col("text").alias("wanted")).agg(
         F.collect_list(F.struct("anchor", "start", "end", "seen")).alias("ranges")
     )
-    chosen = texts.join(wanted, F.col("key") == F.col("wanted")).select("key", "text", "ranges")
+    chosen = common.packed_once(texts, ["key"]).join(
+        wanted, F.col("key") == F.col("wanted")
+    ).select("key", "packed", "size", "ranges")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets = common.text_bytes(batch.column(1))
+        data, offsets = common.text_bytes(common.unpacked(batch.column(1), batch.column(2)))
         rows = []
         for row, (key, ranges) in enumerate(
-            zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            zip(batch.column(0).to_pylist(), batch.column(3).to_pylist())
         ):
             text = data[offsets[row]:offsets[row + 1]]
             for r in ranges:
@@ -302,15 +307,19 @@ def _sorted_spans(texts: DataFrame, mixed: DataFrame, size: int) -> DataFrame:
     return pieces.select("*", unit).groupBy("unit").applyInArrow(sort, _SPANS)
 
 
-def repeated_spans(docs: DataFrame, size: int = 200) -> DataFrame:
+def _distinct_texts(docs: DataFrame, size: int) -> DataFrame:
+    """key, rows, bytes of each text of at least ``size`` bytes."""
+    rows = identified(docs).select("key", F.octet_length("text").alias("bytes"))
+    grouped = rows.filter(F.col("bytes") >= size).groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("bytes").alias("bytes")
+    )
+    return common.written(grouped, "texts")
+
+
+def repeated_spans(docs: DataFrame, size: int = 200, keys: DataFrame | None = None) -> DataFrame:
     """(text, start, end): bytes, by text, that a string of ``size`` bytes standing twice covers."""
     texts = identified(docs)
-    sizes = F.octet_length("text")
-    rows = texts.select("key", sizes.alias("bytes")).filter(F.col("bytes") >= size)
-    keys = common.written(
-        rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.max("bytes").alias("bytes")),
-        "texts",
-    )
+    keys = _distinct_texts(docs, size) if keys is None else keys
     found = [
         keys.filter("rows > 1").select(
             F.col("key").alias("text"), F.lit(0).cast("long").alias("start"),
@@ -343,10 +352,25 @@ def repeated_spans(docs: DataFrame, size: int = 200) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
     """doc_id, n_bytes, removed (maximal runs of start, end) and the kept bytes."""
-    spans = repeated_spans(docs, size).groupBy(F.col("text").alias("wanted")).agg(
+    keys = _distinct_texts(docs, size)
+    spans = repeated_spans(docs, size, keys).groupBy(F.col("text").alias("wanted")).agg(
         F.collect_list(F.struct("start", "end")).alias("ranges")
     )
-    joined = identified(docs).join(spans, F.col("key") == F.col("wanted"), "left")
+    # At most HOT_SHARE texts have that share of the rows, which bounds the broadcast. They
+    # repeat as a whole, so their rows need no join; a key that matches nothing spreads them.
+    total = keys.agg(F.sum("rows")).first()[0] or 0
+    hot = keys.filter((F.col("rows") > 1) & (F.col("rows") * HOT_SHARE >= total)).select(
+        F.col("key").alias("hot")
+    )
+    spread = F.unhex(F.md5(F.monotonically_increasing_id().cast("string")))
+    texts = identified(docs).join(F.broadcast(hot), F.col("key") == F.col("hot"), "left")
+    texts = texts.withColumn("key", F.when(F.col("hot").isNull(), F.col("key")).otherwise(spread))
+    whole = F.array(F.struct(
+        F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("end")
+    ))
+    joined = texts.join(spans, F.col("key") == F.col("wanted"), "left").withColumn(
+        "ranges", F.when(F.col("hot").isNull(), F.col("ranges")).otherwise(whole)
+    )
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = common.text_bytes(batch.column(1))
