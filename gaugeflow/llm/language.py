@@ -31,6 +31,7 @@ from gaugeflow.llm import common
 UNKNOWN = "und"
 #: Bits of a hashed trigram, and rows of each language that the fit reads.
 BITS, PER_LANGUAGE = 12, 800
+_PARTS = 16
 _MULTIPLIER = np.uint32(2654435761)  # Knuth's multiplicative hash
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -177,11 +178,15 @@ def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFram
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
         & ~held_out()
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= per_language).select("doc_id").distinct()
-    )
+    # First within parts of a language, so no task meets what all tasks found of a frequent one.
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(_PARTS))
+    chosen = labelled.select("doc_id", "lang", part.alias("part"))
+    for group in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = chosen.withColumn("place", F.row_number().over(order)).filter(
+            F.col("place") <= per_language
+        ).drop("place")
+    chosen = chosen.select("doc_id").distinct()
     # At most per_language ids of each language, which bounds the broadcast.
     return labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
 
