@@ -43,7 +43,7 @@ def _goes_on(text: Column) -> Column:
     that second look: flat objects have one closing brace, and it is their last sign.
     """
     bare = F.btrim(text, F.lit(_BLANKS))
-    open_, close = (F.length(F.regexp_replace(bare, rf"[^{b}]", "")) for b in (r"\{", r"\}"))
+    open_, close = (F.length(F.replace(bare, F.lit(b), F.lit(""))) for b in "{}")
     suspicious = ~bare.endswith("}") | bare.rlike(r"\}\s*[^\s\]}]") | (open_ != close)
     elements = F.json_array_length(F.concat(F.lit("["), bare, F.lit("]")))
     return suspicious & (F.coalesce(elements, F.lit(0)) != 1)

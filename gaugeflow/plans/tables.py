@@ -106,23 +106,26 @@ class Tables:
         good = rejects.accepted(tagged)
         beside = [c for c in order_by if c not in columns]
         rows = keyed.first(good.select(*columns, *beside), spec.keys, order_by).select(*columns)
-        counts = good.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_n"))
-        lost = F.col("_n") - 1
+        superseded = keyed.superseded(good, spec.keys)
         if not self._is_empty(name, spec):
             stored = self.spark.table(self._name(name)).select(*spec.keys)
             rows = rows.join(stored, spec.keys, "left_anti")
-            known = stored.select(*spec.keys, F.lit(1).alias("_stored"))
-            counts = counts.join(known, spec.keys, "left")
-            lost = lost + F.coalesce("_stored", F.lit(0))
-        # Written before the insert, which would make all of them stored.
-        path = scratch_dir(self.spark, "superseded")
-        superseded = counts.select(*spec.keys, lost.alias("superseded")).filter("superseded > 0")
-        superseded.write.parquet(path)
+            superseded = self._lost_to(good, stored, spec)
         arranged = for_write(with_partitions(rows, spec), spec)
         arranged.select(*columns, *spec.partition_columns).write.insertInto(self._name(name))
-        superseded = self.spark.read.schema(superseded.schema).parquet(path)
         return Loaded(rejects.rejected(tagged), superseded)
 
+    def _lost_to(self, good: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
+        """Rows a load does not take, by key; written, since the load makes all keys stored."""
+        counts = good.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_n"))
+        known = stored.select(*spec.keys, F.lit(1).alias("_stored"))
+        lost = F.col("_n") - 1 + F.coalesce("_stored", F.lit(0))
+        lost = counts.join(known, spec.keys, "left").select(*spec.keys, lost.alias("superseded"))
+        path = scratch_dir(self.spark, "superseded")
+        lost = lost.filter("superseded > 0")
+        lost.write.parquet(path)
+        return self.spark.read.schema(lost.schema).parquet(path)
+
     def insert(self, name: str, query: str, order_by: Sequence[str]) -> Loaded:
         """Load the rows of a SQL query, with the checks and layout of :meth:`load`."""
         return self.load(name, self.spark.sql(query), order_by)
