@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -29,6 +31,12 @@ def complete_folders(spark: SparkSession, base: str, label: str) -> list[int]:
     return sorted(int(m.split("/")[-2].partition("=")[2]) for m in markers)
 
 
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written."""
+    fs, hadoop_path = _open(spark, path)
+    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.delete(hadoop_path, True)

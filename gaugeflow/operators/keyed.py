@@ -29,23 +29,34 @@ def latest(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFr
     return _extreme(df, key, order_by, [F.col(c) for c in order_by], F.max)
 
 
-def first(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The whole first row per key; NULL order values come last."""
+def first(
+    df: DataFrame, key: Sequence[str], order_by: Sequence[str], count: str | None = None
+) -> DataFrame:
+    """The whole first row per key; NULL order values come last.
+
+    ``count`` names a column for the number of the key's rows.
+    """
     order = [
         c for name in order_by for c in (F.col(name).isNull().alias(f"{name}_null"), F.col(name))
     ]
-    return _extreme(df, key, order_by, order, F.min)
+    return _extreme(df, key, order_by, order, F.min, count)
 
 
 def _extreme(
-    df: DataFrame, key: Sequence[str], order_by: Sequence[str], order: list[Column], pick
+    df: DataFrame,
+    key: Sequence[str],
+    order_by: Sequence[str],
+    order: list[Column],
+    pick,
+    count: str | None = None,
 ) -> DataFrame:
     # One struct, compared field by field; order columns travel only once.
     rest = [c for c in df.columns if c not in key and c not in order_by]
     best = df.groupBy(*key).agg(
         pick(F.struct(*order, F.struct(*rest).alias("_rest"))).alias("_best")
         if rest
-        else pick(F.struct(*order)).alias("_best")
+        else pick(F.struct(*order)).alias("_best"),
+        *([] if count is None else [F.count(F.lit(1)).alias(count)]),
     )
     best_row = F.col("_best")
 
@@ -55,7 +66,7 @@ def _extreme(
         source = best_row if name in order_by else best_row.getField("_rest")
         return source.getField(name).alias(name)
 
-    return best.select(*[output(c) for c in df.columns])
+    return best.select(*[output(c) for c in df.columns], *([] if count is None else [count]))
 
 
 def superseded(df: DataFrame, key: Sequence[str]) -> DataFrame:

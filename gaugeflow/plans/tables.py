@@ -1,12 +1,14 @@
 """Keyed Parquet tables in the catalog: create from a spec, load, change, drop.
 
 A table's spec is kept in its properties. Its data lies below one folder, in a
-sub-folder per layout version, partitioned by ``range_id`` and ``bucket``.
+sub-folder per layout version, partitioned by ``range_id`` and ``bucket``. Tables are
+loaded, where a key's first row stays, or fed (:meth:`Tables.feed`), where batches upsert.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -23,10 +25,14 @@ from gaugeflow.plans.layout import for_write, key_filter, key_rules, with_partit
 from gaugeflow.plans.ranges import RangePartition, check_ranges
 from gaugeflow.plans.spec import AddColumn, AlterSpec, ColumnSpec, TableSpec
 from gaugeflow.session import scratch_dir
+from gaugeflow.streaming import keyed_log
+from gaugeflow.streaming.table_feed import TableFeed
 
 _SPEC = "gaugeflow.spec"
 _ROOT = "gaugeflow.root"
 _VERSION = "gaugeflow.version"
+_RETIRED = "gaugeflow.retired"
+_FEED = "gaugeflow.feed"
 
 
 @dataclass(frozen=True)
@@ -95,36 +101,67 @@ class Tables:
         Columns that ``df`` leaves out get their default, or NULL. For upserts and
         continuous loads use ``streaming.keyed_log``.
         """
+        if self._feed(name):
+            raise ValueError(f"table {name} is fed: write its batches through its feed")
         spec = self.spec(name)
         columns = spec.schema.names
-        defaults = self._defaults(name)
-        for c in columns:
-            if c not in df.columns:
-                value = F.expr(defaults.get(c, "NULL")).cast(spec.type_of(c))
-                df = df.withColumn(c, value)
-        tagged = rejects.tag(df, key_rules(spec))
+        tagged = rejects.tag(self.completed(name, df), key_rules(spec))
         good = rejects.accepted(tagged)
         beside = [c for c in order_by if c not in columns]
-        rows = keyed.first(good.select(*columns, *beside), spec.keys, order_by).select(*columns)
-        superseded = keyed.superseded(good, spec.keys)
-        if not self._is_empty(name, spec):
-            stored = self.spark.table(self._name(name)).select(*spec.keys)
-            rows = rows.join(stored, spec.keys, "left_anti")
-            superseded = self._lost_to(good, stored, spec)
-        arranged = for_write(with_partitions(rows, spec), spec)
-        arranged.select(*columns, *spec.partition_columns).write.insertInto(self._name(name))
-        return Loaded(rejects.rejected(tagged), superseded)
-
-    def _lost_to(self, good: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
-        """Rows a load does not take, by key; written, since the load makes all keys stored."""
-        counts = good.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_n"))
-        known = stored.select(*spec.keys, F.lit(1).alias("_stored"))
+        good = good.select(*columns, *beside)
+        rejected = rejects.rejected(tagged)
+        if self._is_empty(name, spec):
+            rows = keyed.first(good, spec.keys, order_by)
+            self._insert(name, for_write(with_partitions(rows, spec), spec), spec)
+            return Loaded(rejected, keyed.superseded(good, spec.keys))
+        # One row for each key, read three times below, but made once.
+        counted = keyed.first(good, spec.keys, order_by, count="_n")
+        arrived = self._written(with_partitions(counted, spec), "arrived")
+        known = self._stored_keys(name, spec, arrived)
         lost = F.col("_n") - 1 + F.coalesce("_stored", F.lit(0))
-        lost = counts.join(known, spec.keys, "left").select(*spec.keys, lost.alias("superseded"))
-        path = scratch_dir(self.spark, "superseded")
-        lost = lost.filter("superseded > 0")
-        lost.write.parquet(path)
-        return self.spark.read.schema(lost.schema).parquet(path)
+        # Written, since the insert makes all keys stored ones.
+        superseded = self._written(
+            arrived.join(known, spec.keys, "left").select(*spec.keys, lost.alias("superseded"))
+            .filter("superseded > 0"),
+            "superseded",
+        )
+        new = arrived.join(known, spec.keys, "left_anti")
+        self._insert(name, new.hint("rebalance", *spec.partition_columns), spec)
+        return Loaded(rejected, superseded)
+
+    def completed(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` with the columns it leaves out: their default, or NULL."""
+        spec, defaults = self.spec(name), self._defaults(name)
+        for c in spec.schema.names:
+            if c not in df.columns:
+                value = F.expr(defaults.get(c, "NULL")).cast(spec.type_of(c))
+                df = df.withColumn(c, value)
+        return df
+
+    def _insert(self, name: str, rows: DataFrame, spec: TableSpec) -> None:
+        columns = [*spec.schema.names, *spec.partition_columns]
+        rows.select(*columns).write.insertInto(self._name(name))
+
+    def _stored_keys(self, name: str, spec: TableSpec, arrived: DataFrame) -> DataFrame:
+        """The keys of ``arrived`` that are stored, marked ``_stored``.
+
+        Only partitions that rows arrived for are read; a table has a bounded number of
+        them. Few arrived keys are broadcast by Spark's own size check, and then the stored
+        ones are not shuffled either.
+        """
+        stored = self.spark.table(self._name(name))
+        met = arrived.select(*spec.partition_columns).distinct().collect()
+        for c in spec.partition_columns:
+            stored = stored.filter(F.col(c).isin(sorted({row[c] for row in met})))
+        keys = arrived.select(*spec.keys)
+        return stored.select(*spec.keys).join(keys, spec.keys, "left_semi").withColumn(
+            "_stored", F.lit(1)
+        )
+
+    def _written(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_dir(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def insert(self, name: str, query: str, order_by: Sequence[str]) -> Loaded:
         """Load the rows of a SQL query, with the checks and layout of :meth:`load`."""
@@ -133,6 +170,86 @@ class Tables:
     def _is_empty(self, name: str, spec: TableSpec) -> bool:
         return not self.spark.sql(f"SHOW PARTITIONS {self._sql(name)}").head(1)
 
+    # -- feeding ---------------------------------------------------------------
+
+    def feed(
+        self,
+        name: str,
+        order_by: Sequence[str] = (),
+        mode: str = keyed_log.UPSERT,
+        order_schema: T.StructType | None = None,
+    ) -> TableFeed:
+        """The feed of a table: batches whose last (or first) row of each key stays.
+
+        The first call settles ``order_by``, ``mode`` and the types of order columns beside
+        the table's own; later calls need no more than the name. Rows loaded before take
+        part, so their order columns must be the table's own.
+        """
+        known = self._feed(name)
+        beside = [] if order_schema is None else [f.jsonValue() for f in order_schema.fields]
+        wanted = {"order_by": list(order_by), "mode": mode, "beside": beside}
+        if known:
+            if order_by and any(known[k] != v for k, v in wanted.items()):
+                raise ValueError(f"table {name} is fed in another way")
+            return TableFeed(self, name)
+        if not order_by:
+            raise ValueError(f"table {name} is not fed yet: name its order columns")
+        spec = self.spec(name)
+        if beside and not self._is_empty(name, spec):
+            raise ValueError(f"rows of {name} have no values of {order_schema.names}")
+        # Checks the settings before anything is written.
+        keyed_log.KeyedLog(self.spark, self.root, spec, order_by, mode, order_schema)
+        rows = self.spark.table(self._name(name)).withColumn("batch_id", F.lit(-1).cast("long"))
+        for field in order_schema or []:
+            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+        self._move(name, spec, rows, wanted | {"added": {}, "through": -1})
+        return TableFeed(self, name)
+
+    def feed_settings(self, name: str) -> tuple[str, dict]:
+        """The folder and the settings of a table's feed."""
+        properties = self._properties(name)
+        return f"{properties[_ROOT]}/v{properties[_VERSION]}", json.loads(properties[_FEED])
+
+    def show_snapshot(self, name: str, through: int) -> None:
+        """Let the catalog read a merge of the feed, one partition after the other."""
+        folder, settings = self.feed_settings(name)
+        if settings["through"] == through:
+            return
+        spec, table = self.spec(name), self._sql(name)
+        location = _snapshot(folder, through)
+        shown = {row["partition"] for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        found = files.matching(self.spark, location + "/*=*" * len(spec.partition_columns))
+        added = []
+        for path in found:
+            part = "/".join(path.split("/")[-len(spec.partition_columns):])
+            clause = f"PARTITION ({part.replace('/', ', ')})"
+            if part in shown:
+                self.spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION {text_literal(path)}")
+            else:
+                added.append(f"{clause} LOCATION {text_literal(path)}")
+        if added:
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+        self.spark.sql(f"ALTER TABLE {table} SET LOCATION {text_literal(location)}")
+        self._store_feed(name, settings | {"through": through})
+
+    def _feed(self, name: str) -> dict | None:
+        text = self._properties(name).get(_FEED)
+        return json.loads(text) if text else None
+
+    def _store_feed(self, name: str, settings: dict) -> None:
+        self._set_property(name, _FEED, json.dumps(settings))
+
+    def _merged(self, name: str) -> dict | None:
+        """Merge what was fed, so that a change finds all rows in the table."""
+        if self._feed(name):
+            TableFeed(self, name).compact()
+        return self._feed(name)
+
+    def _not_ordering(self, name: str, column: str) -> None:
+        feed = self._feed(name)
+        if feed and column in feed["order_by"]:
+            raise ValueError(f"the feed of {name} orders by {column}")
+
     # -- changing --------------------------------------------------------------
 
     def rename(self, name: str, new_name: str) -> None:
@@ -150,6 +267,9 @@ class Tables:
             raise ValueError(f"column {column.name} exists")
         if not column.nullable and column.default is None and not self._is_empty(name, spec):
             raise ValueError(f"column {column.name} must not be NULL but has no default")
+        feed = self._merged(name)
+        if feed and column.name in [f["name"] for f in feed["beside"]]:
+            raise ValueError(f"the feed of {name} has a column {column.name}")
         if column.name in self._retired(name):
             # Files still hold values under this name: write them without it first.
             self._rewrite(name, spec, lambda df: df)
@@ -163,6 +283,9 @@ class Tables:
         self._store_spec(
             name, replace(spec, columns=(*spec.columns, added), required=required)
         )
+        if feed and column.default is not None:
+            since = {column.name: (sql_literal(column.default), feed["through"])}
+            self._store_feed(name, feed | {"added": feed["added"] | since})
 
     def drop_column(self, name: str, column: str) -> None:
         """Drop a column that is not part of the key.
@@ -175,6 +298,8 @@ class Tables:
             raise ValueError(f"key column {column} cannot be dropped")
         if column not in spec.schema.names:
             raise ValueError(f"no column {column}")
+        self._not_ordering(name, column)
+        self._merged(name)
         smaller = replace(
             spec,
             columns=tuple(c for c in spec.columns if c.name != column),
@@ -185,10 +310,9 @@ class Tables:
             return
         properties = self._properties(name)
         retired = {*self._retired(name), column}
-        comments = self._comments(name)
-        self.spark.sql(f"DROP TABLE {self._sql(name)}")
-        self._define(
-            smaller, properties[_ROOT], int(properties[_VERSION]), {}, retired, comments
+        self._redefine(
+            smaller, properties[_ROOT], int(properties[_VERSION]), {}, retired,
+            self._comments(name), self._feed(name),
         )
 
     def rename_column(self, name: str, old: str, new: str) -> None:
@@ -198,6 +322,8 @@ class Tables:
             raise ValueError(f"no column {old}")
         if new in spec.schema.names or new in spec.partition_columns:
             raise ValueError(f"column {new} exists")
+        self._not_ordering(name, old)
+        self._merged(name)
 
         def changed(names):
             return tuple(new if c == old else c for c in names)
@@ -246,6 +372,7 @@ class Tables:
         gone = [r for r in spec.ranges if r.same_bounds(wanted)]
         if not gone:
             raise ValueError(f"no range {wanted.lower} .. {wanted.upper}")
+        self._merged(name)
         number = gone[0].range_id
         shown = f"SHOW PARTITIONS {self._sql(name)} PARTITION (range_id={number})"
         # One entry per bucket of the range.
@@ -304,12 +431,14 @@ class Tables:
                 raise ValueError(f"key column {column} cannot be dropped")
             if column not in names:
                 raise ValueError(f"no column {column}")
+            self._not_ordering(change.table, column)
             names.remove(column)
         for old, new in change.rename_columns:
             if old not in names:
                 raise ValueError(f"no column {old}")
             if new in names or new in spec.partition_columns:
                 raise ValueError(f"column {new} exists")
+            self._not_ordering(change.table, old)
             names[names.index(old)] = new
         left = list(spec.ranges)
         for entry in change.drop_ranges:
@@ -345,10 +474,12 @@ class Tables:
 
     def _location(self, name: str) -> str:
         properties = self._properties(name)
-        return f"{properties[_ROOT]}/v{properties[_VERSION]}"
+        folder = f"{properties[_ROOT]}/v{properties[_VERSION]}"
+        feed = self._feed(name)
+        return _snapshot(folder, feed["through"]) if feed else folder
 
     def _retired(self, name: str) -> set[str]:
-        return set(filter(None, self._properties(name).get("gaugeflow.retired", "").split("\n")))
+        return set(filter(None, self._properties(name).get(_RETIRED, "").split("\n")))
 
     def _defaults(self, name: str) -> dict[str, str]:
         fields = self.spark.table(self._name(name)).schema.fields
@@ -365,9 +496,12 @@ class Tables:
         return comments | ({None: own[0]} if own else {})
 
     def _store_spec(self, name: str, spec: TableSpec) -> None:
+        self._set_property(name, _SPEC, spec.to_json())
+
+    def _set_property(self, name: str, key: str, value: str) -> None:
         self.spark.sql(
             f"ALTER TABLE {self._sql(name)} SET TBLPROPERTIES "
-            f"({text_literal(_SPEC)} = {text_literal(spec.to_json())})"
+            f"({text_literal(key)} = {text_literal(value)})"
         )
 
     def _define(
@@ -378,7 +512,11 @@ class Tables:
         defaults: dict[str, str],
         retired: set[str] = frozenset(),
         comments: dict[str | None, str] | None = None,
+        feed: dict | None = None,
+        under: str | None = None,
     ) -> None:
+        """Create the table of ``spec`` (``under`` another name) over the files there are."""
+
         def column(name: str, data_type: T.DataType) -> str:
             default = f" DEFAULT {defaults[name]}" if name in defaults else ""
             noted = f" COMMENT {text_literal(comments[name])}" if name in comments else ""
@@ -389,40 +527,74 @@ class Tables:
         columns += [column(c, T.IntegerType()) for c in spec.partition_columns]
         properties = {
             _SPEC: spec.to_json(), _ROOT: root, _VERSION: str(version),
-            "gaugeflow.retired": "\n".join(sorted(retired)),
+            _RETIRED: "\n".join(sorted(retired)),
         }
+        location = f"{root}/v{version}"
+        if feed:
+            properties[_FEED] = json.dumps(feed)
+            location = _snapshot(location, feed["through"])
+        name = under or spec.name
         listed = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
         self.spark.sql(
-            f"CREATE TABLE {self._sql(spec.name)} ({', '.join(columns)}) USING parquet "
+            f"CREATE TABLE {self._sql(name)} ({', '.join(columns)}) USING parquet "
             f"PARTITIONED BY ({', '.join(spec.partition_columns)}) "
-            f"LOCATION {text_literal(f'{root}/v{version}')} TBLPROPERTIES ({listed})"
+            f"LOCATION {text_literal(location)} TBLPROPERTIES ({listed})"
         )
         if None in comments:
-            self.comment_table(spec.name, comments[None])
-        if files.exists(self.spark, f"{root}/v{version}"):
-            self.spark.sql(f"ALTER TABLE {self._sql(spec.name)} RECOVER PARTITIONS")
+            self.comment_table(name, comments[None])
+        if files.exists(self.spark, location):
+            self.spark.sql(f"ALTER TABLE {self._sql(name)} RECOVER PARTITIONS")
+
+    def _redefine(self, spec: TableSpec, *definition) -> None:
+        """Replace the table by a new definition, which is complete before the old one goes.
+
+        After a failure in between, the table is there under its name with ``_next``.
+        """
+        following = spec.name + "_next"
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._sql(following)}")
+        self._define(spec, *definition, under=following)
+        self.spark.sql(f"DROP TABLE {self._sql(spec.name)}")
+        self.spark.sql(f"ALTER TABLE {self._sql(following)} RENAME TO {self._sql(spec.name)}")
 
     def _rewrite(
         self, name: str, spec: TableSpec, change, renamed: dict[str, str] | None = None
     ) -> None:
         """Write the changed rows to the next version folder and point the table there."""
-        properties = self._properties(name)
+        feed = self._feed(name)
+        rows = TableFeed(self, name).merged_rows() if feed else self.spark.table(self._name(name))
+        self._move(name, spec, change(rows), feed and feed | {"added": {}}, renamed)
+
+    def _move(
+        self,
+        name: str,
+        spec: TableSpec,
+        rows: DataFrame,
+        feed: dict | None,
+        renamed: dict[str, str] | None = None,
+    ) -> None:
+        """Write the table's rows anew, for a feed with what it needs beside them."""
+        properties, renamed = self._properties(name), renamed or {}
         version = int(properties[_VERSION]) + 1
-        renamed = renamed or {}
         defaults = {renamed.get(c, c): v for c, v in self._defaults(name).items()}
         defaults = {c: v for c, v in defaults.items() if c in spec.schema.names}
         comments = {renamed.get(c, c): v for c, v in self._comments(name).items()}
         parts = spec.partition_columns
-        rows = change(self.spark.table(self._name(name))).select(*spec.schema.names, *parts)
-        folder = properties[_ROOT]
-        rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{folder}/v{version}")
-        self.spark.sql(f"DROP TABLE {self._sql(name)}")
-        self._define(spec, folder, version, defaults, comments=comments)
+        folder, target = properties[_ROOT], f"{properties[_ROOT]}/v{version}"
+        columns = [*spec.schema.names, *parts]
+        if feed:
+            target = _snapshot(target, feed["through"])
+            columns += ["batch_id", *(f["name"] for f in feed["beside"])]
+        rows.select(*columns).write.mode("overwrite").partitionBy(*parts).parquet(target)
+        self._redefine(spec, folder, version, defaults, frozenset(), comments, feed)
         # Older versions would keep rows of ranges that were dropped since.
         for old in range(1, version):
             files.delete(self.spark, f"{folder}/v{old}")
 
 
+def _snapshot(folder: str, through: int) -> str:
+    return f"{folder}/snapshot/through={through}"
+
+
 def sql_literal(value) -> str:
     """A spec value as SQL text."""
     if value is None:

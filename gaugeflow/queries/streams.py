@@ -118,9 +118,10 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_stream(spark, sf_dir).select(r.greeting_message().alias("value"))
     rows = rejects.accepted(decode.decode_greeting(rows))
     rows = decode.rename_project(rows, {"date": "a", "message": "b"})
-    catalog.temp_view(rows, "greeting_stream")
+    view = "stream_" + folder[-32:]
+    catalog.temp_view(rows, view)
     catalog.external_table(spark, name, folder, rows.schema)
-    selected = spark.sql("SELECT * FROM greeting_stream")
+    selected = spark.sql(f"SELECT * FROM {view}")
     ingest.write_table(selected, name, checkpoint(spark)).awaitTermination()
     return spark.table(name)
 

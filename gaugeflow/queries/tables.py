@@ -110,15 +110,15 @@ def column_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     insert = f"INSERT INTO {db.database}.readings (column1, column2, bucket) SELECT * FROM "
     bucket = hash_bucket([F.col("column1"), F.col("column2")], 8)
     keys = reading_rows(spark, sf_dir).select("column1", "column2")
-    catalog.temp_view(keys.withColumn("bucket", bucket), "event_keys")
-    spark.sql(insert + "event_keys")
+    catalog.temp_view(keys.withColumn("bucket", bucket), f"{db.database}_events")
+    spark.sql(f"{insert} {db.database}_events")
     db.remove_default("readings", "flag")
     orders = r.table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("int").alias("column1"),
         F.col("o_orderkey").cast("string").alias("column2"),
     )
-    catalog.temp_view(orders.withColumn("bucket", bucket), "order_keys")
-    spark.sql(insert + "order_keys")
+    catalog.temp_view(orders.withColumn("bucket", bucket), f"{db.database}_orders")
+    spark.sql(f"{insert} {db.database}_orders")
     return db.read("readings").select("column1", "column2", "flag")
 
 
@@ -412,3 +412,30 @@ def drop_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         db.load(kind, rows, ["column4"])
     db.drop("error", "never_there", purge=True)
     return catalog.count_tables(spark, db.database)
+
+
+@query("""
+SELECT cast(user_id AS INT) AS column1, event_type AS column2, value AS column3,
+       CASE WHEN event_id % 4 = 3 THEN 7 ELSE 54 END AS flag
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+""")
+def upsert_then_alter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made from a spec, fed three batches, given a column, fed another; read by name."""
+    db = tables(spark)
+    db.create(table_spec(_unranged()))
+    beside = T.StructType([T.StructField("sequence", T.LongType())])
+    feed = db.feed("readings", ["column4", "sequence"], order_schema=beside)
+    rows = r.events(spark, sf_dir).select(
+        F.col("user_id").cast("int").alias("column1"),
+        F.col("event_type").alias("column2"),
+        F.col("value").alias("column3"),
+        F.col("ts").cast("timestamp").alias("column4"),
+        F.col("event_id").cast("long").alias("sequence"),
+    )
+    for batch in range(3):
+        feed.write_batch(rows.filter(F.col("sequence") % 4 == batch), batch)
+    db.add_column("readings", AddColumn("flag", T.IntegerType(), nullable=False, default=54))
+    feed.write_batch(rows.filter("sequence % 4 = 3").withColumn("flag", F.lit(7)), 3)
+    feed.compact()
+    return spark.sql(f"SELECT column1, column2, column3, flag FROM {db.database}.readings")

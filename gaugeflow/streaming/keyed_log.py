@@ -30,6 +30,8 @@ from gaugeflow.streaming.ingest import with_trigger
 UPSERT = "upsert"
 INSERT = "insert"
 
+# Batches of a stream after which they are merged: a read reduces no more than these.
+COMPACT_EVERY = 10
 # Rows after a snapshot up to which their keys are broadcast to it.
 MAX_BROADCAST_KEYS = 1_000_000
 
@@ -63,6 +65,9 @@ class KeyedLog:
         missing = [c for c in self.order_by if c not in self.row_schema.names]
         if missing:
             raise ValueError(f"order columns {missing} need a type in order_schema")
+        # Columns younger than their oldest rows: the default (SQL) of rows up to a batch.
+        self.added: dict[str, tuple[str, int]] = {}
+        self._views: set[str] = set()
 
     # -- writing ---------------------------------------------------------------
 
@@ -86,17 +91,19 @@ class KeyedLog:
             rejects.rejected(tagged).write.mode("overwrite").parquet(path)
         else:
             files.delete(self.spark, path)
+        self._renew_views()
 
     def start(
         self,
         stream: DataFrame,
         checkpoint: str,
         interval: str | None = None,
-        compact_every: int | None = None,
+        compact_every: int | None = COMPACT_EVERY,
     ) -> StreamingQuery:
         """Feed a stream into the table, one batch per trigger.
 
-        With ``compact_every`` the batches are merged after each such number of them.
+        The batches are merged after each ``compact_every`` of them; None leaves it to
+        the caller.
         """
 
         def write(df: DataFrame, batch_id: int) -> None:
@@ -146,11 +153,20 @@ class KeyedLog:
         return self.current(where=key_filter(self.spec, key_values))
 
     def register(self, name: str) -> DataFrame:
-        """Make the current rows a temporary view for SQL."""
+        """Make the current rows a temporary view for SQL.
+
+        What this log writes, merges or deletes from now on renews the view, so a query
+        started later sees it. Batches that another session writes do not.
+        """
+        self._views.add(name)
         df = self.current()
         df.createOrReplaceTempView(name)
         return df
 
+    def _renew_views(self) -> None:
+        for name in self._views:
+            self.current().createOrReplaceTempView(name)
+
     def rejected(self) -> DataFrame | None:
         """All rejected rows with their batch, or None."""
         folders = self._complete("rejects", "batch_id")
@@ -166,7 +182,14 @@ class KeyedLog:
     def _complete(self, folder: str, label: str) -> list[int]:
         return files.complete_folders(self.spark, f"{self.root}/{folder}", label)
 
-    def _read(self, folder: str, label: str, numbers: list[int], where: Column | None) -> DataFrame:
+    def _read(
+        self,
+        folder: str,
+        label: str,
+        numbers: list[int],
+        where: Column | None,
+        also: Sequence[str] = (),
+    ) -> DataFrame:
         parts = [T.StructField(c, T.IntegerType()) for c in self.spec.partition_columns]
         merged = [T.StructField("batch_id", T.LongType())]
         fields = [*self.row_schema.fields, *merged, *parts]
@@ -177,7 +200,10 @@ class KeyedLog:
         df = reader.parquet(*[f"{base}/{label}={n}" for n in numbers])
         if where is not None:
             df = df.filter(where)
-        return df.select(*self.row_schema.names, "batch_id")
+        for name, (default, last) in self.added.items():
+            old = F.expr(default).cast(self.row_schema[name].dataType)
+            df = df.withColumn(name, F.when(F.col("batch_id") <= last, old).otherwise(F.col(name)))
+        return df.select(*self.row_schema.names, "batch_id", *also)
 
     def _current(
         self,
@@ -237,13 +263,21 @@ class KeyedLog:
         if through is None or through in self._complete("snapshot", "through"):
             return None
         self._write(self._current(through), f"{self.root}/snapshot/through={through}")
+        self._renew_views()
         return through
 
-    def vacuum(self) -> None:
-        """Delete batches and snapshots that the newest snapshot covers."""
+    def vacuum(self, keep_seconds: float = 0) -> None:
+        """Delete batches and snapshots that the newest snapshot covers.
+
+        A query that runs may still read them: ``keep_seconds`` spares all of them until
+        the newest snapshot has that age.
+        """
         snapshots = self._complete("snapshot", "through")
         if not snapshots:
             return
+        newest = f"{self.root}/snapshot/through={snapshots[-1]}/_SUCCESS"
+        if files.age(self.spark, newest) < keep_seconds:
+            return
         for n in snapshots[:-1]:
             files.delete(self.spark, f"{self.root}/snapshot/through={n}")
         for n in self.batches():

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow.plans import catalog, schemas
-from gaugeflow.plans.spec import AddColumn, alter_spec, table_spec
+from gaugeflow.plans.spec import AddColumn, alter_spec, lenient_json, table_spec
 from gaugeflow.plans.tables import Tables
 from gaugeflow.queries.tables import READINGS_CHANGE, READINGS_SPEC
 
@@ -263,3 +263,106 @@ def test_alter_refuses_a_bad_document_whole(spark, folder):
     with pytest.raises(ValueError, match="no column missing"):
         db.alter(change)
     assert "fresh" not in db.spec("readings").schema.names
+
+
+def unranged():
+    document = lenient_json(READINGS_SPEC)
+    del document["spec"]["tuningConfig"]["partitionSpec"]["rangePartition"]
+    return table_spec(document)
+
+
+def by_key(df, *columns):
+    return {r[0]: tuple(r)[1:] for r in df.select("column1", *columns).collect()}
+
+
+def test_feed_of_loaded_table_through_ddl(spark, loaded):
+    """Stored rows take part, and every verb finds what was fed before it."""
+    feed = loaded.feed("readings", ["column3"])
+    feed.write_batch(readings(spark, (31, "a", 99.0), (32, "a", 1.0), (5, "a", 1.0)), 0)
+    assert by_key(feed.current(), "column3")[31] == (99.0,)
+    assert by_key(loaded.read("readings"), "column3")[31] == (31.0,)  # not merged yet
+    feed.compact()
+    assert by_key(loaded.read("readings"), "column3")[31] == (99.0,)
+    assert by_key(loaded.read("readings"), "column3")[32] == (32.0,)  # stored row is later
+    assert [r["column1"] for r in feed.rejected().collect()] == [5]
+
+    feed.write_batch(readings(spark, (33, "a", 98.0)), 1)
+    loaded.add_column("readings", AddColumn("flag", INT, default=54))
+    feed.write_batch(readings(spark, (34, "a", 97.0)).withColumn("flag", F.lit(7)), 2)
+    feed.write_batch(readings(spark, (35, "a", 96.0)), 3)
+    assert by_key(feed.current(), "flag")[33] == (54,)
+    loaded.rename_column("readings", "flag", "mark")
+    rows = by_key(loaded.read("readings"), "column3", "mark")
+    assert [rows[k] for k in range(33, 37)] == [(98.0, 54), (97.0, 7), (96.0, 54), (36.0, 54)]
+    loaded.drop_column("readings", "column4")
+    loaded.drop_range("readings", {
+        "lower": [40], "upper": [49], "lower_bound": "exclusive", "upper_bound": "exclusive",
+    })
+    feed.write_batch(readings(spark, (36, "a", 95.0)).drop("column4"), 4)
+    feed.compact()
+    rows = by_key(spark.table(f"{loaded.database}.readings"), "column3", "mark")
+    assert rows[36] == (95.0, 54)
+    assert sorted(rows) == [k for k in KEPT if not 40 < k < 49]
+    assert first_column(feed.current()) == sorted(rows)
+
+
+def test_feed_guards(spark, loaded):
+    with pytest.raises(ValueError, match="not fed yet"):
+        loaded.feed("readings")
+    beside = T.StructType([T.StructField("sequence", INT)])
+    with pytest.raises(ValueError, match="no values of"):
+        loaded.feed("readings", ["sequence"], order_schema=beside)
+    feed = loaded.feed("readings", ["column3"])
+    with pytest.raises(ValueError, match="another way"):
+        loaded.feed("readings", ["column4"])
+    with pytest.raises(ValueError, match="is fed"):
+        loaded.load("readings", readings(spark, (31, "b", 1.0)), ["column4"])
+    for change in (lambda: loaded.drop_column("readings", "column3"),
+                   lambda: loaded.rename_column("readings", "column3", "x")):
+        with pytest.raises(ValueError, match="orders by"):
+            change()
+    feed.write_batch(readings(spark, (31, "b", 1.0)), 0)
+    feed.compact()
+    with pytest.raises(ValueError, match="merged"):
+        feed.write_batch(readings(spark, (31, "b", 1.0)), 0)
+
+
+def test_feed_view_and_old_snapshots(spark, db):
+    db.create(unranged())
+    feed = db.feed("readings", ["column3"])
+    view = "feed_view_" + uuid.uuid4().hex
+    feed.register(view)
+    for batch in range(3):
+        feed.write_batch(readings(spark, (1, "a", float(batch)), (batch, "b", 0.0)), batch)
+        assert spark.table(view).filter("column2 = 'a'").first()["column3"] == batch
+        feed.compact()
+    feed.vacuum(keep_seconds=3600)
+    assert len(feed.batches()) == 3
+    feed.vacuum()
+    assert feed.batches() == []
+    assert spark.table(view).count() == db.read("readings").count() == 4
+    db.rename("readings", "renamed")
+    db.feed("renamed").write_batch(readings(spark, (9, "z", 1.0)), 3)
+    db.feed("renamed").compact()
+    assert db.read("renamed").count() == 5
+
+
+def test_small_load_reads_only_partitions_it_meets(spark, loaded):
+    arrived = spark.createDataFrame([(31, "a", 0, 3)], "column1 int, column2 string, range_id int, bucket int")
+    known = loaded._stored_keys("readings", loaded.spec("readings"), arrived)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "bucket" in line)
+    assert "PartitionFilters" in scan and "(range_id" in scan and "(bucket" in scan
+
+
+def test_two_loads_account_for_every_row(spark, db):
+    db.create(table_spec(READINGS_SPEC))
+    given, lost, refused = 0, 0, 0
+    for rows in ([(31, "a", 1.0), (31, "a", 2.0), (45, "b", 1.0), (99, "c", 1.0)],
+                 [(31, "a", 3.0), (46, "b", 1.0), (46, "b", 2.0), (None, "c", 1.0)]):
+        done = db.load("readings", readings(spark, *rows), ["column3"])
+        given += len(rows)
+        refused += done.rejected.count()
+        lost += sum(r["superseded"] for r in done.superseded.collect())
+    assert db.read("readings").count() + lost + refused == given
+    assert (lost, refused) == (3, 2)
