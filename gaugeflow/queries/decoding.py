@@ -140,8 +140,9 @@ FROM events
 def select_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = r.spread_events(spark, sf_dir).select(r.greeting_message().alias("value"))
     rows = rejects.accepted(decode.decode_greeting(rows))
-    catalog.temp_view(decode.rename_project(rows, {"date": "a", "message": "b"}), "greetings")
-    return spark.sql("SELECT * FROM greetings")
+    view = "greetings_" + scratch_dir(spark, "view")[-32:]
+    catalog.temp_view(decode.rename_project(rows, {"date": "a", "message": "b"}), view)
+    return spark.sql(f"SELECT * FROM {view}")
 
 
 @query(f"SELECT event_id, '{r.SERVICE_DATE} ' || {_CLOCK_SQL} AS arrival_time FROM events")

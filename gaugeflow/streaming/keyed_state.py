@@ -1,11 +1,8 @@
 """The previous row of each key, carried across the batches of a stream.
 
-Two forms with the same result. :func:`track_previous` keeps the last row per key in
-Spark's state store: cheap per batch however many keys there are. It orders the rows
-a key has in one batch in its task, by sorted runs that are merged from the task's own
-temporary files, so a key of any size passes through one task in bounded memory.
-:class:`PreviousFeed` does the work with joins and windows over Parquet: each batch
-reads the stored keys again, but a key with most of the rows is split over tasks.
+The state is a keyed table of each key's last row. A batch is ordered by windows, joined to
+the stored rows of its keys, and its own last rows become the next state: joins and windows
+over Parquet, in which a key with most of the rows is split over tasks.
 
 Rows are ordered within a batch, and against the key's last row across batches. A
 row older than that last row is ``late``: it is kept, without a previous row, and
@@ -14,18 +11,12 @@ does not replace the stored one.
 
 from __future__ import annotations
 
-import heapq
-import itertools
-import pickle
-import sys
-import tempfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from gaugeflow import files
 from gaugeflow.operators.keyed import MAX_KEY_ROWS, join_one_of_each, previous
@@ -33,12 +24,6 @@ from gaugeflow.plans.spec import ColumnSpec, TableSpec
 from gaugeflow.streaming.ingest import with_trigger
 from gaugeflow.streaming.keyed_log import MAX_BROADCAST_KEYS, KeyedLog
 
-# Rows of one key that track_previous orders in memory; longer runs go to the task's disk.
-RUN_ROWS = 200_000
-
-# The processor travels to the workers by value: they need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def output_schema(
     schema: T.StructType, fields: Sequence[str], out: str = "previous"
@@ -50,81 +35,6 @@ def output_schema(
     ])
 
 
-class _Previous(StatefulProcessor):
-    """Keeps the order columns and the fields of a key's last row."""
-
-    def __init__(self, columns, order_by, fields, state_schema, run_rows):
-        self._columns = list(columns)
-        self._order_by = list(order_by)
-        self._fields = list(fields)
-        self._carried = list(dict.fromkeys([*order_by, *fields]))
-        self._state_schema = state_schema
-        self._run_rows = run_rows
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", self._state_schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = None
-        if self._last.exists():
-            last = dict(zip(self._carried, self._last.get()))
-        changed = False
-        for row in self._sorted(rows):
-            late = last is not None and self._order(row) < self._order(last)
-            shown = None if late or last is None else {c: last[c] for c in self._fields}
-            yield Row(**{c: row[c] for c in self._columns}, previous=shown, late=late)
-            if not late:
-                last, changed = row, True
-        if changed:
-            self._last.update(tuple(last[c] for c in self._carried))
-
-    def _sorted(self, rows) -> Iterator[Row]:
-        """Rows in order: one run in memory, the others merged from files."""
-        run = sorted(itertools.islice(rows, self._run_rows), key=self._order)
-        runs = []
-        while len(run) == self._run_rows:
-            spilled = tempfile.TemporaryFile()
-            for row in run:
-                pickle.dump(row.asDict(), spilled)
-            spilled.seek(0)
-            runs.append(self._read(spilled, len(run)))
-            run = sorted(itertools.islice(rows, self._run_rows), key=self._order)
-        return heapq.merge(*runs, run, key=self._order)
-
-    @staticmethod
-    def _read(spilled, n: int) -> Iterator[dict]:
-        for _ in range(n):
-            yield pickle.load(spilled)
-
-    def _order(self, row):
-        return tuple(row[c] for c in self._order_by)
-
-    def close(self) -> None:
-        pass
-
-
-def track_previous(
-    stream: DataFrame,
-    key: Sequence[str],
-    order_by: Sequence[str],
-    fields: Sequence[str],
-    run_rows: int = RUN_ROWS,
-) -> DataFrame:
-    """Streaming rows with ``previous`` and ``late``; start it with ``ingest.start_stateful``.
-
-    Order columns must not be NULL: reject such rows before.
-    """
-    schema = stream.schema
-    carried = list(dict.fromkeys([*order_by, *fields]))
-    state_schema = T.StructType([T.StructField(c, schema[c].dataType) for c in carried])
-    return stream.groupBy(*key).transformWithState(
-        statefulProcessor=_Previous(schema.names, order_by, fields, state_schema, run_rows),
-        outputStructType=output_schema(schema, fields),
-        outputMode="Append",
-        timeMode="None",
-    )
-
-
 class PreviousFeed:
     """Previous rows by joins and windows; one folder of rows per batch below ``root``."""
 

@@ -14,7 +14,7 @@ from gaugeflow.sources import messages
 from gaugeflow.streaming import ingest
 from gaugeflow.streaming.keyed_log import INSERT, UPSERT, KeyedLog
 from gaugeflow.streaming.ingest import start_stateful
-from gaugeflow.streaming.keyed_state import PreviousFeed, track_previous
+from gaugeflow.streaming.keyed_state import PreviousFeed
 
 SENSOR = [
     {"key": i % 7, "date": f"2021-06-01 10:{i // 60:02d}:{i % 60:02d}", "signal": float(i)}
@@ -188,23 +188,15 @@ def check_previous(df):
     assert {(r["k"], r["t"], r["v"]) for r in rows if r["late"]} == LATE
 
 
-def test_previous_by_state(spark, folder):
-    stream = track_previous(reading_stream(spark, folder), ["k"], ["t"], ["v"])
-    start_stateful(stream, folder + "/out", folder + "/cp").awaitTermination()
-    check_previous(spark.read.schema(stream.schema).parquet(folder + "/out"))
-
-
-def test_previous_by_state_after_restart(spark, folder):
+@pytest.mark.parametrize("compact_every", [1, 2, 20])
+def test_previous_state_outlives_its_feed(spark, folder, compact_every):
     for parts in (PARTS[:1], PARTS):
-        stream = track_previous(reading_stream(spark, folder, parts), ["k"], ["t"], ["v"])
-        start_stateful(stream, folder + "/out", folder + "/cp").awaitTermination()
-    check_previous(spark.read.schema(stream.schema).parquet(folder + "/out"))
-
-
-def test_previous_by_state_merges_long_runs(spark, folder):
-    stream = track_previous(reading_stream(spark, folder), ["k"], ["t"], ["v"], run_rows=2)
-    start_stateful(stream, folder + "/out", folder + "/cp").awaitTermination()
-    check_previous(spark.read.schema(stream.schema).parquet(folder + "/out"))
+        stream = reading_stream(spark, folder, parts)
+        feed = PreviousFeed(
+            spark, folder + "/root", stream.schema, ["k"], ["t"], ["v"], compact_every=compact_every
+        )
+        feed.start(stream, folder + "/cp").awaitTermination()
+    check_previous(feed.rows())
 
 
 def test_previous_feed_splits_a_hot_key(spark, folder):
