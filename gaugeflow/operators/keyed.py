@@ -19,29 +19,59 @@ _OVERSPLIT = 8
 _MAX_BROADCAST_SLICES = 1_000_000
 
 
-def latest(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def latest(
+    df: DataFrame, key: Sequence[str], order_by: Sequence[str], narrow_first: bool = False
+) -> DataFrame:
     """The whole last row per key: a NULL in it replaces an older value.
 
     A partial maximum runs before the shuffle, so a key with any share of the rows
     arrives as one row per task. Rows that tie on ``order_by`` are decided by their
     other columns, which makes the result the same on every run.
+
+    The maximum is of whole rows, which Spark can only aggregate sorted: every task sorts
+    its rows. With ``narrow_first`` the largest first order column of each key is found by
+    hash aggregation, and only rows that have it are compared whole. That reads ``df``
+    twice and pays off for stored rows with many of them for each key; not for rows that
+    a decoder makes, or for keys that mostly occur once.
     """
+    if narrow_first:
+        df = _with_extreme(df, key, order_by[0], F.max)
     return _extreme(df, key, order_by, [F.col(c) for c in order_by], F.max)
 
 
 def first(
-    df: DataFrame, key: Sequence[str], order_by: Sequence[str], count: str | None = None
+    df: DataFrame,
+    key: Sequence[str],
+    order_by: Sequence[str],
+    count: str | None = None,
+    narrow_first: bool = False,
 ) -> DataFrame:
     """The whole first row per key; NULL order values come last.
 
-    ``count`` names a column for the number of the key's rows.
+    ``count`` names a column for the number of the key's rows; ``narrow_first`` is as in
+    :func:`latest` and leaves no rows to count.
     """
     order = [
         c for name in order_by for c in (F.col(name).isNull().alias(f"{name}_null"), F.col(name))
     ]
+    if narrow_first and count is not None:
+        raise ValueError("narrow_first leaves no rows to count")
+    if narrow_first:
+        df = _with_extreme(df, key, order_by[0], F.min)
     return _extreme(df, key, order_by, order, F.min, count)
 
 
+def _with_extreme(df: DataFrame, key: Sequence[str], lead: str, pick) -> DataFrame:
+    """The rows that have their key's largest (smallest) ``lead``; NULL where it has no other."""
+    names = [*key, lead]
+    best = df.groupBy(*key).agg(pick(lead).alias(lead))
+    best = best.select(*[F.col(c).alias(f"_best_{i}") for i, c in enumerate(names)])
+    same = F.lit(True)
+    for i, c in enumerate(names):
+        same = same & F.col(c).eqNullSafe(F.col(f"_best_{i}"))
+    return df.join(best, same, "left_semi")
+
+
 def _extreme(
     df: DataFrame,
     key: Sequence[str],

@@ -28,7 +28,8 @@ SELECT user_id, ts::VARCHAR AS ts_text, event_id, event_type, value, props FROM
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_text(keyed.latest(r.events(spark, sf_dir), ["user_id"], ["ts", "event_id"]))
+    events = r.events(spark, sf_dir)
+    return _with_text(keyed.latest(events, ["user_id"], ["ts", "event_id"], narrow_first=True))
 
 
 @query("""
@@ -36,7 +37,8 @@ SELECT user_id, ts::VARCHAR AS ts_text, event_id, event_type, value, props FROM
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
 """)
 def insert_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_text(keyed.first(r.events(spark, sf_dir), ["user_id"], ["ts", "event_id"]))
+    events = r.events(spark, sf_dir)
+    return _with_text(keyed.first(events, ["user_id"], ["ts", "event_id"], narrow_first=True))
 
 
 def _with_text(df: DataFrame) -> DataFrame:

@@ -49,6 +49,32 @@ def test_null_order_is_last_for_first(spark):
     assert keyed.first(df, ["k"], ["t"]).first()["s"] == "y"
 
 
+NULLABLE = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 5)),
+        st.integers(0, 3),
+    ),
+    max_size=40,
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=NULLABLE)
+def test_narrow_first_changes_no_row(spark, rows):
+    df = spark.createDataFrame([(*row, str(i)) for i, row in enumerate(rows)], "k int, t int, i int, s string")
+    for pick in (keyed.latest, keyed.first):
+        whole, narrow = (pick(df, ["k"], ["t", "i"], narrow_first=n) for n in (False, True))
+        assert sorted(map(repr, whole.collect())) == sorted(map(repr, narrow.collect()))
+
+
+def test_narrow_first_aggregates_by_hash(spark):
+    df = spark.createDataFrame([(1, 2, "a")], "k int, t int, s string")
+    plan = keyed.latest(df, ["k"], ["t"], narrow_first=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[k" in plan
+    with pytest.raises(ValueError, match="no rows to count"):
+        keyed.first(df, ["k"], ["t"], count="n", narrow_first=True)
+
+
 def test_superseded(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 1)], "k int, v int")
     assert [tuple(r) for r in keyed.superseded(df, ["k"]).collect()] == [(1, 2)]
