@@ -363,6 +363,61 @@ def test_terms_that_give_an_entity_away(docs):
     assert "[EMAIL]" in text and "jo@" not in text and "writes" not in text
 
 
+def plain_terms(rows):
+    """Spans of terms by document, all counts over whole documents."""
+    entities, words = [], []
+    for _, text in rows:
+        base = plain_base(text)
+        entities.append({(k, re.sub("[^0-9]", "", text[s:e]) if k in ("card", "phone")
+                          else text[s:e].lower()) for k, s, e in base})
+        for _, s, e in base:
+            text = text[:s] + " " * (e - s) + text[e:]
+        words.append([(m[0].lower(), m.start(), m.end())
+                      for m in re.finditer(r"(?<![^\W_])[^\W\d_]{3,}(?![^\W_])", text)])
+    n_e = collections.Counter(e for es in entities for e in es)
+    n_t = collections.Counter(t for ws in words for t in {w[0] for w in ws})
+    texts = collections.defaultdict(list)
+    for (_, text), es, ws in zip(rows, entities, words):
+        for pair in itertools.product(es, {w[0] for w in ws}):
+            texts[pair].append(text)
+
+    def reveals(e, t):
+        import math
+
+        if len(set(texts[e, t])) < 2 or n_e[e] == len(rows):
+            return False
+        pmi = math.log2(len(rows) * len(texts[e, t]) / (n_e[e] * n_t[t]))
+        return pmi / math.log2(len(rows) / n_e[e]) >= pii.THRESHOLD
+
+    return {
+        doc_id: sorted((s, end) for t, s, end in ws if any(reveals(e, t) for e in es))
+        for (doc_id, _), es, ws in zip(rows, entities, words)
+    }
+
+
+def test_terms_of_whole_documents(docs, monkeypatch):
+    rng = random.Random(4)
+
+    def filler(n):
+        return words(rng, n, 30).replace("w", "word ")
+
+    texts = [filler(40) for _ in range(60)]
+    texts += [f"Quokka {filler(60)} jo@home.org {filler(60)} by quokka, {i}" for i in range(3)]
+    texts += [f"Numbat {filler(60 * (i % 2))} +1 (389) 555-5010 or 10.0.0.7" for i in range(4)]
+    many = " ".join(f"u{i}@many.org" for i in range(30))
+    texts += [f"Bilby {filler(50)} {many} {i} 10.0.0.7 abc1 bilby" for i in range(2)]
+    texts += [texts[60], texts[67], "quokka1 numbat2", "x@once.org Potoroo"]
+    table = docs(texts)
+    monkeypatch.setattr(pii, "ENTITIES_TOGETHER", 7)
+    found = {
+        r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "term"]
+        for r in pii.find(table).collect()
+    }
+    assert found == plain_terms(list(enumerate(texts)))
+    for i, term in ((60, "quokka"), (63, "numbat"), (67, "bilby")):
+        assert sum(texts[i][s:e].lower() == term for s, e in found[i]) == (1 if i == 63 else 2)
+
+
 # -- 8: secret scans --------------------------------------------------------------
 
 
