@@ -3,8 +3,9 @@
 A candidate is a run of token characters long enough for a window. For each character class
 the Shannon entropy of a window of it is kept up to date by counts as the window slides: one
 character leaves, one enters, and two terms of the sum change. Windows above the class's
-threshold mark their characters; marked stretches that no pattern covers and no allow-list
-entry matches are spans of the kind ``entropy``.
+threshold mark their characters; what no pattern covers of the marked stretches, and no
+allow-list entry matches, is a span of the kind ``entropy``. Ordered runs of the alphabet or
+the digits are taken out before the windows slide, and what stands around them stays.
 
 Defined results: null text is empty; a text without secrets has no spans. Long texts are
 scanned whole, repeated rows each. Positions are code points, ends exclusive.
@@ -39,14 +40,18 @@ CLASSES: tuple[tuple[str, re.Pattern, float], ...] = (
     ("hexadecimal", re.compile(r"[0-9A-Fa-f]{20,}"), 3.2),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.9),
 )
-#: Candidates that are never secrets: words of one case, numbers, paths and names made of
-#: words, UUIDs, the alphabet in order.
+#: Stretches that are never secrets: words of one case, numbers, paths and names made of
+#: words (with a vowel, where the case changes), UUIDs.
 ALLOWED: tuple[re.Pattern, ...] = tuple(map(re.compile, (
     r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+",
-    r"[A-Za-z/_=+-]*",
+    r"[a-z/_=+-]*|[A-Z/_=+-]*",
+    r"(?:(?=[A-Z]?[a-z]*[aeiouy])[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[/_=+-]++"
+    r"|(?<![A-Za-z])(?:[A-Z]?[a-z]++|[A-Z])(?![A-Za-z]))++",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r".*(abcdefghij|ABCDEFGHIJ|0123456789).*",
 )))
+#: Characters in order that are a stretch of the alphabet or the digits.
+ORDERED = 10
+_ORDERED_SEEDS = re.compile("abcdefghij|ABCDEFGHIJ|0123456789")
 
 
 @functools.cache
@@ -84,33 +89,70 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _free_of_order(candidate: str) -> list[int]:
+    """Places of the characters outside runs in order, like ``abcdefghij``."""
+    if not _ORDERED_SEEDS.search(candidate):
+        return list(range(len(candidate)))
+    free, at = [], 0
+    while at < len(candidate):
+        end = at + 1
+        while (
+            end < len(candidate) and candidate[end - 1].isalnum()
+            and ord(candidate[end]) == ord(candidate[end - 1]) + 1
+        ):
+            end += 1
+        if end - at < ORDERED or not _ORDERED_SEEDS.match(candidate, at):
+            free += range(at, end)
+        at = end
+    return free
+
+
+def _merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(stretches):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = merged[-1][0], max(end, merged[-1][1])
+        else:
+            merged.append((start, end))
+    return merged
+
+
+def _allowed(text: str) -> bool:
+    return any(allowed.fullmatch(text) for allowed in ALLOWED)
+
+
 def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Stretches of high entropy that no span of ``taken`` touches."""
+    """What the spans of ``taken`` leave of stretches of high entropy."""
     spans = []
-    free_from, starts = [0], []  # the taken stretches: starts[i], and where text is free after it
-    for start, _, end in taken:
-        starts.append(start)
-        free_from.append(max(free_from[-1], end))
+    covered = _merged([(start, end) for start, _, end in taken])
+    ends = [end for _, end in covered]
     for candidate in _CANDIDATE.finditer(text):
-        if any(allowed.fullmatch(candidate[0]) for allowed in ALLOWED):
+        if _allowed(candidate[0]):
             continue
-        marked: list[tuple[int, int]] = []
+        free = _free_of_order(candidate[0])
+        rest = "".join(candidate[0][i] for i in free) if len(free) < len(candidate[0]) else candidate[0]
+        marked: list[tuple[int, int]] = []  # places in rest
         for _, characters, threshold in CLASSES:
-            for run in characters.finditer(candidate[0]):
-                at = candidate.start() + run.start()
+            for run in characters.finditer(rest):
                 for i, bits in enumerate(window_entropies(run[0])):
                     if bits >= threshold:
-                        marked.append((at + i, at + i + WINDOW))
-        merged: list[list[int]] = []
-        for start, end in sorted(marked):
-            if merged and start <= merged[-1][1]:
-                merged[-1][1] = max(end, merged[-1][1])
-            else:
-                merged.append([start, end])
-        spans += [
-            (start, 3, end) for start, end in merged
-            if free_from[bisect.bisect_left(starts, end)] <= start
-        ]
+                        marked.append((run.start() + i, run.start() + i + WINDOW))
+        for first, last in _merged(marked):
+            places = free[first:last]
+            cuts = [k for k in range(1, len(places)) if places[k] != places[k - 1] + 1]
+            for a, b in zip([0, *cuts], [*cuts, len(places)]):
+                at, until = candidate.start() + places[a], candidate.start() + places[b - 1] + 1
+                i = bisect.bisect_right(ends, at)
+                left = []
+                while i < len(covered) and covered[i][0] < until:
+                    left.append((at, covered[i][0]))
+                    at = covered[i][1]
+                    i += 1
+                left.append((at, until))
+                spans += [
+                    (start, 3, end) for start, end in left
+                    if start < end and not _allowed(text[start:end])
+                ]
     return spans
 
 
