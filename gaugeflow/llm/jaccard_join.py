@@ -36,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import common
@@ -172,8 +172,11 @@ def allocate(similarity: Similarity, low: int, high: int, sets: int) -> Allocati
     return best
 
 
-def signatures(shingles: np.ndarray, band: int, plan: Allocation) -> tuple[np.ndarray, int]:
-    """The signatures of one set in one band, and how many of its segments say nothing."""
+def signatures(
+    shingles: np.ndarray, band: int, plan: Allocation
+) -> tuple[np.ndarray, int, bool]:
+    """The signatures of one set in one band, how many of its segments have none, and if
+    the segments that say nothing have markers."""
     spread = mixed(shingles ^ _STEP)
     segment = (spread >> np.uint64(32)) * np.uint64(plan.segments) >> np.uint64(32)
     order = np.argsort(segment, kind="stable")
@@ -188,13 +191,14 @@ def signatures(shingles: np.ndarray, band: int, plan: Allocation) -> tuple[np.nd
         weak += int((counts == 1).sum())
         less = np.repeat(sums, counts) - spread + tag[segment]
         found.append(less[np.repeat(counts, counts) > 1])
-    if weak >= plan.shared:  # so many segments say nothing that they may be all a pair shares
+    marked = weak >= plan.shared
+    if marked:  # so many segments say nothing that they may be all a pair shares
         filled = segment[starts]
         if plan.deletions:
             filled = filled[counts > 1]
         found.append(np.delete(tag, filled.astype(np.int64)))
         weak = 0
-    return mixed(np.concatenate(found)), weak
+    return mixed(np.concatenate(found)), weak, marked
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
@@ -256,6 +260,8 @@ def _counted_pairs(
     return pairs >> 32, pairs & 0xFFFFFFFF, counts
 
 
+#: Added to what a set with markers needs. Such markers match those of other such sets only.
+_MARKED = 1 << 15
 #: Entries of hot signatures, and pairs with the number of signatures they share.
 _HOT = np.dtype([("sig", "<i8"), ("node", "<i8"), ("band", "u1"), ("spare", "<u2")])
 _PAIR = np.dtype([
@@ -288,11 +294,12 @@ def _met_signatures(
             first, last = np.searchsorted(starts, [low, len(s)], side="right") - 1
             for band in range(first, last + 1):
                 if band in plans:  # else there is no smaller set to link with
-                    signs, weak = signatures(s, band, plans[band])
+                    signs, weak, marked = signatures(s, band, plans[band])
                     found.append(signs)
                     shorts.append(short)
                     bands.append(band)
-                    spares.append(min(max(plans[band].shared - weak, 0), 65535))
+                    spare = min(max(plans[band].shared - weak, 0), _MARKED - 1)
+                    spares.append(spare + _MARKED * marked)
         rows = []
         if found:
             shorts, bands = np.array(shorts, np.int64), np.array(bands, np.uint8)
@@ -388,10 +395,18 @@ def candidate_edges(docs: DataFrame, similarity: Similarity, sizes: dict[int, in
     ``sizes`` counts the sets of each band. A pair that shares enough signatures is an edge:
     as many as the band's allocation says, less the segments that say nothing in both. Those
     are the empty ones and the hot ones, whose groups are not looked into; the few sets with
-    no other segments to spare meet as stars.
+    no other segments to spare meet as stars. Empty segments count for a pair of sets with
+    markers; if one of the two has markers, the other's need alone holds.
     """
     met = _met_signatures(docs, similarity, sizes)
-    hot = met.filter(F.col("sig").isNotNull()).select("sig", "node", "band", "spare").distinct()
+
+    def marked(need: str) -> Column:
+        return F.col(need) >= _MARKED
+
+    hot = met.filter(F.col("sig").isNotNull()).select(
+        "sig", "node", "band", F.pmod("spare", F.lit(_MARKED)).alias("spare"),
+        marked("spare").alias("marked"),
+    ).distinct()
     hot = common.written(hot, "hot-signatures")
     n_hot = hot.groupBy("node", "band").agg(F.count(F.lit(1)).cast("int").alias("hot"))
 
@@ -419,14 +434,23 @@ def candidate_edges(docs: DataFrame, similarity: Similarity, sizes: dict[int, in
             F.col("node").alias(side), F.col("band").cast("long").alias("band"),
             F.col("hot").alias(f"hot_{side}"),
         )
+        need = f"need_{side}"
         return df.join(of, [side, "band"], "left").withColumn(
-            f"need_{side}", F.col(f"need_{side}") - F.coalesce(f"hot_{side}", F.lit(0))
+            f"marked_{side}", marked(need)
+        ).withColumn(
+            need, F.pmod(need, F.lit(_MARKED)) - F.coalesce(f"hot_{side}", F.lit(0))
         )
 
-    enough = less_hot(less_hot(pairs, "a"), "b").filter(
-        F.col("n") >= F.greatest("need_a", "need_b")
-    ).select("a", "b")
-    left = hot.join(n_hot, ["node", "band"]).filter(F.col("hot") >= F.col("spare"))
+    need = F.when(F.col("marked_a") == F.col("marked_b"), F.greatest("need_a", "need_b"))
+    need = need.when(F.col("marked_a"), F.col("need_b")).otherwise(F.col("need_a"))
+    enough = less_hot(less_hot(pairs, "a"), "b").filter(F.col("n") >= need).select("a", "b")
+    spent = hot.join(n_hot, ["node", "band"])
+    left = spent.filter(F.col("hot") >= F.col("spare"))
+    # A set without markers that is left may have nothing but this in common with one that
+    # has markers, whatever that one has to spare.
+    alone = left.filter(~F.col("marked")).select("sig").distinct()
+    others = spent.filter(F.col("marked") & (F.col("hot") < F.col("spare")))
+    left = left.unionByName(others.join(alone, "sig", "left_semi").select(left.columns))
     centre = left.groupBy("sig").agg(F.min("node").alias("b"))
     stars = left.select("sig", F.col("node").alias("a")).join(centre, "sig").select("a", "b")
     return enough.unionByName(stars).filter("a <> b").distinct()

@@ -292,6 +292,27 @@ def test_groups_equal_brute_force(docs, n, percent):
     assert found_groups(table, n, percent, block=500) == plain_groups(rows_of(table), n, percent)
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_groups_of_sets_with_and_without_markers(docs, monkeypatch, copies):
+    """Sets in one segment of three (with markers) and one shingle more in a second (without)."""
+    import numpy as np
+    import pyarrow as pa
+
+    # Two of three segments are sure to be shared by sets of six and seven shingles.
+    plan = jaccard_join.Allocation(3, False, 2)
+    monkeypatch.setattr(jaccard_join, "allocate", lambda *_: plan)
+    names = [f"w{i}" for i in range(600)]
+    column = pa.array([n.encode() for n in names])
+    hashes = np.concatenate(jaccard_join.shingle_sets(column, 1))
+    spread = jaccard_join.mixed(hashes ^ jaccard_join._STEP)
+    segment = (spread >> np.uint64(32)) * np.uint64(3) >> np.uint64(32)
+    first, second = ([n for n, s in zip(names, segment) if s == k] for k in (0, 1))
+    texts = [" ".join(first[:6])]
+    texts += [" ".join([*first[:6], second[i]]) for i in range(copies)]
+    table = docs(texts)
+    assert found_groups(table, 1, 85) == plain_groups(rows_of(table), 1, 85)
+
+
 def test_groups_of_odd_rows(odd_docs, no_docs):
     assert found_groups(odd_docs, 4, 85) == plain_groups(rows_of(odd_docs), 4, 85)
     assert found_groups(no_docs, 4, 85) == []
