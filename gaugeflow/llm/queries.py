@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
-    bpe, exact_dedup, jaccard_join, language, line_dedup, packing, pii, secret_scan, suffix_dedup, topk,
+    bpe, collocations, conversation_repair, exact_dedup, jaccard_join, language, line_dedup, packing,
+    pii, secret_scan, suffix_dedup, topk, toxicity,
 )
 from gaugeflow.llm.common import doc_id, span_summary, table
 
@@ -146,3 +147,93 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select(doc_id(), "text"), language.learn(docs)).select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
     )
+
+
+@query(r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, string_split_regex(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+  ), '[.,;:!?\n-\r]') AS pieces FROM documents
+), p AS (
+  SELECT r, lang, generate_subscripts(pieces, 1) AS piece, unnest(pieces) AS text FROM d
+), w AS (
+  SELECT r, piece, lang, regexp_extract_all(text, '[^ \t]+') AS words FROM p
+), x AS (
+  SELECT r, piece, lang, unnest(words) AS w1, generate_subscripts(words, 1) AS place FROM w
+), y AS (
+  SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4
+  FROM x WINDOW o AS (PARTITION BY r, piece ORDER BY place)
+), f AS (
+  SELECT lang, 1 AS size, [w1] AS words, count(*) AS f FROM y GROUP BY ALL
+  UNION ALL SELECT lang, 2, [w1, w2], count(*) FROM y WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, [w1, w2, w3], count(*) FROM y WHERE w3 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, [w1, w2, w3, w4], count(*) FROM y WHERE w4 IS NOT NULL GROUP BY ALL
+), c AS (
+  SELECT lang, size, words, f AS a FROM f WHERE size > 1 AND f >= 30
+), k AS (
+  SELECT c.*, l.f AS l, r.f AS r, (2000000::HUGEINT * a // (l.f + r.f))::BIGINT AS score,
+         row_number() OVER (PARTITION BY c.lang, c.words
+           ORDER BY 2000000::HUGEINT * a // (l.f + r.f), l.size) AS cut
+  FROM c JOIN f l ON l.lang = c.lang AND l.size < c.size AND l.words = c.words[:l.size]
+  JOIN f r ON r.lang = c.lang AND r.size = c.size - l.size AND r.words = c.words[l.size + 1:]
+), inside AS (
+  SELECT DISTINCT s.lang, s.words FROM c s JOIN (
+    SELECT lang, size, a, unnest([words[1:2], words[2:3], words[3:4], words[1:3], words[2:4]]) AS part
+    FROM c WHERE size > 2
+  ) g ON g.lang = s.lang AND g.part = s.words AND g.size > s.size AND 100 * g.a >= 80 * s.a
+), o AS (
+  SELECT k.*, array_to_string(k.words, ' ') AS phrase
+  FROM k ANTI JOIN inside i ON i.lang = k.lang AND i.words = k.words WHERE cut = 1
+), t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN t USING (lang) WHERE rank <= 2000
+""")
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns as a careless export leaves them, by a hash of where they stand."""
+    def part(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    damage = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20
+    rows = conversations.select(
+        "conv_id", "turn", part("role").alias("role"), part("text").alias("text"),
+        damage.alias("damage"),
+    ).filter("damage <> 0")
+    return rows.select(
+        "conv_id", "turn",
+        F.when(F.col("damage") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("damage") == 1, F.lit("")).when(
+            F.col("damage") == 2, F.translate("text", ".!?", "")
+        ).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("damage") == 3, F.array(F.lit(1), F.lit(2))).otherwise(
+            F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair(damaged(conversations))
+    ids = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    empty = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return ids.alias("i").join(
+        found.alias("f"), F.col("i.conv_id").eqNullSafe(F.col("f.conv_id")), "left"
+    ).select("i.conv_id", *(
+        F.coalesce(F.col(f"f.{name}"), empty.get(name, F.lit(0).cast("long"))).alias(name)
+        for name in found.columns if name != "conv_id"
+    ))
+
+
+@query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels)
+    return toxicity.score(docs.select(doc_id(), "text"), model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("offending").cast("long").alias("n_offending"),
+    )
