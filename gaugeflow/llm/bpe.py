@@ -7,6 +7,10 @@ shares with it, and shared prefixes are encoded once. A last token is the one su
 that does not merge with the token before it, which two tokens decide between them: no merge
 may cross their border at any time while both are being built.
 
+Texts of ASCII and Latin characters are cut into words by patterns. Any other text is
+normalised and cut by the tokenizers library itself, whose Unicode version need not be that
+of Python or of another package.
+
 Each task encodes the distinct words of its documents; nothing is shuffled or broadcast.
 The vocabulary is a file that each node has (its path is a parameter): BPE over bytes with
 word ends, lower case, white space dropped.
@@ -22,13 +26,12 @@ import functools
 import json
 import re
 import struct
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from gaugeflow.llm import common
 
@@ -45,15 +48,14 @@ _NEVER = 1 << 60
 # How the vocabulary file's pre-tokenizer cuts words.
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _WORDS_ASCII = re.compile(_CONTRACTIONS + r"|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
-_LETTERS_LATIN = "a-zA-ZªµºÀ-ÖØ-öø-ɏ"
+_LETTERS_LATIN = "a-zA-ZªµºÀ-ÖØ-öø-ſ"
 _NUMBERS_LATIN = "0-9²³¹¼½¾"
 _WORDS_LATIN = re.compile(
     _CONTRACTIONS + f"|[{_LETTERS_LATIN}]+|[{_NUMBERS_LATIN}]"
     rf"|[^\t-\r \x85\xa0{_LETTERS_LATIN}{_NUMBERS_LATIN}]+"
 )
-_BEYOND_LATIN = re.compile("[^\x00-ɏ]")
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_WORDS_ANY = regex.compile(_CONTRACTIONS + rf"|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+# The lower case of the letter left out lies beyond, too.
+_BEYOND_LATIN = re.compile("[^\x00-\u012f\u0131-\u017f]")
 
 
 def _byte_symbols() -> dict[int, str]:
@@ -68,6 +70,8 @@ class TrieEncoder:
 
     def __init__(self, path: str, decodes: bool = True):
         self.decodes = decodes
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -206,13 +210,13 @@ class TrieEncoder:
             return found + self._plain_words(text[at:])
         return self._plain_words(text)
 
-    @staticmethod
-    def _plain_words(text: str) -> list[str]:
+    def _plain_words(self, text: str) -> list[str]:
         if text.isascii():
             return _WORDS_ASCII.findall(text.lower())
-        # Lower case goes character by character, without the final form of a sigma.
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return (_WORDS_ANY if _BEYOND_LATIN.search(text) else _WORDS_LATIN).findall(text)
+        if not _BEYOND_LATIN.search(text):  # then it is in normal form, too
+            return _WORDS_LATIN.findall(text.lower())
+        text = self.normalizer.normalize_str(text)
+        return [text[start:end] for _, (start, end) in self.pre_tokenizer.pre_tokenize_str(text)]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """Packed ids (little-endian, 32 bits each) of each text, and its tokens joined by spaces
