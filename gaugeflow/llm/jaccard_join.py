@@ -36,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import common
@@ -609,7 +609,8 @@ def links(
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK_SHINGLES
 ) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id (the smallest doc_id reached by links)."""
+    """doc_id, text_key, n_shingles, component_id (the smallest doc_id reached by links), and
+    component: alike for what is linked, null without words."""
     similarity = Similarity(words, percent)
     about = common.written(described(docs, words), "shingle-sets")
     grouped = components(links(docs, about, similarity, block))
@@ -620,29 +621,42 @@ def near_duplicates(
         "component", F.coalesce("component", "node")
     )
     ids = named.groupBy("component").agg(F.min("node_min").alias("component_id"))
-    answer = named.join(ids, "component").select(F.col("node").alias("key"), "component_id")
+    answer = named.join(ids, "component").select(
+        F.col("node").alias("key"), "component_id", "component"
+    )
     # Rows without words have no node; a key of their own spreads them over the tasks.
     key = F.coalesce("node", F.unhex(F.md5(F.col("text_key").cast("string"))))
     return about.join(answer, key == F.col("key"), "left").select(
         "doc_id", "text_key", "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"),
+        F.when(F.col("node").isNotNull(), F.col("component")).alias("component"),
     )
 
 
 def keep_one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that name their component, with all their columns.
+    """One row of ``docs`` of each group, with all its columns.
 
-    Of equal rows with the same ``doc_id`` all stay or none does.
+    It is the one with the smallest ``doc_id``, nulls last; of several texts with that id one,
+    always the same. Texts without words link with nothing and stay, but of rows alike in
+    ``doc_id`` and text one stays in any case.
     """
-    kept = near_duplicates(docs, words, percent).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")).distinct()
+    found = near_duplicates(docs, words, percent)
+    best = found.filter(F.col("component").isNotNull()).groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best")
+    ).select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_key").alias("kept_key"))
+    kept = best.unionByName(found.filter(F.col("component").isNull()).select(
+        F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")
+    ).distinct())
     rows = docs.select(
         F.struct("*").alias("row"), common.doc_id().alias("id"),
         F.xxhash64(common.text_or_empty()).alias("key"),
     )
-    return rows.join(
-        kept, (F.col("key") == F.col("kept_key")) & F.col("id").eqNullSafe(F.col("kept_id")),
-        "left_semi",
-    ).select("row.*")
+    alike = Window.partitionBy("key", "id").orderBy(F.lit(1))
+    return (
+        rows.withColumn("place", F.row_number().over(alike)).filter("place = 1")
+        .join(
+            kept, (F.col("key") == F.col("kept_key")) & F.col("id").eqNullSafe(F.col("kept_id")),
+            "left_semi",
+        ).select("row.*")
+    )

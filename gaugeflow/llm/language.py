@@ -6,13 +6,17 @@ profiles are more alike than languages are on average. A linear support vector m
 each family tells it from the others; within a family one for each pair of languages votes,
 and votes that tie are settled by the summed margins.
 
-The classifier is fitted on the driver from a bounded sample: at most ``per_language`` rows
-of each language, those with the smallest hashed ``doc_id``. Predictions read the whole text
-and nothing else, row by row, without a shuffle.
+The classifier is fitted on the driver from a bounded sample: at most ``MOST_LANGUAGES``
+labels, the most frequent ones, at most ``per_language`` rows of each, those with the smallest
+hashed ``doc_id``, and at most ``SAMPLE_ROWS`` in all, dealt evenly. Predictions read the whole
+text and nothing else, row by row, without a shuffle.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every
 text when nothing was learned. With one learned language every text with a letter is of it.
-A null ``lang`` or ``doc_id`` is not learned from.
+A null ``lang`` or ``doc_id`` is not learned from; of several texts of one ``doc_id`` and
+language the greatest is. Repeated rows each get their own row. An empty table gives an empty
+result. Columns called ``lang_pred`` or ``score`` are replaced, all others
+stay.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ from gaugeflow.llm import common
 UNKNOWN = "und"
 #: Bits of a hashed trigram, and rows of each language that the fit reads.
 BITS, PER_LANGUAGE = 12, 800
+#: Bounds of the fit's sample as a whole: languages, and rows.
+MOST_LANGUAGES, SAMPLE_ROWS = 100, 12_800
 _PARTS = 16
 _MULTIPLIER = np.uint32(2654435761)  # Knuth's multiplicative hash
 _ASCII_LETTER = re.compile("[A-Za-z]")
@@ -173,11 +179,18 @@ class LanguageModel:
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(text, lang) of at most ``per_language`` labelled rows of each language."""
+    """(text, lang) of at most ``per_language`` labelled rows of each language, within the
+    bounds of the sample."""
     labelled = docs.select(common.doc_id(), F.col("lang").cast("string").alias("lang"), "text").filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
         & ~held_out()
     )
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    langs = [r["lang"] for r in counts.collect()]
+    if not langs:
+        return labelled.select("text", "lang")
+    labelled = labelled.filter(F.col("lang").isin(langs))
+    per_language = min(per_language, SAMPLE_ROWS // len(langs))
     # First within parts of a language, so no task meets what all tasks found of a frequent one.
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(_PARTS))
     chosen = labelled.select("doc_id", "lang", part.alias("part"))
@@ -187,8 +200,11 @@ def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFram
             F.col("place") <= per_language
         ).drop("place")
     chosen = chosen.select("doc_id").distinct()
-    # At most per_language ids of each language, which bounds the broadcast.
-    return labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
+    # At most per_language ids of each language, which bounds the broadcast. Ids may be many
+    # rows' own, so one text of each id and language is learned from.
+    return labelled.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id", "lang").agg(
+        F.max("text").alias("text")
+    ).select("text", "lang")
 
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
@@ -214,19 +230,27 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
 _ROWS = 512
 
 
+def _predicted(model: LanguageModel, column: pa.Array) -> tuple[list[bool], list[str], list[float]]:
+    """Of each text: if it has a letter, its language, and the score."""
+    letters, langs, scores = [], [], []
+    for at in range(0, len(column), _ROWS):
+        part = column.slice(at, _ROWS)
+        known = np.array(list(map(has_letter, part.to_pylist())))
+        predicted, sure = model.predict(profiles(part.fill_null("")))
+        letters += known.tolist()
+        langs += [x if y else UNKNOWN for x, y in zip(predicted, known)]
+        scores += np.where(known, sure, 0.0).tolist()
+    return letters, langs, scores
+
+
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with lang_pred and score; all columns stay."""
+    """``docs`` with lang_pred and score; all other columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("lang_pred", "score")
     place = docs.columns.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = [], []
-        for at in range(0, batch.num_rows, _ROWS):
-            column = batch.column(place).slice(at, _ROWS)
-            letters = np.array(list(map(has_letter, column.to_pylist())))
-            predicted, sure = shared.value.predict(profiles(column.fill_null("")))
-            langs += [x if y else UNKNOWN for x, y in zip(predicted, letters)]
-            scores += np.where(letters, sure, 0.0).tolist()
+        _, langs, scores = _predicted(shared.value, batch.column(place))
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
             [*batch.schema.names, "lang_pred", "score"],
@@ -237,6 +261,24 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows of ``docs`` whose language is found, with their own columns only."""
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    return identify(rows, model).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """The rows of ``docs`` whose text has a letter, a null ``lang`` filled with the prediction.
+
+    When nothing was learned there is no prediction, and a null ``lang`` stays null.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        letters, langs, _ = _predicted(shared.value, batch.column(1))
+        found = pa.array([None if x == UNKNOWN else x for x in langs], pa.string())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(letters, pa.bool_()), found], ["row", "letters", "found"]
+        )
+
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    fields = rows.select("row", F.lit(True).alias("letters"), F.lit("").alias("found")).schema
+    fields["found"].nullable = True
+    kinds = dict(docs.dtypes)
+    return common.map_batches(rows, run, fields).filter("letters").select(*(
+        F.coalesce(F.col("row")["lang"], F.col("found").cast(kinds[name])).alias(name)
+        if name == "lang" else F.col("row")[name].alias(name) for name in docs.columns
+    ))

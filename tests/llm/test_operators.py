@@ -5,10 +5,12 @@ import hashlib
 import itertools
 import random
 import re
+import struct
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from gaugeflow.llm import (
     bpe, common, components, exact_dedup, jaccard_join, language, line_dedup, packing, pii,
@@ -321,6 +323,36 @@ def test_groups_of_odd_rows(odd_docs, no_docs):
     assert kept.filter("text = 'other'").count() == 1
 
 
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [512, 1024])
+def test_regular_words_stay_apart(docs, size):
+    pairs = ["ab", "az", "09", "!~", "ae", "xy"]
+    texts = [thue_morse(size, p) for pair in pairs for p in (pair, pair[::-1])]
+    table = docs(texts)
+    assert [g for _, _, g in found_groups(table, 1, 85)] == [r[2] for r in plain_groups(rows_of(table), 1, 85)]
+    assert len({g for _, _, g in found_groups(table, 1, 85)}) == len(texts)
+    # The hashes of windows, which suffix dedup uses.
+    assert found_repeats(table, 256) == plain_repeats(rows_of(table), 256)
+
+
+def test_one_row_of_each_group_stays(docs):
+    base = [f"v{i}" for i in range(60)]
+    near = [" ".join([*base[:k], "new", *base[k + 1:]]) for k in (0, 30)]
+    rows = [(3, near[0]), (3, near[1]), (9, " ".join(base)), (None, "some other text that no one links"),
+            (None, "some other text that no one links"), (4, "alone in here"), (4, "alone in here"),
+            (5, ""), (5, ""), (None, None)]
+    table = docs([t for _, t in rows], [i for i, _ in rows])
+    kept = jaccard_join.keep_one_of_each_group(table)
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert [i for i, _ in found] == sorted([3, None, 4, 5, None], key=str)
+    assert sum(t in near for _, t in found) == 1
+    nothing = docs([near[0], near[1], near[0]], [None, None, None])
+    assert jaccard_join.keep_one_of_each_group(nothing).count() == 1
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id * 7 % 201 AS a", "(id + 1) * 7 % 201 AS b")
     found = {r["component"] for r in components.components(edges).collect()}
@@ -511,6 +543,18 @@ def test_sliding_entropy_equals_counting():
 # -- 9: BPE -----------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("border", "x-1 ")
+def test_every_code_point_is_cut_as_the_library_cuts_it(border):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [border + c + border for c in points[:0x32000]] + [
+        border.join(["", *points[i:i + 500], ""]) for i in range(0, len(points), 500)
+    ]
+    expected = Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)
+    for encoder in (bpe.TrieEncoder(VOCABULARY, decodes=False), packing.LibraryEncoder(VOCABULARY)):
+        for text, want, (ids, _) in zip(texts, expected, encoder.encode(texts)):
+            assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want.ids, ascii(text)
+
+
 def test_bpe_equals_the_library(spark, odd_docs, no_docs, docs):
     from tokenizers import Tokenizer
 
@@ -566,11 +610,39 @@ def test_language_of_odd_rows(docs, odd_docs, no_docs):
     kept = language.known_language(odd_docs, model)
     assert kept.columns == odd_docs.columns
     assert all(any(map(str.isalpha, t)) for _, t in rows_of(kept))
+    assert language.identify(odd_docs, model).columns == [
+        *(c for c in odd_docs.columns if c != "score"), "lang_pred", "score"
+    ]
     nothing = language.learn(no_docs)
     assert language.identify(no_docs.drop("score"), nothing).collect() == []
     assert {r["lang_pred"] for r in language.identify(odd_docs.drop("score"), nothing).collect()} == {"und"}
 
 
+def test_documents_stay_when_nothing_was_learned(docs):
+    table = docs(["Clean words here.", "12 34", None, "More of them"], lang=None)
+    kept = language.known_language(table, language.learn(table)).collect()
+    assert [(r["doc_id"], r["lang"]) for r in kept] == [(0, None), (3, None)]
+
+
+def test_a_missing_language_is_filled(docs):
+    texts = {"en": "the cat and the dog with this", "de": "der hund und die katze nicht mit"}
+    known = docs([texts["en"]] * 30).unionByName(docs([texts["de"]] * 30, range(100, 130), lang="de"))
+    open_ = docs([texts["de"], texts["en"]], [500, 501], lang=None)
+    kept = language.known_language(open_, language.learn(known)).collect()
+    assert [r["lang"] for r in kept] == ["de", "en"]
+
+
+def test_the_sample_is_bounded_for_any_number_of_labels(docs, spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 10)
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 50)
+    table = docs([f"text of {i}" for i in range(900)])
+    many = table.withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 300).cast("string")))
+    counts = collections.Counter(r["lang"] for r in language.training_rows(many).collect())
+    assert len(counts) <= 10 and set(counts.values()) <= set(range(6))
+    same = table.withColumn("doc_id", F.lit(2).cast("long"))
+    assert language.training_rows(same.unionByName(table.withColumn("doc_id", F.lit(1).cast("long")))).count() <= 2
+
+
 def test_families_and_votes():
     np = pytest.importorskip("numpy")
     rng = np.random.default_rng(0)
