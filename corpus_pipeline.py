@@ -16,7 +16,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: those that are null or have no letter."""
+    """Drop documents without a language (null, or no letter); fill a missing ``lang``."""
     return language.known_language(docs, language.learn(docs))
 
 
