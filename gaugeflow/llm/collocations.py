@@ -7,12 +7,13 @@ extending all intervals of a length at once to the left (or, in step with them,
 reverse to the right) enumerates the phrases that are one word longer. Counts are summed
 across shards.
 
-No phrase is more frequent than a part of it, so shards exchange what is frequent in the
-whole corpus twice: words (all others become breaks) and pairs. Longer phrases are extended
-from frequent pairs by frequent pairs only. Nothing else is left out, and nothing is capped.
+No phrase is more frequent than a part of it, so shards learn twice what is frequent in the
+whole corpus: words (all others become breaks) and pairs. Longer phrases are extended from
+frequent pairs by frequent pairs only. Nothing else is left out, and nothing is capped.
 
-Shards are cut between pieces, at ``SHARD_WORDS`` words; what a task holds is one shard, its
-words and its frequent pairs.
+Shards are cut between pieces, at ``SHARD_WORDS`` words. They send what they count packed, by
+buckets of hashed words or phrases, ``BUCKET_ENTRIES`` to a bucket, and get back ids of words
+and a bit for each pair. What a task holds is one shard or one bucket.
 
 Defined results: null text is empty, a null ``lang`` is ``und``. Repeated rows count each. An
 empty table, or one without a frequent phrase, gives an empty result. Other columns are not
@@ -21,7 +22,9 @@ read.
 
 from __future__ import annotations
 
+import functools
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +34,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import common
+from gaugeflow.llm.hashing import RollingHash, mixed
 
 UNKNOWN = "und"
 #: Words of a shard, and bytes of a text that are split at once.
-SHARD_WORDS, CHUNK_BYTES = 1 << 20, 1 << 20
+SHARD_WORDS, CHUNK_BYTES = 1 << 21, 1 << 20
+#: Counts (one for each shard and word or phrase) that are summed by one task at once.
+BUCKET_ENTRIES = 1 << 20
 LONGEST = 4
 
 _PARTS = 16
@@ -43,6 +49,32 @@ _BREAK = b"."
 _PIECES = bytes(ord(_BREAK) if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
 
+def sealed(*columns: np.ndarray | bytes) -> bytes:
+    """Arrays on end, compressed, after their size."""
+    data = b"".join(c if isinstance(c, bytes) else np.ascontiguousarray(c).tobytes() for c in columns)
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
+
+
+def opened(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
+def _columns(data: bytes, *kinds: str) -> list[np.ndarray]:
+    """Columns of equal length that :func:`sealed` has put on end."""
+    plain = opened(data)
+    n, at, found = len(plain) // sum(np.dtype(k).itemsize for k in kinds), 0, []
+    for kind in kinds:
+        found.append(np.frombuffer(plain, kind, n, at))
+        at += found[-1].nbytes
+    return found
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct sorted values, and where each starts."""
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, int)
+    return keys[starts], starts
+
+
 class _WordIds(dict):
     """Numbers words as they come; breaks are 0."""
 
@@ -74,39 +106,25 @@ class ShardBuilder:
         self.parts.append(np.zeros(1, np.int32))
         self.size += len(found) + 1
 
-    def row(self, number: int) -> pa.RecordBatch:
+    def rows(self, number: int) -> pa.RecordBatch:
+        """The shard, and for each language its words with their ids and counts."""
         ids = np.concatenate(self.parts)
-        local, langs, found = [], [], []
+        counts = np.bincount(ids)
+        rows = [{"shard": number, "ids": sealed(ids), "size": len(ids)}]
         for lang, words in self.words.items():
             del words[_BREAK]
-            local += words.values()
-            found += words.keys()
-            langs += [lang] * len(words)
-        words = pa.StructArray.from_arrays(
-            [
-                pa.array(local, pa.int32()), pa.array(langs, pa.string()),
-                pa.array(found, pa.binary()).cast(pa.string()),
-                pa.array(np.bincount(ids)[local] if local else [], pa.int64()),
-            ],
-            ["local", "lang", "word", "n"],
-        )
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([number], pa.int64()), pa.array([packed(ids)], pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-            ],
-            ["shard", "ids", "words"],
-        )
-
-
-def packed(values: np.ndarray) -> bytes:
-    data = np.ascontiguousarray(values, np.int32).tobytes()
-    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.Codec("zstd").decompress(data[8:], size, asbytes=True), np.int32)
+            if not words:
+                continue
+            local = np.fromiter(words.values(), np.int32, len(words))
+            sizes = np.fromiter(map(len, words), np.int32, len(words))
+            rows.append({
+                "shard": number, "lang": lang, "n_words": len(words),
+                "words": sealed(local, counts[local].astype(np.int32), sizes, b"".join(words)),
+            })
+        return pa.RecordBatch.from_pylist(rows, pa.schema([
+            ("shard", pa.int64()), ("ids", pa.binary()), ("size", pa.int64()),
+            ("lang", pa.string()), ("words", pa.binary()), ("n_words", pa.int64()),
+        ]))
 
 
 def stretches(text: str) -> Iterator[bytes]:
@@ -122,7 +140,7 @@ def stretches(text: str) -> Iterator[bytes]:
 
 
 def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """shard, ids (packed), words (local id, lang, word, count)."""
+    """Rows of shards (ids, size) and of their words by language (lang, words, n_words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         shard = ShardBuilder()
@@ -131,17 +149,17 @@ def shards(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
                 for stretch in stretches(text):
                     shard.add(lang, stretch)
                     if shard.size >= shard_words:
-                        yield shard.row(number)
+                        yield shard.rows(number)
                         shard, number = ShardBuilder(), number + 1
         if shard.size:
-            yield shard.row(number)
+            yield shard.rows(number)
 
     rows = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
         common.text_or_empty().alias("text"),
     )
     return rows.mapInArrow(
-        run, "shard long, ids binary, words array<struct<local:int,lang:string,word:string,n:bigint>>"
+        run, "shard long, ids binary, size long, lang string, words binary, n_words long"
     )
 
 
@@ -207,153 +225,275 @@ def translated(ids: np.ndarray, known: np.ndarray) -> np.ndarray:
     return words[~again]
 
 
-_PAIRS = (
-    "shard long, a int, b int, first long, second long, lang string, n long, "
-    "f_first long, f_last long, ids binary, words binary"
-)
-
-
-def _pairs(shard: pa.Table, words: pa.Table) -> pa.Table:
-    """Pairs of frequent words, and what the next step needs of the shard (one row)."""
-    names = [field.split()[0] for field in _PAIRS.split(", ")]
-    if not shard.num_rows or not words.num_rows:
-        return pa.table({n: pa.nulls(0, t) for n, t in zip(names, _arrow_types(_PAIRS))})
-    number = shard.column("shard")[0].as_py()
-    words = words.sort_by("local").select(["local", "id", "f", "lang"]).combine_chunks()
-    text = translated(unpacked(shard.column("ids")[0].as_py()), words.column("local").to_numpy())
-    index = FmIndex(text, words.num_rows, depth=2)
-    second, first, _, counts, _ = index.extended(*index.words())
-    first = first - 1
-    ids, f = words.column("id").to_numpy(), words.column("f").to_numpy()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, words.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(words)
-    pairs = pa.table({
-        "shard": pa.array(np.full(len(first), number)), "a": pa.array(first, pa.int32()),
-        "b": pa.array(second, pa.int32()), "first": pa.array(ids[first]),
-        "second": pa.array(ids[second]), "lang": words.column("lang").take(pa.array(first)),
-        "n": pa.array(counts, pa.int64()), "f_first": pa.array(f[first]), "f_last": pa.array(f[second]),
-        "ids": pa.nulls(len(first), pa.binary()), "words": pa.nulls(len(first), pa.binary()),
-    })
-    rest = {n: pa.nulls(1, t) for n, t in zip(names, _arrow_types(_PAIRS))} | {
-        "shard": pa.array([number]), "ids": pa.array([packed(text)], pa.binary()),
-        "words": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-    }
-    return pa.concat_tables([pa.table(rest), pairs.cast(pa.table(rest).schema)])
-
-
-def _arrow_types(fields: str) -> list[pa.DataType]:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
-    return [kinds[field.split()[1]] for field in fields.split(", ")]
-
-
-_LONGER = (
-    "w1 long, w2 long, w3 long, w4 long, lang string, n long, f_first long, f_last long, "
-    "f_head long, f_tail long"
-)
-
-
-def _longer(shard: pa.Table, pairs: pa.Table) -> pa.Table:
-    """Phrases of three and four words whose pairs are all frequent (w4 is 0 for three)."""
-    names = [field.split()[0] for field in _LONGER.split(", ")]
-    nothing = pa.table({n: pa.nulls(0, t) for n, t in zip(names, _arrow_types(_LONGER))})
-    if not shard.num_rows or not pairs.num_rows:
-        return nothing
-    words = pa.ipc.open_stream(shard.column("words")[0].as_py()).read_all()
-    text = unpacked(shard.column("ids")[0].as_py())
-    ids, f = words.column("id").to_numpy(), words.column("f").to_numpy()
-    width = words.num_rows
-    frequent = pairs.column("a").to_numpy().astype(np.int64) * width + pairs.column("b").to_numpy()
-    order = np.argsort(frequent)
-    frequent, pair_f = frequent[order], pairs.column("f").to_numpy()[order]
-
-    def place(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The places of pairs among the frequent ones, -1 for others."""
-        keys = a * width + b
-        found = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-        return np.where(frequent[found] == keys, found, -1)
-
-    forward, reverse = FmIndex(text, width), FmIndex(text[::-1], width)
-    low, high = forward.words()
-    b, a, start, counts, smaller = forward.extended(low, high)
-    a, two = a - 1, place(a - 1, b)
-    keep = two >= 0
-    a, b, start, counts, two = a[keep], b[keep], start[keep], counts[keep], two[keep]
-    # The reverse of a word's interval starts where the word's own does.
-    reverse_start = low[b] + smaller[keep]
-    # One word to the left: (c, a, b).
-    owner, c, start, counts, smaller = forward.extended(start, start + counts)
-    c, head = c - 1, place(c - 1, a[owner])
-    keep = head >= 0
-    owner, c, counts, head = owner[keep], c[keep], counts[keep], head[keep]
-    reverse_start = reverse_start[owner] + smaller[keep]
-    three = c, a[owner], b[owner]
-    tail = two[owner]
-    # One word to the right, in the reverse: (c, a, b, d).
-    number, d, _, longer_counts, _ = reverse.extended(reverse_start, reverse_start + counts)
-    d, last = d - 1, place(three[2][number], d - 1)
-    keep = last >= 0
-    number, d, longer_counts, last = number[keep], d[keep], longer_counts[keep], last[keep]
-    four = (*(w[number] for w in three), d)
-
-    def table(phrases, n, head, tail) -> pa.Table:
-        columns = [ids[w] for w in phrases] + [np.zeros(len(n), np.int64)] * (LONGEST - len(phrases))
-        lang = words.column("lang").take(pa.array(phrases[0]))
-        values = [*columns, lang, n, f[phrases[0]], f[phrases[-1]], pair_f[head], pair_f[tail]]
-        return pa.table(dict(zip(names, values))).cast(nothing.schema)
-
-    return pa.concat_tables([
-        table(three, counts, head, tail), table(four, longer_counts, head[number], last),
+def _unpacked_words(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Local ids, counts, offsets and bytes of ``n`` words."""
+    plain = opened(data)
+    local, counts, sizes = np.frombuffer(plain, np.int32, 3 * n).reshape(3, n)
+    return local, counts, np.append(0, np.cumsum(sizes, dtype=np.int64)), plain[12 * n:]
+
+
+def _dealt_words(pieces: DataFrame, buckets: int) -> DataFrame:
+    """bucket, shard, lang, words, n_words: the words of each shard by their hash."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for row in batch.to_pylist():
+            local, counts, offsets, data = _unpacked_words(row["words"], row["n_words"])
+            hashes = RollingHash(np.frombuffer(data, np.uint8)).of(offsets[:-1], offsets[1:])
+            seed = np.uint64(zlib.crc32(row["lang"].encode()))
+            bucket = (mixed(hashes + seed) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            for number, own in zip(*_split(bucket, order)):
+                found = [data[offsets[i]:offsets[i + 1]] for i in own.tolist()]
+                sizes = np.array([len(w) for w in found], np.int32)
+                rows.append({
+                    "bucket": number, "shard": row["shard"], "lang": row["lang"], "n_words": len(own),
+                    "words": sealed(local[own], counts[own], sizes, b"".join(found)),
+                })
+        return pa.RecordBatch.from_pylist(rows, pa.schema([
+            ("bucket", pa.int64()), ("shard", pa.int64()), ("lang", pa.string()),
+            ("words", pa.binary()), ("n_words", pa.int64()),
+        ]))
+
+    return common.map_batches(
+        pieces.filter(F.col("words").isNotNull()).select("shard", "lang", "words", "n_words"), run,
+        "bucket long, shard long, lang string, words binary, n_words long",
+    )
+
+
+def _split(bucket: np.ndarray, order: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The buckets, and of ``order`` (sorted by bucket) the part that belongs to each."""
+    values, starts = _runs(bucket[order])
+    return values.tolist(), np.split(order, starts[1:]) if len(starts) else []
+
+
+def _frequent_words(least: int):
+    """Of a bucket: frequent words (id, lang, word, f), what shards need to know of them
+    (shard, known: local ids and ids), and how many words a language has there (lang, n)."""
+    schema = pa.schema([
+        ("shard", pa.int64()), ("known", pa.binary()), ("id", pa.int64()), ("lang", pa.string()),
+        ("word", pa.string()), ("f", pa.int64()), ("n", pa.int64()),
+    ])
+
+    def run(bucket: pa.Table) -> pa.Table:
+        number = bucket.column("bucket")[0].as_py()
+        locals_, counts, words, sizes = [], [], [], bucket.column("n_words").to_numpy()
+        for data, n in zip(bucket.column("words").to_pylist(), sizes.tolist()):
+            local, count, offsets, plain = _unpacked_words(data, n)
+            locals_.append(local)
+            counts.append(count)
+            words.append(pa.Array.from_buffers(
+                pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(plain)]
+            ))
+        counts = np.concatenate(counts).astype(np.int64)
+        words = pa.concat_arrays(words).dictionary_encode()
+        langs = bucket.column("lang").combine_chunks().dictionary_encode()
+        lang_of = np.repeat(langs.indices.to_numpy(), sizes)
+        keys = lang_of.astype(np.int64) * len(words.dictionary) + words.indices.to_numpy()
+        order = np.argsort(keys, kind="stable")
+        distinct, starts = _runs(keys[order])
+        f = np.add.reduceat(counts[order], starts)
+        frequent = f >= least
+        ids = np.where(frequent, (number << 40) + np.cumsum(frequent), 0)
+        of_entry = np.empty(len(keys), np.int64)
+        of_entry[order] = np.repeat(ids, np.diff(starts, append=len(keys)))
+        known, at = [], 0
+        for shard, local in zip(bucket.column("shard").to_pylist(), locals_):
+            own = of_entry[at:at + len(local)]
+            at += len(local)
+            if own.any():
+                known.append({"shard": shard, "known": sealed(local[own > 0], own[own > 0])})
+        totals = np.zeros(len(langs.dictionary), np.int64)
+        np.add.at(totals, distinct // len(words.dictionary), f)
+        spelt = words.dictionary.take(pa.array(distinct[frequent] % len(words.dictionary)))
+        found = pa.table({
+            "id": pa.array(ids[frequent]), "f": pa.array(f[frequent]),
+            "word": spelt.cast(pa.large_string()).cast(pa.string()),
+            "lang": langs.dictionary.take(pa.array(distinct[frequent] // len(words.dictionary))),
+        })
+        parts = [
+            found, pa.Table.from_pylist(known, pa.schema([schema.field("shard"), schema.field("known")])),
+            pa.table({"lang": langs.dictionary, "n": pa.array(totals)}),
+        ]
+        return pa.concat_tables(parts, promote_options="default").select(schema.names).cast(schema)
+
+    return run, "shard long, known binary, id long, lang string, word string, f long, n long"
+
+
+def _dealt(keys: list[np.ndarray], counts: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """Bucket after bucket of hashed keys: its number, its entries' places, and these packed."""
+    hashes = np.zeros(len(counts), np.uint64)
+    for key in keys:
+        hashes = mixed(hashes * np.uint64(31) + key.astype(np.uint64))
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+    for number, own in zip(*_split(bucket, np.argsort(bucket, kind="stable"))):
+        yield number, own, sealed(*(key[own] for key in keys), counts[own].astype(np.int32))
+
+
+class _Shard:
+    """A shard in terms of frequent words: its sequence, and their ids."""
+
+    def __init__(self, ids: bytes, known: list[bytes]):
+        columns = [_columns(data, "<i4", "<i8") for data in known]
+        local, self.ids = (np.concatenate(c) for c in zip(*columns))
+        order = np.argsort(local)
+        self.ids = self.ids[order]
+        self.text = translated(np.frombuffer(opened(ids), np.int32), local[order])
+
+    def pairs(self, index: FmIndex) -> tuple[np.ndarray, ...]:
+        """First and second word (from 0), start and count, and smaller words before."""
+        second, first, start, counts, smaller = index.extended(*index.words())
+        return first - 1, second, start, counts, smaller
+
+
+_PACKED = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("entries", pa.binary())])
+
+
+def _pairs(buckets: int):
+    """Pairs of frequent words in a shard, packed by buckets."""
+    def run(shard: pa.Table, known: pa.Table) -> pa.Table:
+        if not shard.num_rows or not known.num_rows:
+            return _PACKED.empty_table()
+        number = shard.column("shard")[0].as_py()
+        own = _Shard(shard.column("ids")[0].as_py(), known.column("known").to_pylist())
+        first, second, _, counts, _ = own.pairs(FmIndex(own.text, len(own.ids), depth=2))
+        return pa.Table.from_pylist([
+            {"bucket": bucket, "shard": number, "entries": entries}
+            for bucket, _, entries in _dealt([own.ids[first], own.ids[second]], counts, buckets)
+        ], _PACKED)
+
+    return run, "bucket long, shard long, entries binary"
+
+
+def _frequent(size: int, least: int):
+    """Of a bucket of packed phrases: the frequent ones (w1 ..., a), and for each shard which
+    of its entries are frequent (shard, bucket, bits)."""
+    words = [f"w{i}" for i in range(1, size + 1)]
+    schema = pa.schema([
+        *((w, pa.int64()) for w in words), ("a", pa.int64()), ("shard", pa.int64()),
+        ("bucket", pa.int64()), ("bits", pa.binary()),
     ])
 
+    def run(table: pa.Table) -> pa.Table:
+        parts = [_columns(e, *["<i8"] * size, "<i4") for e in table.column("entries").to_pylist()]
+        *keys, counts = (np.concatenate(column) for column in zip(*parts))
+        order = np.lexsort(keys[::-1])
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for key in keys:
+            new[1:] |= np.diff(key[order]) != 0
+        starts = np.flatnonzero(new)
+        sums = np.add.reduceat(counts[order].astype(np.int64), starts)
+        frequent = sums >= least
+        found = pa.table({
+            **{w: pa.array(key[order][starts][frequent]) for w, key in zip(words, keys)},
+            "a": pa.array(sums[frequent]),
+        })
+        bits = np.empty(len(order), bool)
+        bits[order] = np.repeat(frequent, np.diff(starts, append=len(order)))
+        marks, at = [], 0
+        for shard, part in zip(table.column("shard").to_pylist(), parts):
+            own = bits[at:at + len(part[0])]
+            at += len(own)
+            if own.any() and shard is not None:
+                marks.append({"shard": shard, "bucket": table.column("bucket")[0].as_py(),
+                              "bits": sealed(np.packbits(own))})
+        kept = pa.schema([schema.field(n) for n in ("shard", "bucket", "bits")])
+        return pa.concat_tables(
+            [found, pa.Table.from_pylist(marks, kept)], promote_options="default"
+        ).select(schema.names).cast(schema)
+
+    return run, ", ".join([*(f"{w} long" for w in words), "a long, shard long, bucket long, bits binary"])
+
+
+def _longer(buckets: int):
+    """Phrases of three and four words whose pairs are all frequent, packed by buckets; the
+    fourth word is 0 for three."""
+    def run(shard: pa.Table, about: pa.Table) -> pa.Table:
+        marks = {r["bucket"]: r["bits"] for r in about.to_pylist() if r["bits"] is not None}
+        known = [k for k in about.column("known").to_pylist() if k is not None]
+        if not shard.num_rows or not marks:
+            return _PACKED.empty_table()
+        own = _Shard(shard.column("ids")[0].as_py(), known)
+        width = len(own.ids)
+        forward = FmIndex(own.text, width)
+        a, b, start, counts, smaller = own.pairs(forward)
+        keep = np.zeros(len(a), bool)
+        for bucket, places, _ in _dealt([own.ids[a], own.ids[b]], counts, buckets):
+            if bucket in marks:
+                bits = np.frombuffer(opened(marks[bucket]), np.uint8)
+                keep[places] = np.unpackbits(bits, count=len(places))
+        # The reverse of a word's interval starts where the word's own does.
+        reverse_start = forward.words()[0][b] + smaller
+        a, b, start, counts, reverse_start = (x[keep] for x in (a, b, start, counts, reverse_start))
+        frequent = np.sort(a * width + b)
+
+        def is_frequent(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+            pairs = first * width + second
+            found = np.minimum(np.searchsorted(frequent, pairs), len(frequent) - 1)
+            return frequent[found] == pairs
+
+        # One word to the left: (c, a, b).
+        owner, c, _, counts, smaller = forward.extended(start, start + counts)
+        c = c - 1
+        keep = is_frequent(c, a[owner])
+        owner, c, counts = owner[keep], c[keep], counts[keep]
+        reverse_start = reverse_start[owner] + smaller[keep]
+        three = c, a[owner], b[owner]
+        # One word to the right, in the reverse: (c, a, b, d).
+        reverse = FmIndex(own.text[::-1], width)
+        number, d, _, longer, _ = reverse.extended(reverse_start, reverse_start + counts)
+        d = d - 1
+        keep = is_frequent(three[2][number], d)
+        number, d, longer = number[keep], d[keep], longer[keep]
+        phrases = [
+            np.concatenate([own.ids[w], own.ids[w[number]]]) for w in three
+        ] + [np.concatenate([np.zeros(len(c), np.int64), own.ids[d]])]
+        return pa.Table.from_pylist([
+            {"bucket": bucket, "shard": None, "entries": entries}
+            for bucket, _, entries in _dealt(phrases, np.concatenate([counts, longer]), buckets)
+        ], _PACKED)
+
+    return run, "bucket long, shard long, entries binary"
+
 
 def phrases(docs: DataFrame, least: int = 30, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, ...]:
-    """Phrases of two to four words with at least ``least`` occurrences, and what they need.
+    """Phrases of two to four words with at least ``least`` occurrences, and their words.
 
-    The phrases have lang, w1 to w4 (ids of words, 0 beyond the end), size, a (occurrences),
-    f_first, f_last, f_head, f_tail (those of the first and last word, and of the first and
-    last two of a longer phrase). With them come the words (id, word) and each language's n.
+    The phrases have w1 to w4 (ids of words, 0 beyond the end), size, a (occurrences). With
+    them come the words (id, lang, word, f) and each language's n.
     """
     pieces = common.written(shards(docs, shard_words), "shards")
-    each = pieces.select("shard", F.explode("words").alias("word")).select("shard", "word.*")
-    totals = each.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = common.written(
-        each.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-        .withColumn("id", F.monotonically_increasing_id() + 1),
+    n_words, size = pieces.agg(F.sum("n_words"), F.sum("size")).first()
+    buckets = (size or 0) // BUCKET_ENTRIES + 1
+    run, fields = _frequent_words(least)
+    about = common.written(
+        _dealt_words(pieces, (n_words or 0) // BUCKET_ENTRIES + 1).groupBy("bucket").applyInArrow(run, fields),
         "words",
     )
-    known = each.select("shard", "local", "lang", "word").join(words, ["lang", "word"]).select(
-        F.col("shard").alias("home"), "local", "id", "f", "lang"
+    words = about.filter(F.col("id").isNotNull()).select("id", "lang", "word", "f")
+    totals = about.filter(F.col("n").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n"))
+    known = about.filter(F.col("known").isNotNull()).select(F.col("shard").alias("home"), "known")
+    texts = pieces.filter(F.col("ids").isNotNull()).select("shard", "ids")
+    run, fields = _pairs(buckets)
+    packed = texts.groupBy("shard").cogroup(known.groupBy("home")).applyInArrow(run, fields)
+    run, fields = _frequent(2, least)
+    pairs = common.written(packed.groupBy("bucket").applyInArrow(run, fields), "pairs")
+    marks = pairs.filter(F.col("bits").isNotNull()).select(
+        F.col("shard").alias("home"), F.lit(None).cast("binary").alias("known"), "bucket", "bits"
     )
-    found = common.written(
-        pieces.select("shard", "ids").groupBy("shard").cogroup(known.groupBy("home"))
-        .applyInArrow(_pairs, _PAIRS),
-        "pairs",
-    )
-    local = found.filter(F.col("ids").isNull()).drop("ids", "words")
-    pairs = common.written(
-        local.groupBy("first", "second").agg(
-            F.sum("n").alias("a"), *(F.first(x).alias(x) for x in ("lang", "f_first", "f_last"))
-        ).filter(F.col("a") >= least),
-        "frequent-pairs",
-    )
-    back = local.select("shard", "a", "b", "first", "second").join(
-        pairs.select("first", "second", F.col("a").alias("f")), ["first", "second"]
-    ).select(F.col("shard").alias("home"), "a", "b", "f")
-    longer = (
-        found.filter(F.col("ids").isNotNull()).select("shard", "ids", "words")
-        .groupBy("shard").cogroup(back.groupBy("home")).applyInArrow(_longer, _LONGER)
-    ).groupBy("w1", "w2", "w3", "w4").agg(
-        F.sum("n").alias("a"),
-        *(F.first(x).alias(x) for x in ("lang", "f_first", "f_last", "f_head", "f_tail")),
-    ).filter(F.col("a") >= least).withColumn("size", F.when(F.col("w4") == 0, 3).otherwise(4))
+    both = known.select(
+        "home", "known", F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("bits")
+    ).unionByName(marks)
+    run, fields = _longer(buckets)
+    packed = texts.groupBy("shard").cogroup(both.groupBy("home")).applyInArrow(run, fields)
+    run, fields = _frequent(4, least)
+    longer = packed.groupBy("bucket").applyInArrow(run, fields).select("w1", "w2", "w3", "w4", "a")
     nothing = F.lit(0).cast("long")
-    two = pairs.select(
-        F.col("first").alias("w1"), F.col("second").alias("w2"), nothing.alias("w3"),
-        nothing.alias("w4"), "a", "lang", "f_first", "f_last", nothing.alias("f_head"),
-        nothing.alias("f_tail"), F.lit(2).alias("size"),
+    two = pairs.filter(F.col("a").isNotNull()).select(
+        "w1", "w2", nothing.alias("w3"), nothing.alias("w4"), "a"
     )
-    return common.written(longer.unionByName(two), "phrases"), words.select("id", "word"), totals
+    count = F.when(F.col("w3") == 0, 2).when(F.col("w4") == 0, 3).otherwise(4)
+    return common.written(longer.unionByName(two).withColumn("size", count), "phrases"), words, totals
 
 
 def _score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
@@ -365,36 +505,43 @@ def _score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
     )
 
 
-def scored(found: DataFrame) -> DataFrame:
-    """Phrases with l, r and score of their worst cut, without those that a longer one holds."""
-    keys = ["w1", "w2", "w3"]
-    three = found.filter("size = 3").select(*keys, F.col("a").alias("f"))
-    four = (
-        found.filter("size = 4")
-        .join(three.withColumnRenamed("f", "f_before"), keys)
-        .join(three.select(
-            F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("w3").alias("w4"),
-            F.col("f").alias("f_after"),
-        ), ["w2", "w3", "w4"])
-    )
-    none = F.lit(None).cast("long")
-    both = found.filter("size < 4").withColumns({"f_before": none, "f_after": none}).unionByName(four)
+def scored(found: DataFrame, words: DataFrame) -> DataFrame:
+    """Phrases with lang, l, r and score of their worst cut, without those that a longer one holds."""
+    def counts(size: int, places: list[int], name: str) -> DataFrame:
+        """The counts of all phrases of a size (words for 1), for those at ``places`` of others."""
+        if size == 1:
+            return words.select(F.col("id").alias(f"w{places[0]}"), F.col("f").alias(name))
+        return found.filter(F.col("size") == size).select(
+            *(F.col(f"w{i}").alias(f"w{place}") for i, place in enumerate(places, 1)), F.col("a").alias(name)
+        )
+
+    def with_parts(size: int) -> DataFrame:
+        whole = found.filter(F.col("size") == size)
+        for k in range(1, size):
+            for name, places in ((f"left{k}", range(1, k + 1)), (f"right{k}", range(k + 1, size + 1))):
+                places = list(places)
+                whole = whole.join(counts(len(places), places, name), [f"w{i}" for i in places])
+        for k in range(size, LONGEST):
+            whole = whole.withColumns({f"left{k}": F.lit(None).cast("long"), f"right{k}": F.lit(None).cast("long")})
+        return whole
+
+    langs = words.select(F.col("id").alias("w1"), "lang")
+    both = functools.reduce(
+        DataFrame.unionByName, [with_parts(size) for size in range(2, LONGEST + 1)]
+    ).join(langs, "w1")
 
     def cut(k: int, left: str, right: str) -> Column:
         l, r = F.col(left), F.col(right)  # noqa: E741
         return F.struct(_score(F.col("a"), l, r).alias("score"), F.lit(k).alias("k"), l.alias("l"), r.alias("r"))
 
-    worst = (
-        F.when(F.col("size") == 2, cut(1, "f_first", "f_last"))
-        .when(F.col("size") == 3, F.least(cut(1, "f_first", "f_tail"), cut(2, "f_head", "f_last")))
-        .otherwise(F.least(
-            cut(1, "f_first", "f_after"), cut(2, "f_head", "f_tail"), cut(3, "f_before", "f_last")
-        ))
-    )
+    worst = F.least(*(
+        F.when(F.col("size") > k, cut(k, f"left{k}", f"right{k}")) for k in range(1, LONGEST)
+    ))
+
     # What holds a phrase holds it with one more word before or after it, at least as often.
-    def part(*words: str) -> Column:
-        third = F.col(words[2]) if len(words) > 2 else F.lit(0).cast("long")
-        return F.struct(F.col(words[0]).alias("w1"), F.col(words[1]).alias("w2"), third.alias("w3"))
+    def part(*names: str) -> Column:
+        third = F.col(names[2]) if len(names) > 2 else F.lit(0).cast("long")
+        return F.struct(F.col(names[0]).alias("w1"), F.col(names[1]).alias("w2"), third.alias("w3"))
 
     held = F.when(F.col("size") == 3, F.array(part("w1", "w2"), part("w2", "w3"))).otherwise(
         F.array(part("w1", "w2", "w3"), part("w2", "w3", "w4"))
@@ -403,7 +550,7 @@ def scored(found: DataFrame) -> DataFrame:
         found.filter("size > 2").select(F.explode(held).alias("part"), "a")
         .groupBy("part").agg(F.max("a").alias("longer")).select("part.*", "longer")
     )
-    shorter = both.filter("size < 4").join(extensions, keys, "left").filter(
+    shorter = both.filter("size < 4").join(extensions, ["w1", "w2", "w3"], "left").filter(
         F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * 80)
     ).drop("longer")
     return shorter.unionByName(both.filter("size = 4")).select(
@@ -416,7 +563,7 @@ def collocations(
 ) -> DataFrame:
     """Each language's ``most`` best phrases: lang, rank, phrase, a, l, r, n, score."""
     found, words, totals = phrases(docs, least, shard_words)
-    best = scored(found).withColumn(
+    best = scored(found, words).withColumn(
         "part", F.pmod(F.xxhash64("w1", "w2", "w3", "w4"), F.lit(_PARTS))
     )
     # First within parts of a language; what ties with the last stays until words decide.
@@ -427,7 +574,7 @@ def collocations(
     ids = [f"w{i}" for i in range(1, LONGEST + 1)]
     spelt = (
         best.select(*ids, F.posexplode(F.array(*ids)).alias("at", "id")).filter("id > 0")
-        .join(words, "id").groupBy(*ids)
+        .join(words.select("id", "word"), "id").groupBy(*ids)
         .agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
         .select(*ids, F.array_join(F.col("words.word"), " ").alias("phrase"))
     )
