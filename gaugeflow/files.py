@@ -25,6 +25,16 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(hadoop_path) or [])
 
 
+def folder_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Folders of the files that match a glob pattern, with the bytes of these files."""
+    fs, hadoop_path = _open(spark, pattern)
+    sizes: dict[str, int] = {}
+    for status in fs.globStatus(hadoop_path) or []:
+        folder = status.getPath().getParent().toString()
+        sizes[folder] = sizes.get(folder, 0) + status.getLen()
+    return sizes
+
+
 def complete_folders(spark: SparkSession, base: str, label: str) -> list[int]:
     """Numbers n of the folders ``<base>/<label>=<n>`` that a finished job wrote."""
     markers = matching(spark, f"{base}/{label}=*/_SUCCESS")

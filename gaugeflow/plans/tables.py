@@ -210,27 +210,29 @@ class Tables:
         properties = self._properties(name)
         return f"{properties[_ROOT]}/v{properties[_VERSION]}", json.loads(properties[_FEED])
 
-    def show_snapshot(self, name: str, through: int) -> None:
-        """Let the catalog read a merge of the feed, one partition after the other."""
+    def show_merged(self, name: str, parts: dict[str, tuple[int, str]]) -> None:
+        """Let the catalog read merges of the feed: partitions merged since it last did so.
+
+        ``parts`` has the last merged batch and the folder of each partition.
+        """
         folder, settings = self.feed_settings(name)
-        if settings["through"] == through:
+        newest = max((last for last, _ in parts.values()), default=settings["through"])
+        if settings["through"] == newest:
             return
-        spec, table = self.spec(name), self._sql(name)
-        location = _snapshot(folder, through)
+        table = self._sql(name)
         shown = {row["partition"] for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()}
-        found = files.matching(self.spark, location + "/*=*" * len(spec.partition_columns))
         added = []
-        for path in found:
-            part = "/".join(path.split("/")[-len(spec.partition_columns):])
+        for part, (last, path) in sorted(parts.items()):
             clause = f"PARTITION ({part.replace('/', ', ')})"
-            if part in shown:
-                self.spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION {text_literal(path)}")
-            else:
+            if part not in shown:
                 added.append(f"{clause} LOCATION {text_literal(path)}")
+            elif last > settings["through"]:
+                self.spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION {text_literal(path)}")
         if added:
             self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+        location = _snapshot(folder, newest)
         self.spark.sql(f"ALTER TABLE {table} SET LOCATION {text_literal(location)}")
-        self._store_feed(name, settings | {"through": through})
+        self._store_feed(name, settings | {"through": newest})
 
     def _feed(self, name: str) -> dict | None:
         text = self._properties(name).get(_FEED)
@@ -381,7 +383,11 @@ class Tables:
             listed = ", ".join(f"PARTITION ({e.replace('/', ', ')})" for e in entries)
             self.spark.sql(f"ALTER TABLE {self._sql(name)} DROP {listed}")
         # The table is external, so dropping a partition leaves its files.
-        files.delete(self.spark, f"{self._location(name)}/range_id={number}")
+        base = f"{self._properties(name)[_ROOT]}/v{self._properties(name)[_VERSION]}"
+        folders = ["", "/log/batch_id=*", "/runs/from=*/through=*", "/snapshot/through=*"]
+        for folder in folders if self._feed(name) else [""]:
+            for path in files.matching(self.spark, f"{base}{folder}/range_id={number}"):
+                files.delete(self.spark, path)
         self._store_spec(
             name, replace(spec, ranges=tuple(r for r in spec.ranges if r.range_id != number))
         )
@@ -472,12 +478,6 @@ class Tables:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._sql(name)}").collect()
         return {row["key"]: row["value"] for row in rows}
 
-    def _location(self, name: str) -> str:
-        properties = self._properties(name)
-        folder = f"{properties[_ROOT]}/v{properties[_VERSION]}"
-        feed = self._feed(name)
-        return _snapshot(folder, feed["through"]) if feed else folder
-
     def _retired(self, name: str) -> set[str]:
         return set(filter(None, self._properties(name).get(_RETIRED, "").split("\n")))
 
@@ -542,7 +542,18 @@ class Tables:
         )
         if None in comments:
             self.comment_table(name, comments[None])
-        if files.exists(self.spark, location):
+        if feed:
+            beside = T.StructType([T.StructField.fromJson(f) for f in feed["beside"]])
+            log = keyed_log.KeyedLog(
+                self.spark, f"{root}/v{version}", spec, feed["order_by"], feed["mode"], beside
+            )
+            parts = [
+                f"PARTITION ({part.replace('/', ', ')}) LOCATION {text_literal(path)}"
+                for part, (_, path) in sorted(log.merged_parts().items())
+            ]
+            if parts:
+                self.spark.sql(f"ALTER TABLE {self._sql(name)} ADD {' '.join(parts)}")
+        elif files.exists(self.spark, location):
             self.spark.sql(f"ALTER TABLE {self._sql(name)} RECOVER PARTITIONS")
 
     def _redefine(self, spec: TableSpec, *definition) -> None:

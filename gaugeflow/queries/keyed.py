@@ -158,3 +158,16 @@ def live_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             log.compact()
             log.vacuum()
     return spark.table(name)
+
+
+@query(LATEST_SQL)
+def tiered_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine batches, merged into runs and partitions as a stream does it."""
+    log = sensor_log(spark, UPSERT)
+    rows = sensor_rows(spark, sf_dir)
+    for batch in range(9):
+        log.write_batch(rows.filter(F.pmod(F.xxhash64("sequence"), F.lit(9)) == batch), batch)
+        if (batch + 1) % 2 == 0:
+            log.merge(batch, every=2, share=0.75)
+            log.vacuum()
+    return log.current()

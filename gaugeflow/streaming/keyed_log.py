@@ -6,15 +6,25 @@ row per key over the batches::
 
     <root>/log/batch_id=<n>/[range_id=<r>/]bucket=<b>/   accepted rows of batch n
     <root>/rejects/batch_id=<n>/                         rejected rows with a reason
+    <root>/runs/from=<m>/through=<n>/...                 batches m to n, merged
     <root>/snapshot/through=<n>/...                      all batches up to n, merged
 
+A key never leaves its partition, so partitions merge one by one: a snapshot holds those
+that it wrote, and the others stay in the snapshot that has them. The rows of a partition
+are its newest snapshot and what came after. A stream merges batches into runs, runs into
+longer runs, and a partition anew once what came for it amounts to a share of its size.
+So what is written follows what has changed, whatever the size of the table.
+
 A batch that is replayed after a failure overwrites its own folder, so it counts
 once. Spark's ``_SUCCESS`` file marks a folder as complete; others are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +40,27 @@ from gaugeflow.streaming.ingest import with_trigger
 UPSERT = "upsert"
 INSERT = "insert"
 
-# Batches of a stream after which they are merged: a read reduces no more than these.
+# Batches of a stream that are merged into a run, and runs into a longer one.
 COMPACT_EVERY = 10
-# Rows after a snapshot up to which their keys are broadcast to it.
+# A stream writes a partition anew once this share of its size has come for it.
+MERGE_SHARE = 0.25
+# Seconds that a stream leaves merged folders to queries which may read them.
+KEEP_SECONDS = 3600
+# Rows after a snapshot, and bytes of their files, up to which their keys are broadcast to it.
 MAX_BROADCAST_KEYS = 1_000_000
+MAX_BROADCAST_BYTES = 32 << 20
+
+
+@dataclass(frozen=True)
+class _Stored:
+    """One partition's folder in a batch, run or snapshot: what it covers, and its size."""
+
+    folder: str
+    first: int
+    last: int
+    part: str
+    path: str
+    size: int
 
 
 class KeyedLog:
@@ -76,8 +103,8 @@ class KeyedLog:
 
         A batch that a snapshot covers is merged already and can no longer be replaced.
         """
-        if any(n >= batch_id for n in self._complete("snapshot", "through")):
-            raise ValueError(f"batch {batch_id} is merged into a snapshot")
+        if self._is_merged(batch_id):
+            raise ValueError(f"batch {batch_id} is merged")
         tagged = self._tagged(df)
         seen = Observation()
         observed = tagged.observe(
@@ -99,20 +126,23 @@ class KeyedLog:
         checkpoint: str,
         interval: str | None = None,
         compact_every: int | None = COMPACT_EVERY,
+        keep_seconds: float = KEEP_SECONDS,
     ) -> StreamingQuery:
         """Feed a stream into the table, one batch per trigger.
 
-        The batches are merged after each ``compact_every`` of them; None leaves it to
+        After each ``compact_every`` batches :meth:`merge` merges what it takes to keep
+        reads short, and what that replaces goes after ``keep_seconds``; None leaves both to
         the caller.
         """
 
         def write(df: DataFrame, batch_id: int) -> None:
             # After a failure between merge and commit the batch comes again, and is there.
-            if any(n >= batch_id for n in self._complete("snapshot", "through")):
+            if self._is_merged(batch_id):
                 return
             self.write_batch(df, batch_id)
             if compact_every and (batch_id + 1) % compact_every == 0:
-                self.compact()
+                self.merge(batch_id, compact_every)
+                self.vacuum(keep_seconds)
 
         writer = stream.writeStream.foreachBatch(write)
         writer = writer.option("checkpointLocation", checkpoint)
@@ -182,28 +212,102 @@ class KeyedLog:
     def _complete(self, folder: str, label: str) -> list[int]:
         return files.complete_folders(self.spark, f"{self.root}/{folder}", label)
 
+    def _runs(self) -> list[tuple[int, int]]:
+        """The first and last batch of each complete run."""
+        marks = files.matching(self.spark, f"{self.root}/runs/from=*/through=*/_SUCCESS")
+        return sorted(tuple(int(x.partition("=")[2]) for x in m.split("/")[-3:-1]) for m in marks)
+
+    def _is_merged(self, batch_id: int) -> bool:
+        ends = self._complete("snapshot", "through") + [last for _, last in self._runs()]
+        return any(n >= batch_id for n in ends)
+
+    def _stored(self, folder: str) -> list[_Stored]:
+        """What is complete in ``log``, ``runs`` or ``snapshot``, by partition."""
+        if folder == "runs":
+            complete = set(self._runs())
+        else:
+            label = "batch_id" if folder == "log" else "through"
+            complete = {(n,) for n in self._complete(folder, label)}
+        if not complete:
+            return []
+        parts, labels = len(self.spec.partition_columns), 2 if folder == "runs" else 1
+        pattern = f"{self.root}/{folder}" + "/*=*" * (labels + parts) + "/*.parquet"
+        found = []
+        for path, size in files.folder_sizes(self.spark, pattern).items():
+            names = path.split("/")[-labels - parts:]
+            numbers = tuple(int(n.partition("=")[2]) for n in names[:labels])
+            if numbers in complete:
+                first = numbers[0] if folder != "snapshot" else -1
+                part = "/".join(names[labels:])
+                found.append(_Stored(folder, first, numbers[-1], part, path, size))
+        return found
+
+    def _layout(
+        self, through: int | None = None, min_age: float | None = None
+    ) -> tuple[dict[str, _Stored], dict[str, list[_Stored]]]:
+        """Of each partition: its newest snapshot, and the fewest folders that come after.
+
+        ``min_age`` passes over snapshots and runs that are younger (in seconds).
+        """
+        def old(path: str) -> bool:
+            return min_age is None or files.age(self.spark, f"{self.root}/{path}/_SUCCESS") >= min_age
+
+        def known(folder: str) -> list[_Stored]:
+            return [s for s in self._stored(folder) if through is None or s.last <= through]
+
+        ends = {n for n in self._complete("snapshot", "through") if old(f"snapshot/through={n}")}
+        bases: dict[str, _Stored] = {}
+        for stored in sorted(known("snapshot"), key=lambda s: s.last):
+            if stored.last in ends:
+                bases[stored.part] = stored
+        runs = [
+            r for r in self._runs()
+            if (through is None or r[1] <= through) and old(f"runs/from={r[0]}/through={r[1]}")
+        ]
+        later: dict[str, list[_Stored]] = defaultdict(list)
+        for stored in [*known("runs"), *known("log")]:
+            if stored.folder == "runs" and (stored.first, stored.last) not in runs:
+                continue
+            if stored.part not in bases or stored.last > bases[stored.part].last:
+                if not any(self._covers(run, stored) for run in runs):
+                    later[stored.part].append(stored)
+        return bases, dict(later)
+
+    @staticmethod
+    def _covers(run: tuple[int, int], stored: _Stored) -> bool:
+        """A longer run holds all that a batch or run does."""
+        own = stored.first, stored.last
+        if not run[0] <= own[0] <= own[1] <= run[1]:
+            return False
+        return stored.folder == "log" or run != own
+
     def _read(
-        self,
-        folder: str,
-        label: str,
-        numbers: list[int],
-        where: Column | None,
-        also: Sequence[str] = (),
+        self, stored: Iterable[_Stored], where: Column | None = None, also: Sequence[str] = ()
     ) -> DataFrame:
         parts = [T.StructField(c, T.IntegerType()) for c in self.spec.partition_columns]
-        merged = [T.StructField("batch_id", T.LongType())]
-        fields = [*self.row_schema.fields, *merged, *parts]
-        if label != "batch_id":
-            fields.append(T.StructField(label, T.LongType()))
-        base = f"{self.root}/{folder}"
-        reader = self.spark.read.schema(T.StructType(fields)).option("basePath", base)
-        df = reader.parquet(*[f"{base}/{label}={n}" for n in numbers])
-        if where is not None:
-            df = df.filter(where)
+        fields = [*self.row_schema.fields, T.StructField("batch_id", T.LongType()), *parts]
+        labels = {"log": (), "runs": ("from", "through"), "snapshot": ("through",)}
+        paths = defaultdict(list)
+        for one in stored:
+            paths[one.folder].append(one.path)
+        frames = []
+        for folder, found in paths.items():
+            beside = [T.StructField(label, T.LongType()) for label in labels[folder]]
+            reader = self.spark.read.schema(T.StructType([*fields, *beside]))
+            df = reader.option("basePath", f"{self.root}/{folder}").parquet(*sorted(found))
+            if where is not None:
+                df = df.filter(where)
+            frames.append(df)
+        if not frames:
+            return self.spark.createDataFrame([], T.StructType(fields)).select(
+                *self.row_schema.names, "batch_id", *also
+            )
         for name, (default, last) in self.added.items():
             old = F.expr(default).cast(self.row_schema[name].dataType)
-            df = df.withColumn(name, F.when(F.col("batch_id") <= last, old).otherwise(F.col(name)))
-        return df.select(*self.row_schema.names, "batch_id", *also)
+            now = F.when(F.col("batch_id") <= last, old).otherwise(F.col(name))
+            frames = [df.withColumn(name, now) for df in frames]
+        columns = [*self.row_schema.names, "batch_id", *also]
+        return functools.reduce(DataFrame.unionByName, [df.select(*columns) for df in frames])
 
     def _current(
         self,
@@ -211,37 +315,48 @@ class KeyedLog:
         where: Column | None = None,
         among: DataFrame | None = None,
     ) -> DataFrame:
-        snapshots = [
-            n for n in self._complete("snapshot", "through") if through is None or n <= through
-        ]
-        base = max(snapshots, default=-1)
-        newer = [n for n in self.batches() if n > base and (through is None or n <= through)]
-        if not snapshots and not newer:
-            empty = T.StructType([*self.row_schema.fields, T.StructField("batch_id", T.LongType())])
-            return self.spark.createDataFrame([], empty)
-
-        def read(folder: str, label: str, numbers: list[int]) -> DataFrame:
-            rows = self._read(folder, label, numbers, where)
+        return self._merged(*self._layout(through), where, among)
+
+    def _merged(
+        self,
+        bases: dict[str, _Stored],
+        later: dict[str, list[_Stored]],
+        where: Column | None = None,
+        among: DataFrame | None = None,
+    ) -> DataFrame:
+        """One row per key of the given folders."""
+        def read(stored: Iterable[_Stored]) -> DataFrame:
+            rows = self._read(stored, where)
             if among is None:
                 return rows
             return rows.join(F.broadcast(among), self.spec.keys, "left_semi")
 
-        if not newer:
-            return read("snapshot", "through", [base])
-        added = read("log", "batch_id", newer)
-        if not snapshots:
-            return added if len(newer) == 1 else self._last(added)
-        merged = read("snapshot", "through", [base])
-        if among is not None:
-            return self._last(merged.unionByName(added))
-        # Counting rows reads only the files' footers.
-        if self._read("log", "batch_id", newer, None).count() > MAX_BROADCAST_KEYS:
-            return self._last(merged.unionByName(added))
+        # Partitions that stand in one folder have one row for each key already.
+        whole = [base for part, base in bases.items() if part not in later]
+        whole += [s[0] for part, s in later.items() if part not in bases and len(s) == 1]
+        known = {s.part for s in whole}
+        merged = [base for part, base in bases.items() if part not in known]
+        new = [s for part, found in later.items() if part not in known for s in found]
+        if not new:
+            return read(whole)
+        rows = self._last_of(merged, new, read, among)
+        return rows.unionByName(read(whole)) if whole else rows
+
+    def _last_of(self, merged: list[_Stored], new: list[_Stored], read, among) -> DataFrame:
+        added = read(new)
+        if not merged:
+            return self._last(added)
+        stored = read(merged)
+        if among is not None or sum(s.size for s in new) > MAX_BROADCAST_BYTES:
+            return self._last(stored.unionByName(added))
+        # Counting rows reads only the files' footers, and small files only.
+        if self._read(new).count() > MAX_BROADCAST_KEYS:
+            return self._last(stored.unionByName(added))
         # A large snapshot with few later rows: only keys that changed are shuffled.
         keys = self.spec.keys
         changed = F.broadcast(added.select(*keys).distinct())
-        untouched = merged.join(changed, keys, "left_anti")
-        touched = merged.join(changed, keys, "left_semi")
+        untouched = stored.join(changed, keys, "left_anti")
+        touched = stored.join(changed, keys, "left_semi")
         return untouched.unionByName(self._last(touched.unionByName(added)))
 
     def _last(self, rows: DataFrame) -> DataFrame:
@@ -250,36 +365,87 @@ class KeyedLog:
 
     # -- upkeep ----------------------------------------------------------------
 
-    def compact(self, through: int | None = None) -> int | None:
+    def compact(self, through: int | None = None, share: float = 0.0) -> int | None:
         """Merge batches into a snapshot; later reads start from it.
 
-        The newest batch stays out by default, since a restarted stream may replay
-        it. Nothing is replaced: a reader sees the old state until the new folder is
-        complete. Returns the last merged batch, None if there was nothing to merge.
+        Only partitions are written for which rows came since their last merge, and of these
+        those whose new rows amount to ``share`` of their size. The newest batch stays out by
+        default, since a restarted stream may replay it. Nothing is replaced: a reader sees
+        the old state until the new folder is complete. Returns the last merged batch, None
+        if there was nothing to merge.
         """
-        done = self.batches()
         if through is None:
+            done = sorted({*self.batches(), *(last for _, last in self._runs())})
             through = done[-2] if len(done) > 1 else None
         if through is None or through in self._complete("snapshot", "through"):
             return None
-        self._write(self._current(through), f"{self.root}/snapshot/through={through}")
+        bases, later = self._layout(through)
+        due = {
+            part: found for part, found in later.items()
+            if part not in bases or sum(s.size for s in found) >= share * bases[part].size
+        }
+        if share and not due:
+            return None
+        rows = self._merged({part: base for part, base in bases.items() if part in due}, due)
+        if not due:  # batches without rows: only the mark that they are merged
+            rows = rows.limit(0)
+        self._write(rows, f"{self.root}/snapshot/through={through}")
         self._renew_views()
         return through
 
+    def merge(self, batch_id: int, every: int = COMPACT_EVERY, share: float = MERGE_SHARE) -> None:
+        """What a stream does after its batch ``batch_id``, all but that batch taking part.
+
+        Partitions are written anew that have grown by ``share``; what came for the others
+        becomes a run of ``every`` batches, or of as many shorter runs.
+        """
+        self.compact(batch_id - 1, share)
+        turn, width = (batch_id + 1) // every, every
+        while every > 1 and turn % every == 0:
+            turn, width = turn // every, width * every
+        run = batch_id - width, batch_id - 1
+        _, later = self._layout(batch_id - 1)
+        short = [s for found in later.values() for s in found if self._covers(run, s)]
+        if len({(s.first, s.last) for s in short}) > 1:
+            rows = self._last(self._read(short))
+            self._write(rows, f"{self.root}/runs/from={run[0]}/through={run[1]}")
+            self._renew_views()
+
     def vacuum(self, keep_seconds: float = 0) -> None:
-        """Delete batches and snapshots that the newest snapshot covers.
+        """Delete folders of partitions that a newer snapshot or a longer run covers.
 
-        A query that runs may still read them: ``keep_seconds`` spares all of them until
-        the newest snapshot has that age.
+        A query that runs may still read them: ``keep_seconds`` spares what is covered only
+        by merges younger than that.
         """
-        snapshots = self._complete("snapshot", "through")
-        if not snapshots:
-            return
-        newest = f"{self.root}/snapshot/through={snapshots[-1]}/_SUCCESS"
-        if files.age(self.spark, newest) < keep_seconds:
-            return
-        for n in snapshots[:-1]:
-            files.delete(self.spark, f"{self.root}/snapshot/through={n}")
+        aged, now = self._layout(min_age=keep_seconds or None), self._layout()
+        used = {
+            s.path for bases, later in (aged, now)
+            for found in (bases.values(), *later.values()) for s in found
+        }
+        held = set()
+        for folder in ("log", "runs", "snapshot"):
+            for stored in self._stored(folder):
+                if stored.path in used:
+                    held.add((folder, stored.first, stored.last))
+                else:
+                    files.delete(self.spark, stored.path)
+        # Then folders in which nothing is left, but for the newest of either kind.
+        old = [n for n in self._complete("snapshot", "through") if files.age(
+            self.spark, f"{self.root}/snapshot/through={n}/_SUCCESS") >= keep_seconds]
+        end = max(old, default=-1)
+        runs = self._runs()
         for n in self.batches():
-            if n <= snapshots[-1]:
+            covered = n <= end or any(("runs", *r) in held and r[0] <= n <= r[1] for r in runs)
+            if covered and ("log", n, n) not in held:
                 files.delete(self.spark, f"{self.root}/log/batch_id={n}")
+        for n in old:
+            if n < end and ("snapshot", -1, n) not in held:
+                files.delete(self.spark, f"{self.root}/snapshot/through={n}")
+        for run in runs:
+            longer = any(r != run and r[0] <= run[0] and run[1] <= r[1] for r in runs)
+            if (run[1] <= end or longer) and ("runs", *run) not in held:
+                files.delete(self.spark, f"{self.root}/runs/from={run[0]}/through={run[1]}")
+
+    def merged_parts(self) -> dict[str, tuple[int, str]]:
+        """Of each partition (``range_id=1/bucket=2``): the last merged batch, and its folder."""
+        return {part: (base.last, base.path) for part, base in self._layout()[0].items()}

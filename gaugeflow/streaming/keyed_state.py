@@ -11,9 +11,10 @@ does not replace the stored one.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +23,7 @@ from gaugeflow import files
 from gaugeflow.operators.keyed import MAX_KEY_ROWS, join_one_of_each, previous
 from gaugeflow.plans.spec import ColumnSpec, TableSpec
 from gaugeflow.streaming.ingest import with_trigger
-from gaugeflow.streaming.keyed_log import MAX_BROADCAST_KEYS, KeyedLog
+from gaugeflow.streaming.keyed_log import MAX_BROADCAST_BYTES, MAX_BROADCAST_KEYS, KeyedLog
 
 
 def output_schema(
@@ -67,21 +68,27 @@ class PreviousFeed:
         """Write the batch's rows, then its last rows; both replace an earlier try."""
         df = df.persist()
         try:
-            rows = self._with_previous(df, batch_id, df.count())
+            sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in self.key]
+            n, key_bytes = df.agg(
+                F.count(F.lit(1)), F.sum(functools.reduce(Column.__add__, sizes))
+            ).first()
+            rows = self._with_previous(df, batch_id, n, key_bytes or 0)
             rows.write.mode("overwrite").parquet(f"{self.root}/rows/batch_id={batch_id}")
             self.last_rows.write_batch(df, batch_id)
             if (batch_id + 1) % self.compact_every == 0:
                 # Only this feed reads the last rows, so merged batches can go at once.
-                self.last_rows.compact()
+                self.last_rows.merge(batch_id, self.compact_every)
                 self.last_rows.vacuum()
         finally:
             df.unpersist()
 
-    def _with_previous(self, df: DataFrame, batch_id: int, rows_in_batch: int) -> DataFrame:
+    def _with_previous(
+        self, df: DataFrame, batch_id: int, rows_in_batch: int, key_bytes: int
+    ) -> DataFrame:
         # A batch below the limit for one key has no key above it.
         max_key_rows = self.max_key_rows if rows_in_batch > self.max_key_rows else None
         # Only the batch's keys are of interest; many are left to the join below.
-        few = rows_in_batch <= MAX_BROADCAST_KEYS
+        few = rows_in_batch <= MAX_BROADCAST_KEYS and key_bytes <= MAX_BROADCAST_BYTES
         among = df.select(*self.key).distinct() if few else None
         # A replayed batch must not see its own rows.
         stored = self.last_rows.current(through=batch_id - 1, among=among)

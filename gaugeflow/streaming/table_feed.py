@@ -1,9 +1,10 @@
 """The feed of a catalog table: batches upserted into a table made from a spec.
 
 A fed table is a :class:`KeyedLog` whose merges the catalog follows. After each merge the
-table's partitions are pointed at the new snapshot, one by one. A key never leaves its
-partition, so a query by table name sees each key as of the last merge or the one before,
-in any session. ``current`` and ``register`` show batches that are not merged yet too.
+partitions it wrote are pointed at the new snapshot, one by one. A key never leaves its
+partition, so a query by table name, in any session, sees each key as of the last merge of
+its partition or the one before: at most a quarter of the partition's size may be newer.
+``current`` and ``register`` show batches that are not merged yet too.
 
 The table's definition is read anew for each batch, so a stream goes on after DDL. Stop it
 while DDL runs: nothing coordinates the two.
@@ -40,18 +41,18 @@ class TableFeed(KeyedLog):
         self._reload()
         super().write_batch(self.tables.completed(self.name, df), batch_id)
 
-    def compact(self, through: int | None = None) -> int | None:
+    def compact(self, through: int | None = None, share: float = 0.0) -> int | None:
         """Merge all batches (or those up to ``through``) and show the result by table name.
 
         A merged batch cannot be written again; a restarted stream passes over it.
         """
         self._reload()
-        merged = [n for n in self.batches() if through is None or n <= through]
-        done = super().compact(max(merged)) if merged else None
-        self.tables.show_snapshot(self.name, self._complete("snapshot", "through")[-1])
+        known = {*self.batches(), *(last for _, last in self._runs())}
+        merged = [n for n in known if through is None or n <= through]
+        done = super().compact(max(merged), share) if merged else None
+        self.tables.show_merged(self.name, self.merged_parts())
         return done
 
     def merged_rows(self) -> DataFrame:
-        """The rows of the newest merge with all that the feed keeps beside them."""
-        newest = self._complete("snapshot", "through")[-1]
-        return self._read("snapshot", "through", [newest], None, self.spec.partition_columns)
+        """The merged rows with all that the feed keeps beside them."""
+        return self._read(self._layout()[0].values(), None, self.spec.partition_columns)

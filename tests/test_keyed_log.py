@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
+from gaugeflow import files
 from gaugeflow.plans import schemas
 from gaugeflow.plans.spec import table_spec
 from gaugeflow.queries.tables import READINGS_SPEC
@@ -225,3 +226,78 @@ def test_replaced_batch_takes_its_rejects_along(spark, folder):
     log.compact()
     with pytest.raises(ValueError, match="merged"):
         write(spark, log, [(1, "b", 1.0, 1)], 0)
+
+
+def written_parts(folder, of):
+    return sorted(p.split("=")[-1] for p in glob.glob(f"{folder}/{of}/bucket=*"))
+
+
+def test_merges_write_touched_partitions_only(spark, folder):
+    log = sensor(spark, folder)
+    write(spark, log, [(k, "a", 1.0, k) for k in range(400)], 0)
+    log.compact(through=0)
+    write(spark, log, [(7, "b", 1.0, 900)], 1)
+    write(spark, log, [(7, "c", 1.0, 901)], 2)
+    assert log.compact(through=2) == 2
+    assert len(written_parts(folder, "snapshot/through=0")) == 8
+    assert len(written_parts(folder, "snapshot/through=2")) == 1
+    assert log.current().count() == 400 and (7, "c", 1.0) in rows_of(log.current())
+    log.vacuum()
+    assert len(written_parts(folder, "snapshot/through=0")) == 7
+    assert log.batches() == [] and (7, "c", 1.0) in rows_of(log.current())
+    assert log.current().count() == 400
+
+
+@pytest.mark.parametrize("mode", [UPSERT, INSERT])
+def test_tiers_change_nothing_and_write_what_changed(spark, folder, mode):
+    log, plain = sensor(spark, folder + "/tiers", mode), sensor(spark, folder + "/plain", mode)
+    rng = random.Random(4)
+    first = [(k, "a" * 20, float(k), k) for k in range(3000)]
+    for one in (log, plain):
+        write(spark, one, first, 0)
+    log.compact(through=0)
+    base = sum(files.folder_sizes(spark, f"{folder}/tiers/snapshot/*/*/*.parquet").values())
+    for batch in range(1, 18):
+        rows = [(rng.randrange(4000), f"{batch}", 1.0, rng.randrange(9000)) for _ in range(3)]
+        for one in (log, plain):
+            write(spark, one, rows, batch)
+        if (batch + 1) % 3 == 0:
+            log.merge(batch, every=3, share=99.0)
+            log.vacuum()
+    assert rows_of(log.current()) == rows_of(plain.current())
+    # No partition was written anew, and few folders are left: two runs of nine batches,
+    # and the batches since.
+    assert log._complete("snapshot", "through") == [0]
+    assert log._runs() == [(-1, 7), (8, 16)]
+    assert len(log.batches()) <= 3
+    merged = files.folder_sizes(spark, f"{folder}/tiers/runs/*/*/*/*.parquet")
+    assert sum(merged.values()) < base
+    with pytest.raises(ValueError, match="merged"):
+        write(spark, log, [(1, "b", 1.0, 1)], 3)
+    # A partition that has grown enough is written anew.
+    log.merge(17, every=3, share=0.0)
+    assert len(log._complete("snapshot", "through")) == 2
+    assert rows_of(log.current()) == rows_of(plain.current())
+
+
+def test_vacuum_goes_by_age(spark, folder):
+    log = sensor(spark, folder)
+    for batch in range(6):
+        write(spark, log, [(k, f"{batch}", 1.0, 10 * batch + k) for k in range(5)], batch)
+    log.compact(through=2)
+    log.merge(5, every=2, share=9.0)
+    before = rows_of(log.current())
+    log.vacuum(keep_seconds=3600)
+    assert log.batches() == list(range(6)) and rows_of(log.current()) == before
+    log.vacuum()
+    assert log.batches() == [5] and rows_of(log.current()) == before
+
+
+def test_wide_keys_are_not_broadcast(spark, folder, monkeypatch):
+    monkeypatch.setattr(keyed_log, "MAX_BROADCAST_BYTES", 10)
+    log = sensor(spark, folder)
+    write(spark, log, [(k, "a", 1.0, k) for k in range(50)], 0)
+    log.compact(through=0)
+    write(spark, log, [(3, "b", 1.0, 99)], 1)
+    plan = log.current()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and (3, "b", 1.0) in rows_of(log.current())

@@ -271,6 +271,9 @@ def unranged():
     return table_spec(document)
 
 
+KEPT_RANGES = [k for k in range(31, 58) if k not in (39, 40, 49, 50)]
+
+
 def by_key(df, *columns):
     return {r[0]: tuple(r)[1:] for r in df.select("column1", *columns).collect()}
 
@@ -347,6 +350,33 @@ def test_feed_view_and_old_snapshots(spark, db):
     assert db.read("renamed").count() == 5
 
 
+def test_feed_shows_partitions_as_they_merge(spark, db):
+    """Partitions stand in folders of different merges; DDL and other sessions find them all."""
+    db.create(table_spec(READINGS_SPEC))
+    feed = db.feed("readings", ["column3"])
+    name = f"{db.database}.readings"
+    feed.write_batch(readings(spark, *((k, "a", 0.0) for k in range(31, 58))), 0)
+    feed.compact()
+    feed.write_batch(readings(spark, (32, "a", 5.0)), 1)
+    feed.compact()
+    assert by_key(spark.newSession().table(name), "column3")[32] == (5.0,)
+    assert spark.newSession().table(name).count() == len(KEPT_RANGES)
+    db.drop_column("readings", "column4")
+    assert spark.table(name).count() == len(KEPT_RANGES)
+    feed.write_batch(readings(spark, (33, "a", 6.0)).drop("column4"), 2)
+    feed.compact(share=1000.0)  # too little for that share
+    assert by_key(spark.table(name), "column3")[33] == (0.0,)
+    assert by_key(feed.current(), "column3")[33] == (6.0,)
+    low = {"lower": [30], "upper": [39], "lower_bound": "exclusive", "upper_bound": "exclusive"}
+    db.drop_range("readings", low)
+    assert min(first_column(feed.current())) == 41
+    db.add_range("readings", low)
+    assert min(first_column(feed.current())) == 41 == min(first_column(spark.table(name)))
+    feed.write_batch(readings(spark, (31, "z", 1.0)).drop("column4"), 3)
+    feed.compact()
+    assert min(first_column(spark.table(name))) == 31
+
+
 def test_small_load_reads_only_partitions_it_meets(spark, loaded):
     arrived = spark.createDataFrame([(31, "a", 0, 3)], "column1 int, column2 string, range_id int, bucket int")
     known = loaded._stored_keys("readings", loaded.spec("readings"), arrived)
