@@ -44,7 +44,9 @@ def _goes_on(text: Column) -> Column:
     """
     bare = F.btrim(text, F.lit(_BLANKS))
     open_, close = (F.length(F.replace(bare, F.lit(b), F.lit(""))) for b in "{}")
-    suspicious = ~bare.endswith("}") | bare.rlike(r"\}\s*[^\s\]}]") | (open_ != close)
+    # A brace between quotes may stand in a text, where it balances none.
+    quoted = bare.rlike('"[^"]*[{}][^"]*"')
+    suspicious = ~bare.endswith("}") | bare.rlike(r"\}\s*[^\s\]}]") | (open_ != close) | quoted
     elements = F.json_array_length(F.concat(F.lit("["), bare, F.lit("]")))
     return suspicious & (F.coalesce(elements, F.lit(0)) != 1)
 

@@ -60,6 +60,9 @@ class _End:
         return self.side > (other.side if isinstance(other, _End) else 0)
 
 
+BEFORE, AFTER = _End(-1), _End(1)
+
+
 def check_ranges(partitions: Sequence[RangePartition]) -> None:
     """Refuse empty and overlapping ranges."""
     for p in partitions:

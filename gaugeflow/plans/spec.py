@@ -174,6 +174,8 @@ def typed_literal(value, data_type: T.DataType):
     if isinstance(data_type, T.BooleanType):
         return value if isinstance(value, bool) else str(value).lower() == "true"
     if isinstance(data_type, T.IntegralType):
+        if isinstance(value, float) and not value.is_integer():
+            raise ValueError(f"{value} is no whole number")
         return int(value)
     if isinstance(data_type, T.FractionalType):
         return Decimal(str(value)) if isinstance(data_type, T.DecimalType) else float(value)

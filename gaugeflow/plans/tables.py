@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from gaugeflow.operators import keyed, rejects
 from gaugeflow.plans import spec as specs
 from gaugeflow.plans.catalog import quoted, quoted_column, text_literal
 from gaugeflow.plans.layout import for_write, key_filter, key_rules, with_partitions
+from gaugeflow.plans.pruning import partition_filter
 from gaugeflow.plans.ranges import RangePartition, check_ranges
 from gaugeflow.plans.spec import AddColumn, AlterSpec, ColumnSpec, TableSpec
 from gaugeflow.session import scratch_dir
@@ -51,6 +52,7 @@ class Tables:
         self.database = database
         self.root = root.rstrip("/")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+        self._recover()
 
     # -- creating and reading --------------------------------------------------
 
@@ -91,6 +93,17 @@ class Tables:
         rows = self.spark.table(self._name(name)).filter(key_filter(spec, key_values))
         return rows.select(*spec.schema.names)
 
+    def filtered(self, name: str, condition: Column | str) -> DataFrame:
+        """Rows that meet a condition, reading only the partitions that can hold one.
+
+        Comparisons, ``BETWEEN`` and ``IN`` on the first range column narrow the ranges;
+        constants for all hash columns narrow the buckets.
+        """
+        spec = self.spec(name)
+        rows = self.spark.table(self._name(name))
+        rows = rows.filter(partition_filter(self.spark, spec, condition)).filter(condition)
+        return rows.select(*spec.schema.names)
+
     # -- loading ---------------------------------------------------------------
 
     def load(self, name: str, df: DataFrame, order_by: Sequence[str]) -> Loaded:
@@ -559,7 +572,7 @@ class Tables:
     def _redefine(self, spec: TableSpec, *definition) -> None:
         """Replace the table by a new definition, which is complete before the old one goes.
 
-        After a failure in between, the table is there under its name with ``_next``.
+        After a failure in between, the next one to open the database finishes it.
         """
         following = spec.name + "_next"
         self.spark.sql(f"DROP TABLE IF EXISTS {self._sql(following)}")
@@ -567,6 +580,21 @@ class Tables:
         self.spark.sql(f"DROP TABLE {self._sql(spec.name)}")
         self.spark.sql(f"ALTER TABLE {self._sql(following)} RENAME TO {self._sql(spec.name)}")
 
+    def _recover(self) -> None:
+        """Finish changes that a failure cut off: see :meth:`_redefine`."""
+        shown = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE '*_next'").collect()
+        for row in shown:
+            following = row["tableName"]
+            text = self._properties(following).get(_SPEC)
+            # A table may be called so by its own spec, too.
+            if text is None or specs.table_spec(text).name + "_next" != following:
+                continue
+            name = specs.table_spec(text).name
+            if self.exists(name):  # the old definition still holds
+                self.spark.sql(f"DROP TABLE {self._sql(following)}")
+            else:
+                self.spark.sql(f"ALTER TABLE {self._sql(following)} RENAME TO {self._sql(name)}")
+
     def _rewrite(
         self, name: str, spec: TableSpec, change, renamed: dict[str, str] | None = None
     ) -> None:

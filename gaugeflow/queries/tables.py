@@ -439,3 +439,18 @@ def upsert_then_alter(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed.write_batch(rows.filter("sequence % 4 = 3").withColumn("flag", F.lit(7)), 3)
     feed.compact()
     return spark.sql(f"SELECT column1, column2, column3, flag FROM {db.database}.readings")
+
+
+@query(f"""
+SELECT {_READINGS} FROM events
+WHERE user_id BETWEEN 41 AND 45 OR user_id IN (33, 57) AND value > 50
+""")
+def pruned_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions on the key, of which only the ranges they can meet are read."""
+    db = tables(spark)
+    db.create(table_spec(READINGS_SPEC))
+    db.load("readings", reading_rows(spark, sf_dir), ["column4"])
+    found = db.filtered(
+        "readings", "column1 BETWEEN 41 AND 45 OR column1 IN (33, 57) AND column3 > 50"
+    )
+    return found.select("column1", "column2", "column3")

@@ -34,6 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeflow import files
 from gaugeflow.operators import keyed, rejects
 from gaugeflow.plans.layout import for_write, key_filter, key_rules, with_partitions
+from gaugeflow.plans.pruning import partition_filter
 from gaugeflow.plans.spec import TableSpec
 from gaugeflow.streaming.ingest import with_trigger
 
@@ -182,6 +183,11 @@ class KeyedLog:
         """Rows of one key, reading only the folders that can hold it."""
         return self.current(where=key_filter(self.spec, key_values))
 
+    def filtered(self, condition: Column | str) -> DataFrame:
+        """Current rows that meet a condition, reading only partitions that can hold one."""
+        where = partition_filter(self.spark, self.spec, condition)
+        return self.current(where=where).filter(condition)
+
     def register(self, name: str) -> DataFrame:
         """Make the current rows a temporary view for SQL.
 

@@ -26,6 +26,9 @@ def one(df):
         ("not json", "corrupt"),
         ('{"key": 5', "corrupt"),
         ("[1, 2]", "corrupt"),
+        ('{"key":1,"date":"{","signal":1.0}}', "corrupt"),
+        ('{"key":1,"date":"{","signal":1.0}', None),
+        ('{"key":1,"date":"}{","signal":1.0}', None),
         (" \t\n", "corrupt"),
         (None, "corrupt"),
     ],
