@@ -25,14 +25,19 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(hadoop_path) or [])
 
 
+def sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Bytes of the files that match a glob pattern."""
+    fs, hadoop_path = _open(spark, pattern)
+    return {s.getPath().toString(): s.getLen() for s in fs.globStatus(hadoop_path) or []}
+
+
 def folder_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
     """Folders of the files that match a glob pattern, with the bytes of these files."""
-    fs, hadoop_path = _open(spark, pattern)
-    sizes: dict[str, int] = {}
-    for status in fs.globStatus(hadoop_path) or []:
-        folder = status.getPath().getParent().toString()
-        sizes[folder] = sizes.get(folder, 0) + status.getLen()
-    return sizes
+    found: dict[str, int] = {}
+    for path, size in sizes(spark, pattern).items():
+        folder = path.rpartition("/")[0]
+        found[folder] = found.get(folder, 0) + size
+    return found
 
 
 def complete_folders(spark: SparkSession, base: str, label: str) -> list[int]:
