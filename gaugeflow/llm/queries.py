@@ -12,7 +12,7 @@ from gaugeflow.llm import (
     bpe, collocations, conversation_repair, exact_dedup, jaccard_join, language, line_dedup, packing,
     pii, secret_scan, suffix_dedup, topk, toxicity,
 )
-from gaugeflow.llm.common import doc_id, span_summary, table
+from gaugeflow.llm.common import doc_id, span_summary, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,24 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, doc_id % 2 AS batch FROM documents
+), g AS (
+  SELECT text, batch, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text, batch
+), f AS (SELECT text, min(batch) AS batch FROM g GROUP BY text)
+SELECT d.doc_id, g.keep_id, g.group_size, d.batch = f.batch AND d.doc_id = g.keep_id AS kept
+FROM d JOIN f USING (text) JOIN g ON g.text = f.text AND g.batch = f.batch
+""")
+def exact_dedup_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with even ids, then those with odd ones, against one index."""
+    docs, index = table(spark, sf_dir, "documents"), exact_dedup.new_index(spark)
+    first, second = (
+        written(index.mark(docs.filter(F.col("doc_id") % 2 == k)), "marks") for k in (0, 1)
+    )
+    return first.unionByName(second).select("doc_id", "keep_id", "group_size", "kept")
+
+
 @query("""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,

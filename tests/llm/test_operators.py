@@ -154,6 +154,41 @@ def test_index_remembers_batches(docs, spark, folder):
     assert "Bucketed: true" in plan
 
 
+@pytest.mark.parametrize("partitions", ["8", "64", "200"])
+def test_batches_move_and_sort_no_stored_digest(docs, spark, folder, partitions):
+    from gaugeflow.session import settings
+
+    with settings(spark, spark__sql__shuffle__partitions=partitions,
+                  spark__sql__autoBroadcastJoinThreshold="-1"), exact_dedup.in_place(spark):
+        index = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=8)
+        assert not index.merge()
+        for k in range(2):
+            index.append_new(marks_of(docs([f"text {i}" for i in range(40 * k, 40 * k + 50)])), f"b{k}")
+        rows = index.table().count()
+        assert rows == 90
+
+        marks = marks_of(docs(["text 3", "fresh"]))
+        plan = index.not_known(marks)._jdf.queryExecution().executedPlan().toString()
+        # The batch is exchanged for its reduction and into the buckets, the index never.
+        assert "Bucketed: true" in plan and plan.count("Exchange ") in (1, 2)
+        assert index.merge() and index.generation == 1
+        merged = index.not_known(marks)._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in merged and merged.count("Sort [") == plan.count("Sort [") - 1
+        assert [bytes(r["digest"]) for r in index.not_known(marks).collect()] == [
+            hashlib.sha256(b"fresh").digest()
+        ]
+        again = exact_dedup.DigestIndex(spark, f"{folder}/index", buckets=99)
+        assert (again.buckets, again.generation, again.table().count()) == (8, 1, rows)
+        again.vacuum()
+        assert again.table().count() == rows and not again.merge()
+
+
+def marks_of(table):
+    return table.select(
+        "doc_id", exact_dedup.digest().alias("digest"), F.monotonically_increasing_id().alias("row_no")
+    )
+
+
 # -- 4: line dedup ----------------------------------------------------------------
 
 
