@@ -3,6 +3,11 @@
 A table's spec is kept in its properties. Its data lies below one folder, in a
 sub-folder per layout version, partitioned by ``range_id`` and ``bucket``. Tables are
 loaded, where a key's first row stays, or fed (:meth:`Tables.feed`), where batches upsert.
+
+Columns of loaded tables have Parquet field ids, which files keep and readers go by. So
+renaming, dropping and adding columns are changes of the definition only. Sessions that read
+such a table need ``spark.sql.parquet.fieldId.read.enabled``: ``build_session`` sets it, and
+opening :class:`Tables` does for its session and those made from it later.
 """
 
 from __future__ import annotations
@@ -34,6 +39,9 @@ _ROOT = "gaugeflow.root"
 _VERSION = "gaugeflow.version"
 _RETIRED = "gaugeflow.retired"
 _FEED = "gaugeflow.feed"
+_LAST_ID = "gaugeflow.last_id"
+_FIELD_ID = "parquet.field.id"
+_READ_BY_ID = "spark.sql.parquet.fieldId.read.enabled"
 
 
 @dataclass(frozen=True)
@@ -51,6 +59,8 @@ class Tables:
         self.spark = spark
         self.database = database
         self.root = root.rstrip("/")
+        spark.conf.set(_READ_BY_ID, "true")
+        spark.sparkContext._jsc.sc().conf().set(_READ_BY_ID, "true")  # for later sessions
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
         self._recover()
 
@@ -65,7 +75,16 @@ class Tables:
         if self.exists(spec.name):
             return False
         # A folder of its own: a renamed or dropped table may still hold the plain name's.
-        self._define(spec, f"{self.root}/{spec.name}-{uuid.uuid4().hex}", 1, {})
+        fields = [
+            T.StructField(f.name, f.dataType, True, {_FIELD_ID: number})
+            for number, f in enumerate(spec.schema, 1)
+        ]
+        # Sized texts are known to SQL definitions only, which give no ids.
+        sized = any(isinstance(f.dataType, T.VarcharType) for f in fields)
+        self._define(
+            spec, f"{self.root}/{spec.name}-{uuid.uuid4().hex}", 1, {},
+            numbered=None if sized else (fields, len(fields)),
+        )
         return True
 
     def create_from(self, path: str) -> bool:
@@ -285,6 +304,20 @@ class Tables:
         feed = self._merged(name)
         if feed and column.name in [f["name"] for f in feed["beside"]]:
             raise ValueError(f"the feed of {name} has a column {column.name}")
+        required = spec.required if column.nullable else (*spec.required, column.name)
+        larger = replace(
+            spec, columns=(*spec.columns, ColumnSpec(column.name, column.data_type)), required=required
+        )
+        if self._ids(name):
+            metadata = {}
+            if column.default is not None:
+                text = sql_literal(column.default)
+                metadata = {"CURRENT_DEFAULT": text, "EXISTS_DEFAULT": text}
+            if column.name in self._retired(name):
+                self._rewrite(name, spec, lambda df: df)
+            fields = self._fields(name) + [T.StructField(column.name, column.data_type, True, metadata)]
+            self._over_files(name, larger, fields)
+            return
         if column.name in self._retired(name):
             # Files still hold values under this name: write them without it first.
             self._rewrite(name, spec, lambda df: df)
@@ -293,11 +326,7 @@ class Tables:
             f"ALTER TABLE {self._sql(name)} ADD COLUMNS "
             f"({quoted_column(column.name)} {column.data_type.simpleString()}{default})"
         )
-        added = ColumnSpec(column.name, column.data_type)
-        required = spec.required if column.nullable else (*spec.required, column.name)
-        self._store_spec(
-            name, replace(spec, columns=(*spec.columns, added), required=required)
-        )
+        self._store_spec(name, larger)
         if feed and column.default is not None:
             since = {column.name: (sql_literal(column.default), feed["through"])}
             self._store_feed(name, feed | {"added": feed["added"] | since})
@@ -305,8 +334,8 @@ class Tables:
     def drop_column(self, name: str, column: str) -> None:
         """Drop a column that is not part of the key.
 
-        Files are read by column name, so a new definition over the same files is
-        enough; only a table with column defaults is written anew.
+        A new definition over the same files is enough. Only a fed table with column
+        defaults is written anew.
         """
         spec = self.spec(name)
         if column in spec.keys:
@@ -320,6 +349,9 @@ class Tables:
             columns=tuple(c for c in spec.columns if c.name != column),
             required=tuple(c for c in spec.required if c != column),
         )
+        if self._ids(name):
+            self._over_files(name, smaller, [f for f in self._fields(name) if f.name != column])
+            return
         if self._defaults(name):
             self._rewrite(name, smaller, lambda df: df.drop(column))
             return
@@ -331,7 +363,12 @@ class Tables:
         )
 
     def rename_column(self, name: str, old: str, new: str) -> None:
-        """Rename a column by writing the table anew, in one pass without a shuffle."""
+        """Rename a column by a new definition over the same files.
+
+        A fed table, whose files have no field ids, is written anew in one pass without a
+        shuffle. So is a table with files in which another column had the new name: Spark
+        finds values by id, but their types by name.
+        """
         spec = self.spec(name)
         if old not in spec.schema.names:
             raise ValueError(f"no column {old}")
@@ -350,6 +387,13 @@ class Tables:
             range_columns=changed(spec.range_columns),
             required=changed(spec.required),
         )
+        if self._ids(name) and new not in self._retired(name):
+            fields = [
+                T.StructField(new if f.name == old else f.name, f.dataType, True, f.metadata)
+                for f in self._fields(name)
+            ]
+            self._over_files(name, renamed, fields, {old})
+            return
         self._rewrite(name, renamed, lambda df: df.withColumnRenamed(old, new), {old: new})
 
     def set_default(self, name: str, column: str, value) -> None:
@@ -491,6 +535,34 @@ class Tables:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._sql(name)}").collect()
         return {row["key"]: row["value"] for row in rows}
 
+    def _fields(self, name: str) -> list[T.StructField]:
+        """The table's columns with all that the catalog knows of them."""
+        spec = self.spec(name)
+        return [f for f in self.spark.table(self._name(name)).schema if f.name in spec.schema.names]
+
+    def _ids(self, name: str) -> bool:
+        return _LAST_ID in self._properties(name)
+
+    def _over_files(
+        self, name: str, spec: TableSpec, fields: list[T.StructField], retired: set[str] = frozenset()
+    ) -> None:
+        """Define the table anew with other columns over the files it has; new ones get ids.
+
+        ``retired`` are names that files hold and that now are another column's former ones.
+        """
+        properties = self._properties(name)
+        last = int(properties[_LAST_ID])
+        numbered = []
+        for f in fields:
+            if _FIELD_ID not in f.metadata:
+                last += 1
+                f = T.StructField(f.name, f.dataType, True, f.metadata | {_FIELD_ID: last})
+            numbered.append(f)
+        self._redefine(
+            spec, properties[_ROOT], int(properties[_VERSION]), {}, self._retired(name) | retired,
+            self._comments(name), None, (numbered, last),
+        )
+
     def _retired(self, name: str) -> set[str]:
         return set(filter(None, self._properties(name).get(_RETIRED, "").split("\n")))
 
@@ -526,9 +598,13 @@ class Tables:
         retired: set[str] = frozenset(),
         comments: dict[str | None, str] | None = None,
         feed: dict | None = None,
+        numbered: tuple[list[T.StructField], int] | None = None,
         under: str | None = None,
     ) -> None:
-        """Create the table of ``spec`` (``under`` another name) over the files there are."""
+        """Create the table of ``spec`` (``under`` another name) over the files there are.
+
+        ``numbered`` has the columns with field ids, and the last id that was given.
+        """
 
         def column(name: str, data_type: T.DataType) -> str:
             default = f" DEFAULT {defaults[name]}" if name in defaults else ""
@@ -547,12 +623,17 @@ class Tables:
             properties[_FEED] = json.dumps(feed)
             location = _snapshot(location, feed["through"])
         name = under or spec.name
+        if numbered:
+            properties[_LAST_ID] = str(numbered[1])
         listed = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
-        self.spark.sql(
-            f"CREATE TABLE {self._sql(name)} ({', '.join(columns)}) USING parquet "
-            f"PARTITIONED BY ({', '.join(spec.partition_columns)}) "
-            f"LOCATION {text_literal(location)} TBLPROPERTIES ({listed})"
-        )
+        if numbered:
+            self._create_numbered(name, spec, numbered[0], location, listed)
+        else:
+            self.spark.sql(
+                f"CREATE TABLE {self._sql(name)} ({', '.join(columns)}) USING parquet "
+                f"PARTITIONED BY ({', '.join(spec.partition_columns)}) "
+                f"LOCATION {text_literal(location)} TBLPROPERTIES ({listed})"
+            )
         if None in comments:
             self.comment_table(name, comments[None])
         if feed:
@@ -569,6 +650,25 @@ class Tables:
         elif files.exists(self.spark, location):
             self.spark.sql(f"ALTER TABLE {self._sql(name)} RECOVER PARTITIONS")
 
+    def _create_numbered(
+        self, name: str, spec: TableSpec, fields: list[T.StructField], location: str, properties: str
+    ) -> None:
+        """A table whose columns keep their metadata, which SQL has no words for.
+
+        It is made of no rows in a folder of its own, and then pointed to ``location``.
+        """
+        parts = [T.StructField(c, T.IntegerType()) for c in spec.partition_columns]
+        empty = self.spark.createDataFrame(
+            self.spark.sparkContext.emptyRDD(), T.StructType([*fields, *parts])
+        )
+        made = f"{location}-made-{uuid.uuid4().hex}"
+        empty.write.format("parquet").partitionBy(*spec.partition_columns).option(
+            "path", made
+        ).saveAsTable(self._name(name))
+        self.spark.sql(f"ALTER TABLE {self._sql(name)} SET LOCATION {text_literal(location)}")
+        self.spark.sql(f"ALTER TABLE {self._sql(name)} SET TBLPROPERTIES ({properties})")
+        files.delete(self.spark, made)
+
     def _redefine(self, spec: TableSpec, *definition) -> None:
         """Replace the table by a new definition, which is complete before the old one goes.
 
@@ -623,8 +723,19 @@ class Tables:
         if feed:
             target = _snapshot(target, feed["through"])
             columns += ["batch_id", *(f["name"] for f in feed["beside"])]
+        numbered = None
+        if not feed and _LAST_ID in properties:
+            fields = [
+                T.StructField(renamed.get(f.name, f.name), f.dataType, True, f.metadata)
+                for f in self._fields(name) if renamed.get(f.name, f.name) in spec.schema.names
+            ]
+            numbered = fields, int(properties[_LAST_ID])
+            ids = {f.name: {_FIELD_ID: f.metadata[_FIELD_ID]} for f in fields}
+            rows = rows.select(*(
+                F.col(c).alias(c, metadata=ids[c]) if c in ids else F.col(c) for c in columns
+            ))
         rows.select(*columns).write.mode("overwrite").partitionBy(*parts).parquet(target)
-        self._redefine(spec, folder, version, defaults, frozenset(), comments, feed)
+        self._redefine(spec, folder, version, defaults, frozenset(), comments, feed, numbered)
         # Older versions would keep rows of ranges that were dropped since.
         for old in range(1, version):
             files.delete(self.spark, f"{folder}/v{old}")

@@ -1,10 +1,12 @@
 import glob
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeflow import files
 from gaugeflow.plans import catalog, schemas
 from gaugeflow.plans.spec import AddColumn, alter_spec, lenient_json, table_spec
 from gaugeflow.plans.tables import Tables
@@ -350,6 +352,60 @@ def test_feed_view_and_old_snapshots(spark, db):
     assert db.read("renamed").count() == 5
 
 
+def data_files(spark, db):
+    return sorted(files.sizes(spark, f"{db.root}/readings-*/*/*=*/*=*/*.parquet"))
+
+
+def test_columns_change_without_writing_a_file(spark, loaded):
+    name = f"{loaded.database}.readings"
+    before, rows = data_files(spark, loaded), by_key(loaded.read("readings"), "column2", "column3")
+    assert before
+    loaded.rename_column("readings", "column3", "signal")
+    loaded.rename_column("readings", "column2", "sensor")
+    assert data_files(spark, loaded) == before
+    loaded.load("readings", spark.sql(
+        "SELECT 51 AS column1, 'new' AS sensor, 8.0D AS signal, timestamp'2024-01-01' AS column4"
+    ), ["column4"])
+    for session in (spark, spark.newSession()):
+        found = by_key(session.table(name), "sensor", "signal")
+        assert {k: found[k] for k in rows if k != 51} == {k: v for k, v in rows.items() if k != 51}
+        assert ("new", 8.0) in [tuple(r) for r in session.table(name).select("sensor", "signal").collect()]
+    # Names may change places, and a name that is free again has no old values.
+    loaded.rename_column("readings", "signal", "spare")
+    loaded.rename_column("readings", "sensor", "signal")
+    loaded.rename_column("readings", "spare", "sensor")
+    swapped = by_key(spark.table(name), "signal", "sensor")
+    assert all(swapped[k] == rows[k] for k in rows if k != 51)
+    loaded.rename_column("readings", "signal", "kept")
+    loaded.add_column("readings", AddColumn("signal", INT, default=1))
+    assert {k: v for k, v in by_key(spark.table(name), "kept").items() if k != 51} == {
+        k: v[:1] for k, v in rows.items() if k != 51
+    }
+    before = data_files(spark, loaded)
+    loaded.drop_column("readings", "sensor")
+    loaded.add_column("readings", AddColumn("sensor", T.DoubleType(), default=2.5))
+    assert set(by_key(spark.table(name), "sensor").values()) == {(2.5,)}
+    loaded.set_default("readings", "sensor", 3.5)
+    loaded.drop_column("readings", "column4")
+    loaded.comment_column("readings", "sensor", "volts")
+    loaded.rename_column("readings", "sensor", "level")
+    assert data_files(spark, loaded) == before
+    assert set(by_key(spark.table(name), "level").values()) == {(2.5,)}
+    assert spark.table(name).schema["level"].metadata["comment"] == "volts"
+    assert loaded._defaults("readings") == {"level": "3.5"} or "3.5" in loaded._defaults("readings")["level"]
+
+
+def test_sized_texts_go_by_name(spark, db):
+    spec = replace(table_spec(READINGS_SPEC), columns=tuple(
+        replace(c, data_type=T.VarcharType(9)) if c.name == "column2" else c
+        for c in table_spec(READINGS_SPEC).columns
+    ))
+    db.create(spec)
+    db.load("readings", readings(spark, (31, "a", 1.0)), ["column3"])
+    db.rename_column("readings", "column3", "signal")
+    assert by_key(db.read("readings"), "column2", "signal") == {31: ("a", 1.0)}
+
+
 def test_feed_shows_partitions_as_they_merge(spark, db):
     """Partitions stand in folders of different merges; DDL and other sessions find them all."""
     db.create(table_spec(READINGS_SPEC))
