@@ -30,8 +30,13 @@ def queue_messages(
     reader = spark.readStream.format("kafka").option("includeHeaders", "true").options(**options)
     if offsets_per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", offsets_per_trigger)
+    return queue_columns(reader.load())
+
+
+def queue_columns(rows: DataFrame) -> DataFrame:
+    """What :func:`queue_messages` takes from the connector's columns."""
     header = F.filter("headers", lambda h: h["key"] == "correlation_id")
-    return reader.load().select(
+    return rows.select(
         F.col("value").cast("string").alias("value"),
         F.get(header, 0)["value"].cast("string").alias("correlation_id"),
         F.col("timestamp").alias("ts"),

@@ -83,7 +83,7 @@ class PreviousFeed:
             df.unpersist()
 
     def _with_previous(
-        self, df: DataFrame, batch_id: int, rows_in_batch: int, key_bytes: int
+        self, df: DataFrame, batch_id: int, rows_in_batch: int, key_bytes: int = 0
     ) -> DataFrame:
         # A batch below the limit for one key has no key above it.
         max_key_rows = self.max_key_rows if rows_in_batch > self.max_key_rows else None

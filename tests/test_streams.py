@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 import time
@@ -298,3 +299,20 @@ def test_files_per_bucket(spark, folder):
     found = ingest.read_bucketed(spark, folder + "/out", spark.range(1).schema, "day")
     assert found.count() == 2_000
     assert len(found.inputFiles()) <= 40
+
+
+def test_columns_of_queue_messages(spark):
+    """On a stand-in with the columns that the connector gives."""
+    when = dt.datetime(2024, 1, 2, 3, 4, 5)
+    headers = [("other", b"x"), ("correlation_id", b"c-1"), ("correlation_id", b"c-2")]
+    rows = spark.createDataFrame(
+        [(b"k", b'{"key": 1}', "topic", 3, 70, when, 0, headers), (None, None, "topic", 4, 71, when, 0, None),
+         (None, b"x", "topic", 4, 72, None, 1, [("correlation_id", None)])],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, "
+        "timestampType int, headers array<struct<key:string,value:binary>>",
+    )
+    found = messages.queue_columns(rows)
+    assert found.columns == ["value", "correlation_id", "ts", "partition", "offset"]
+    assert [tuple(r) for r in found.orderBy("offset").collect()] == [
+        ('{"key": 1}', "c-1", when, 3, 70), (None, None, when, 4, 71), ("x", None, None, 4, 72),
+    ]
