@@ -69,9 +69,7 @@ class TrieEncoder:
     """Encodes words; remembers them as packed ids and as their tokens' text."""
 
     def __init__(self, path: str, decodes: bool = True):
-        self.decodes = decodes
-        library = Tokenizer.from_file(path)
-        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
+        self._open(Tokenizer.from_file(path), decodes)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab: dict[str, int] = spec["model"]["vocab"]
@@ -96,15 +94,19 @@ class TrieEncoder:
             i: len(t.removesuffix(_WORD_END)) or len(t) for t, i in self.usable.items()
         }
         self.longest = max(self.length.values(), default=1)
+        self.tokens |= {ids[0]: t for t, ids in self.fixed.items()}
+        for word, ids in self.fixed.items():
+            self.know(word, ids)
+
+    def _open(self, library: Tokenizer, decodes: bool) -> None:
+        """What cutting texts and remembering words needs."""
+        self.decodes = decodes
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.symbols = _byte_symbols()
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens |= {i: t for t, i in special.items()}
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.fixed = {t: [i] for t, i in special.items()}
+        self.fixed = {t.content: [i] for i, t in library.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, self.fixed))) if self.fixed else None
         self.ids: dict[str, bytes] = {}
         self.text: dict[str, str] = {}
-        for word, ids in self.fixed.items():
-            self.know(word, ids)
 
     def make_room(self, words: set[str]) -> None:
         """Forget words if there are too many, but for the specials and those of now."""

@@ -184,12 +184,16 @@ def pack_lengths(
 class LibraryEncoder(bpe.TrieEncoder):
     """Words as the vocabulary cuts them, encoded by the tokenizers library one by one.
 
-    The ids are the same; where they are all that is wanted, this is cheaper than the trie.
+    The ids are the same; where they are all that is wanted, this is cheaper than the trie,
+    whose tables it does without.
     """
 
     def __init__(self, path: str):
-        super().__init__(path, decodes=False)
-        self.model = Tokenizer.from_file(path).model
+        library = Tokenizer.from_file(path)
+        self._open(library, decodes=False)
+        self.model = library.model
+        for word, ids in self.fixed.items():
+            self.know(word, ids)
 
     def learn(self, words: set[str]) -> None:
         self.make_room(words)
