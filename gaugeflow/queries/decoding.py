@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import keys, times
@@ -248,6 +248,53 @@ def schedule_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.flatten_schedule(elements.drop("value", "position"), r.SERVICE_DATE)
 
 
+@query("""
+WITH placed AS (
+  SELECT *, row_number() OVER (PARTITION BY l_linenumber ORDER BY l_orderkey, l_partkey, l_suppkey)
+            AS place
+  FROM lineitem
+)
+SELECT cast(place - 1 AS INT) AS position, cast(l_partkey AS INT) AS trip_id,
+       'a}, "' || l_linenumber || '" [' AS note, CAST(NULL AS VARCHAR) AS reject_reason
+FROM placed
+""")
+def snapshot_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array over many lines per line number, each file read in blocks."""
+    path = scratch_dir(spark, "snapshot-blocks")
+    order = ["l_orderkey", "l_partkey", "l_suppkey"]
+    by_number = Window.partitionBy("l_linenumber")
+    place = F.row_number().over(by_number.orderBy(*order))
+    element = F.to_json(F.struct(
+        F.col("l_partkey").cast("int").alias("trip_id"),
+        F.concat(F.lit('a}, "'), F.col("l_linenumber").cast("string"), F.lit('" [')).alias("note"),
+    ))
+    rows = r.table(spark, sf_dir, "lineitem").select(
+        "l_linenumber", *order, place.alias("place"),
+        F.count(F.lit(1)).over(by_number).alias("n"), element.alias("element"),
+    )
+    line = F.concat(
+        F.when(F.col("place") == 1, F.lit("[")).otherwise(F.lit(",")), F.col("element"),
+        F.when(F.col("place") == F.col("n"), F.lit("]")).otherwise(F.lit("")),
+    )
+    lines = rows.select("l_linenumber", "place", line.alias("value")).repartition("l_linenumber")
+    lines.sortWithinPartitions("l_linenumber", "place").select("l_linenumber", "value").write \
+        .partitionBy("l_linenumber").text(path)
+    found = snapshots.read_snapshot_blocks(spark, path, "trip_id int, note string")
+    return found.select("position", "trip_id", "note", rejects.REASON)
+
+
+@query("""
+SELECT doc_id, text, lang, CAST(NULL AS VARCHAR) AS reject_reason FROM documents
+""")
+def csv_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of many lines exported, and scanned back in blocks."""
+    path = scratch_dir(spark, "csv-blocks")
+    rows = r.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    delimited.write_csv(rows, path)
+    found = delimited.read_csv_blocks(spark, path, rows.schema)
+    return found.select(*rows.columns, rejects.REASON)
+
+
 @query("""
 SELECT event_id,
        cast(cast('0x' || substr(md5(cast(user_id AS VARCHAR)), 1, 8) AS BIGINT) % 8 AS INT) AS bucket
