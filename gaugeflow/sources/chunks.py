@@ -43,10 +43,14 @@ def records(
     ``quotes`` counts the quotes of a piece; ``outside`` and ``inside`` say by how much it
     changes the depth if it starts outside or inside quotes. A record ends with a piece that
     ends outside quotes at depth ``level``. Records are numbered from 0 in each file. Of the
-    file, ``opening`` is the first sign, ``last`` the number of records that ended, and
+    file, ``opening`` is the first sign's code, ``last`` the number of records that ended, and
     ``balanced`` tells whether it ends outside quotes at depth 0.
     """
-    walked = _walked(pieces.withColumns({"quotes": quotes, "outside": outside, "inside": inside}))
+    # Only the second pass needs the text, so only it shuffles text.
+    opening = F.ascii(F.ltrim("value", F.lit(_BLANKS)))
+    walked = _walked(pieces.withColumns(
+        {"quotes": quotes, "outside": outside, "inside": inside, "opening": opening}
+    ))
     started = walked.drop("opening").join(_starts(walked, level), _BLOCK)
     ends = _ends(F.col("odd_before"), F.col("depth_before"), F.struct(
         "odd", "depth_outside", "depth_inside"
@@ -73,7 +77,7 @@ def _walked(pieces: DataFrame) -> DataFrame:
     rows = pieces.withColumn("even", even)
     return rows.select(
         *_BLOCK, "at", "value",
-        F.substr(F.ltrim("value", F.lit(_BLANKS)), F.lit(1), F.lit(1)).alias("opening"),
+        "opening",
         (F.sum("quotes").over(so_far) % 2).alias("odd"),
         F.sum(F.when(F.col("even"), F.col("outside")).otherwise(F.col("inside")))
         .over(so_far).alias("depth_outside"),
@@ -96,11 +100,11 @@ def _starts(walked: DataFrame, level: int) -> DataFrame:
     state = ["odd", "depth_outside", "depth_inside"]
     counted = walked.groupBy(*_BLOCK, *state).agg(
         F.count(F.lit(1)).alias("n"), F.max("at").alias("latest"),
-        F.min(F.struct("at", "opening")).alias("earliest"),
+        F.min("at").alias("earliest"), F.min_by("opening", "at").alias("opening"),
     )
     blocks = counted.groupBy(*_BLOCK).agg(
         F.max_by(F.struct(*state), "latest").alias("end"),
-        F.min("earliest").alias("earliest"),
+        F.min_by("opening", "earliest").alias("opening"),
         F.collect_list(F.struct(*state, "n")).alias("states"),
     )
     order = Window.partitionBy("file").orderBy("block")
@@ -127,7 +131,7 @@ def _starts(walked: DataFrame, level: int) -> DataFrame:
     return blocks.select(
         *_BLOCK, "odd_before", "depth_before",
         sum_before(F.col("ends")).alias("number_before"),
-        F.first("earliest.opening").over(before_or_here).alias("opening"),
+        F.first("opening").over(before_or_here).alias("opening"),
         F.sum("ends").over(whole).alias("last"),
         balanced.alias("balanced"),
     )
@@ -153,16 +157,17 @@ def json_elements(spark: SparkSession, path: str) -> DataFrame:
         change(from_outside), change(from_inside), level=1,
     )
     blanks = F.lit(_BLANKS)
-    is_array = F.col("balanced") & (F.col("opening") == "[")
+    is_array = F.col("balanced") & (F.col("opening") == ord("["))
     text = F.btrim(F.col("text"), blanks)
     opened = F.when(is_array & (F.col("number") == 0), F.substr(text, F.lit(2))).otherwise(text)
     closed = F.when(
         is_array & (F.col("number") == F.col("last")),
         F.substr(opened, F.lit(1), F.length(opened) - 1),
     ).otherwise(opened)
-    rows = rows.select(
+    # A generator, so that the text is made once.
+    rows = rows.select(F.inline(F.array(F.struct(
         "file", "number", F.btrim(closed, blanks).alias("text"), is_array.alias("is_array"), "last"
-    )
+    ))))
     # An empty array is one empty text.
     nothing = F.col("is_array") & (F.col("last") == 0) & (F.col("text") == "")
     return rows.filter(~nothing).drop("last")

@@ -33,9 +33,10 @@ def read_snapshot_blocks(
     # As the only element of an array, text is written as the whole-file form writes it.
     alone = F.from_json(F.concat(F.lit("["), "text", F.lit("]")), "array<string>")
     value = F.when(F.col("is_array") & (F.size(alone) == 1), F.get(alone, 0)).otherwise(F.col("text"))
-    rows = rows.select(
+    # A generator, so that the text of an element is made once.
+    rows = rows.select(F.inline(F.array(F.struct(
         F.col("number").cast("int").alias("position"), value.alias("value"), "is_array"
-    )
+    ))))
     decoded = decode_json(rows, element_schema)
     return rejects.tag(decoded, [(rejects.CORRUPT, ~F.col("is_array"))]).drop("is_array")
 
