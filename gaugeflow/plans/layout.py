@@ -57,9 +57,17 @@ def for_write(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     Buckets over the whole key, in its order, follow from the exchange of the reduction
     where the shuffle's partitions are a multiple of them. Others need a rebalance, which
-    splits partitions that are too large and joins small ones.
+    splits partitions that are too large and joins small ones. Files are in the order of keys.
     """
     shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if spec.hash_keys and tuple(spec.hash_keys) == tuple(spec.keys) and shuffled % spec.buckets == 0:
-        return df
-    return df.hint("rebalance", *spec.partition_columns)
+        return in_key_order(df, spec)
+    return in_key_order(df.hint("rebalance", *spec.partition_columns), spec)
+
+
+def in_key_order(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows sorted for files in which the statistics of row groups and pages tell keys apart.
+
+    The writer sorts by partition anyway; this order includes its own.
+    """
+    return df.sortWithinPartitions(*spec.partition_columns, *spec.keys)

@@ -26,7 +26,9 @@ from gaugeflow import files
 from gaugeflow.operators import keyed, rejects
 from gaugeflow.plans import spec as specs
 from gaugeflow.plans.catalog import quoted, quoted_column, text_literal
-from gaugeflow.plans.layout import for_write, key_filter, key_rules, with_partitions
+from gaugeflow.plans.layout import (
+    for_write, in_key_order, key_filter, key_rules, with_partitions,
+)
 from gaugeflow.plans.pruning import partition_filter
 from gaugeflow.plans.ranges import RangePartition, check_ranges
 from gaugeflow.plans.spec import AddColumn, AlterSpec, ColumnSpec, TableSpec
@@ -158,7 +160,8 @@ class Tables:
             "superseded",
         )
         new = arrived.join(known, spec.keys, "left_anti")
-        self._insert(name, new.hint("rebalance", *spec.partition_columns), spec)
+        new = new.hint("rebalance", *spec.partition_columns)
+        self._insert(name, in_key_order(new, spec), spec)
         return Loaded(rejected, superseded)
 
     def completed(self, name: str, df: DataFrame) -> DataFrame:

@@ -156,6 +156,52 @@ def test_lookup_prunes_buckets(spark, folder):
     assert "EqualTo(key,7)" in plan
 
 
+@pytest.fixture
+def small_row_groups(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    # As in large row groups, whose keys outgrow a dictionary; else that would tell.
+    options = {"parquet.block.size": str(1 << 14), "parquet.enable.dictionary": "false"}
+    for name, value in options.items():
+        conf.set(name, value)
+    yield
+    for name in options:
+        conf.unset(name)
+
+
+def rows_scanned(found):
+    scans = found._jdf.queryExecution().executedPlan().collectLeaves()
+    return scans.head().metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("partitions", [7, 8])
+@pytest.mark.parametrize("merged", [False, True])
+def test_lookup_reads_few_rows_of_a_bucket(spark, folder, small_row_groups, merged, partitions):
+    """Also where the rows come from a rebalance, since buckets do not divide the tasks."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        _check_rows_scanned(spark, sensor(spark, folder), merged)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _check_rows_scanned(spark, log, merged):
+    n = 40_000
+    shuffled = spark.range(n).selectExpr(
+        f"cast(id * 7919 % {n} AS int) AS key", "'a' AS date", "1.0D AS signal", "id AS n"
+    )
+    if merged:
+        log.write_batch(shuffled.filter("key % 2 = 0"), 0)
+        log.write_batch(shuffled.filter("key % 2 = 1"), 1)
+        log.compact(through=1)
+    else:
+        log.write_batch(shuffled, 0)
+    found = log.lookup(key=777)
+    assert rows_of(found) == [(777, "a", 1.0)]
+    # A bucket has about 5,000 rows.
+    assert 1 <= rows_scanned(found) <= 2_000
+
+
 def test_layout(spark, folder):
     log = sensor(spark, folder)
     write(spark, log, [(k, "a", 1.0, k) for k in range(500)], 0)
