@@ -235,3 +235,21 @@ def test_text_is_parsed_once(spark, messages):
     rows = rejects.accepted(decode.decode_sensor(messages(TRANSIT)))
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_texts_are_looked_at_only_after_one_more_parse(messages):
+    """Most texts are one object, and the parse that tells so costs less than the other signs."""
+    rows = rejects.accepted(decode.decode_json(messages("{}"), "key int"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("lengthOfJsonArray") < plan.index("RLIKE")
+    assert plan.count("lengthOfJsonArray") == 1
+
+
+def test_odd_objects_and_what_follows_them(messages):
+    texts = [
+        '{"key":{"a":{}}}', " {'key':1}\n", '{"key":1}}', '{"key":"}"}{', '{"key":{"a":1}} {}',
+        "{}", " ", '{"key":1},', '{"key":"a\\"}{"}',
+    ]
+    rows = decode.decode_json(messages(*texts), "key string")
+    good = {r["value"] for r in rejects.accepted(rows).collect()}
+    assert good == {'{"key":{"a":{}}}', " {'key':1}\n", "{}", '{"key":"a\\"}{"}'}
