@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import keys, times
@@ -248,6 +248,33 @@ def schedule_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.flatten_schedule(elements.drop("value", "position"), r.SERVICE_DATE)
 
 
+def with_ends(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``group`` and ``order`` of a file's rows, and whether a row ``is_first`` or ``is_last``.
+
+    One row each of a group is. Rows that tie are told apart by their place in the files.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    rows = rows.select(group, *order, *place)
+    row = F.struct(*order, "_file", "_row")
+    # Whole rows are aggregated sorted, so only those that have an extreme first column are.
+    lead = order[0]
+    least = rows.groupBy(group).agg(F.min(lead).alias("_low"), F.max(lead).alias("_high"))
+    outer = _beside(rows, least, group).filter(
+        F.col(lead).isNull() | (F.col(lead) == F.col("_low")) | (F.col(lead) == F.col("_high"))
+    )
+    ends = outer.groupBy(group).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    return _beside(rows, ends, group).select(
+        group, *order, (row == F.col("_first")).alias("is_first"),
+        (row == F.col("_last")).alias("is_last"),
+    )
+
+
+def _beside(rows: DataFrame, groups: DataFrame, group: str) -> DataFrame:
+    """Rows with what is known of their group, which may be NULL; groups are few."""
+    known = F.broadcast(groups.withColumnRenamed(group, "_group"))
+    return rows.join(known, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
+
+
 @query("""
 WITH placed AS (
   SELECT *, row_number() OVER (PARTITION BY l_linenumber ORDER BY l_orderkey, l_partkey, l_suppkey)
@@ -262,23 +289,20 @@ def snapshot_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One array over many lines per line number, each file read in blocks."""
     path = scratch_dir(spark, "snapshot-blocks")
     order = ["l_orderkey", "l_partkey", "l_suppkey"]
-    by_number = Window.partitionBy("l_linenumber")
-    place = F.row_number().over(by_number.orderBy(*order))
+    lines = r.table(spark, sf_dir, "lineitem")
+    # Only what the lines are made of is shuffled and sorted; a window would keep whole arrays.
+    rows = with_ends(lines, "l_linenumber", order).repartition("l_linenumber").sortWithinPartitions(
+        "l_linenumber", *order, F.desc("is_first"), "is_last"
+    )
     element = F.to_json(F.struct(
         F.col("l_partkey").cast("int").alias("trip_id"),
         F.concat(F.lit('a}, "'), F.col("l_linenumber").cast("string"), F.lit('" [')).alias("note"),
     ))
-    rows = r.table(spark, sf_dir, "lineitem").select(
-        "l_linenumber", *order, place.alias("place"),
-        F.count(F.lit(1)).over(by_number).alias("n"), element.alias("element"),
-    )
     line = F.concat(
-        F.when(F.col("place") == 1, F.lit("[")).otherwise(F.lit(",")), F.col("element"),
-        F.when(F.col("place") == F.col("n"), F.lit("]")).otherwise(F.lit("")),
+        F.when(F.col("is_first"), F.lit("[")).otherwise(F.lit(",")), element,
+        F.when(F.col("is_last"), F.lit("]")).otherwise(F.lit("")),
     )
-    lines = rows.select("l_linenumber", "place", line.alias("value")).repartition("l_linenumber")
-    lines.sortWithinPartitions("l_linenumber", "place").select("l_linenumber", "value").write \
-        .partitionBy("l_linenumber").text(path)
+    rows.select("l_linenumber", line.alias("value")).write.partitionBy("l_linenumber").text(path)
     found = snapshots.read_snapshot_blocks(spark, path, "trip_id int, note string")
     return found.select("position", "trip_id", "note", rejects.REASON)
 
